@@ -54,10 +54,237 @@ def r6(expr: str, alias: str, d: int = 6) -> str:
 ORACLE: dict[str, str] = {}
 
 ORACLE["bars_daily"] = with_(ORDER_TICKS, ORDER_BARS) + """
-SELECT ticker, bar_date, round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low,
-       round(close, 6) AS close, volume, n_ticks FROM order_bars"""
+SELECT ticker, bar_date, open, high, low, close, volume, n_ticks FROM order_bars"""
 
 ORACLE["avg_close_sql"] = with_(
     ORDER_TICKS, ORDER_BARS,
     'stocks AS (SELECT bar_date AS "Date", close AS "Close", ticker AS "Ticker" FROM order_bars)') + """
 SELECT Ticker, round(AVG(Close), 6) AS avg_close FROM stocks GROUP BY Ticker"""
+
+# ---------------------------------------------------------------- scans, filters, unions
+RANGE_SQL = "bar_date >= DATE '1996-01-01' AND bar_date < DATE '2000-01-01'"
+PICK_VALUES = "(VALUES (0, '2-HIGH'), (1, '4-NOT SPECIFIED'), (2, 'ZZZ-NONE'), (3, '1-URGENT'))"
+UNION_STOCKS = """stocks_all AS (
+  SELECT bar_date AS "Date", close AS "Close", ticker AS "Ticker" FROM order_bars
+  UNION ALL SELECT bar_date, close, ticker FROM brand_bars)"""
+ROUND_BARS = "open, high, low, close"   # selections of input values: exact, no rounding
+
+ORACLE["bars_brand_daily"] = with_(LINE_TICKS, BRAND_BARS) + f"""
+SELECT ticker, bar_date, {ROUND_BARS}, volume, n_ticks FROM brand_bars"""
+
+ORACLE["bars_hourly"] = with_(EVENT_TICKS, EVENT_BARS_H) + f"""
+SELECT ticker, bar_ts, {ROUND_BARS}, volume, n_ticks FROM event_bars"""
+
+ORACLE["close_history"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
+SELECT ticker, bar_date, close FROM order_bars
+WHERE ticker = '1-URGENT' AND {RANGE_SQL}"""
+
+ORACLE["ohlcv_history"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
+SELECT ticker, bar_date, {ROUND_BARS}, volume FROM order_bars
+WHERE ticker IN ('2-HIGH', '4-NOT SPECIFIED', 'ZZZ-NONE', '1-URGENT') AND {RANGE_SQL}"""
+
+ORACLE["date_range_filter"] = with_(LINE_TICKS, BRAND_BARS) + f"""
+SELECT ticker, bar_date, {ROUND_BARS}, volume, n_ticks FROM brand_bars WHERE {RANGE_SQL}"""
+
+ORACLE["ticker_filter"] = with_(LINE_TICKS, BRAND_BARS) + f"""
+SELECT ticker, bar_date, {ROUND_BARS}, volume, n_ticks FROM brand_bars
+WHERE ticker IN ('Brand#12', 'Brand#45', 'Brand#99')"""
+
+ORACLE["wide_to_tidy"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
+SELECT ticker, bar_date, {ROUND_BARS}, volume FROM order_bars"""
+
+ORACLE["multi_ticker_union"] = with_(ORDER_TICKS, ORDER_BARS, LINE_TICKS, BRAND_BARS, UNION_STOCKS) + """
+SELECT "Date", "Close", "Ticker" FROM stocks_all
+WHERE "Date" >= DATE '1996-01-01' AND "Date" < DATE '2000-01-01'"""
+
+ORACLE["mean_close"] = with_(ORDER_TICKS, ORDER_BARS, LINE_TICKS, BRAND_BARS, UNION_STOCKS) + """
+SELECT "Ticker", round(avg("Close"), 6) AS mean_close FROM stocks_all
+WHERE "Ticker" IS NOT NULL GROUP BY "Ticker\""""
+
+ORACLE["avg_close_union_sql"] = with_(ORDER_TICKS, ORDER_BARS, LINE_TICKS, BRAND_BARS, UNION_STOCKS) + """
+SELECT "Ticker", round(AVG("Close"), 6) AS avg_close FROM stocks_all GROUP BY "Ticker\""""
+
+ORACLE["head_rows"] = with_(ORDER_TICKS, ORDER_BARS, LINE_TICKS, BRAND_BARS, UNION_STOCKS) + f"""
+SELECT "Date", "Close", s."Ticker" FROM stocks_all s
+JOIN {PICK_VALUES} req(pos, "Ticker") ON s."Ticker" = req."Ticker"
+WHERE "Date" >= DATE '1996-01-01' AND "Date" < DATE '2000-01-01'
+ORDER BY pos, "Date" LIMIT 5"""
+
+_HAVE = f"(SELECT DISTINCT ticker FROM order_bars WHERE {RANGE_SQL})"
+ORACLE["availability_report"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
+SELECT req.pos, req.ticker, CAST(coalesce(c.n_bars, 0) AS BIGINT) AS n_bars,
+       CASE WHEN coalesce(c.n_bars, 0) > 0 THEN 'ok' ELSE 'no_data' END AS status
+FROM {PICK_VALUES} req(pos, ticker)
+LEFT JOIN (SELECT ticker, count(*) AS n_bars FROM order_bars WHERE {RANGE_SQL} GROUP BY ticker) c
+  ON c.ticker = req.ticker"""
+
+ORACLE["tickers_with_data"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
+SELECT pos, ticker FROM {PICK_VALUES} req(pos, ticker) WHERE ticker IN {_HAVE}"""
+
+ORACLE["tickers_without_data"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
+SELECT pos, ticker FROM {PICK_VALUES} req(pos, ticker) WHERE ticker NOT IN {_HAVE}"""
+
+ORACLE["candle_summary"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
+SELECT ticker, count(*) AS "rows", min(low) AS low_min, max(high) AS high_max
+FROM order_bars WHERE {RANGE_SQL} GROUP BY ticker"""
+
+# ---------------------------------------------------------------- features
+L = 60
+POS_BARS = """pos_bars AS (
+  SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY bar_date) AS pos,
+         count(*) OVER (PARTITION BY ticker) AS n
+  FROM order_bars)"""
+SCALED = """scaled AS (
+  SELECT b.ticker, b.bar_date, b.close, st.lo, st.hi, b.pos, b.n,
+         (b.close - st.lo) / coalesce(nullif(st.hi - st.lo, 0.0), 1.0) AS s
+  FROM pos_bars b JOIN (SELECT ticker, min(close) AS lo, max(close) AS hi
+                        FROM order_bars GROUP BY ticker) st ON st.ticker = b.ticker)"""
+BASE = (ORDER_TICKS, ORDER_BARS, POS_BARS, SCALED)
+RNG = "coalesce(nullif(hi - lo, 0.0), 1.0)"
+
+
+def cut(n: str, frac: float) -> str:
+    return f"CAST(floor(CAST({n} AS DOUBLE) * {float(frac)!r}) AS BIGINT)"
+
+
+ORACLE["scaler_state"] = with_(ORDER_TICKS, ORDER_BARS) + """
+SELECT ticker, min(close) AS lo, max(close) AS hi FROM order_bars GROUP BY ticker"""
+
+ORACLE["minmax_scale"] = with_(*BASE) + """
+SELECT ticker, bar_date, round(close, 6) AS close, round(lo, 6) AS lo, round(hi, 6) AS hi,
+       round(s, 6) AS s FROM scaled"""
+
+ORACLE["minmax_scale_train_fit"] = with_(ORDER_TICKS, ORDER_BARS, POS_BARS) + f"""
+, st AS (SELECT ticker, min(close) AS lo, max(close) AS hi FROM pos_bars
+         WHERE pos <= {L} + {cut(f'greatest(n - {L}, 0)', 0.8)} GROUP BY ticker)
+SELECT b.ticker, bar_date, round(close, 6) AS close, round(lo, 6) AS lo, round(hi, 6) AS hi,
+       round((close - lo) / {RNG}, 6) AS s
+FROM pos_bars b JOIN st ON st.ticker = b.ticker"""
+
+ORACLE["scale_roundtrip"] = with_(*BASE) + f"""
+SELECT ticker, bar_date, round(close, 6) AS close, round(s * {RNG} + lo, 6) AS restored FROM scaled"""
+
+ORACLE["trainable_tickers"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
+SELECT ticker, count(*) AS n FROM order_bars GROUP BY ticker HAVING count(*) > {L}"""
+
+SAMPLES = f"""samples AS (
+  SELECT ticker, bar_date, pos - {L} AS k, s AS y,
+         list(s) OVER (PARTITION BY ticker ORDER BY bar_date
+                       ROWS BETWEEN {L} PRECEDING AND 1 PRECEDING) AS x, pos
+  FROM scaled)"""
+
+ORACLE["sequence_samples"] = with_(*BASE, SAMPLES) + """
+SELECT ticker, bar_date, k, CAST(len(x) AS INTEGER) AS x_len, round(x[1], 6) AS x_first,
+       round(x[len(x)], 6) AS x_last, round(list_sum(x), 6) AS x_sum, round(y, 6) AS y
+FROM samples WHERE k > 0"""
+
+_NS = "count(*) OVER (PARTITION BY ticker)"
+ORACLE["train_test_split"] = with_(*BASE, SAMPLES) + f"""
+SELECT ticker, bar_date, k,
+       CASE WHEN k <= {cut('ns', 0.8)} THEN 'train' ELSE 'test' END AS split
+FROM (SELECT *, {_NS} AS ns FROM samples WHERE k > 0)"""
+
+ORACLE["three_way_split"] = with_(*BASE, SAMPLES) + f"""
+SELECT ticker, bar_date, k,
+       CASE WHEN k <= {cut('ns', 0.7)} THEN 'train'
+            WHEN k <= {cut('ns', 0.7 + 0.15)} THEN 'valid' ELSE 'test' END AS split
+FROM (SELECT *, {_NS} AS ns FROM samples WHERE k > 0)"""
+
+ORACLE["last_n_bars"] = with_(ORDER_TICKS, ORDER_BARS, POS_BARS) + """
+SELECT ticker, bar_date, close, pos FROM pos_bars WHERE pos > n - 20"""
+
+ORACLE["seed_window"] = with_(*BASE) + f"""
+SELECT ticker, 'latest' AS mode, CAST(count(*) AS INTEGER) AS seed_len,
+       round(arg_min(s, pos), 6) AS seed_first, round(arg_max(s, pos), 6) AS seed_last,
+       max(bar_date) AS seed_end
+FROM scaled WHERE n > {L} AND pos > n - {L} GROUP BY ticker
+UNION ALL
+SELECT ticker, 'reference', CAST(count(*) AS INTEGER), round(arg_min(s, pos), 6),
+       round(arg_max(s, pos), 6), max(bar_date)
+FROM scaled WHERE n > {L} AND pos > n - 1 - {L} AND pos <= n - 1 GROUP BY ticker"""
+
+ORACLE["rsi"] = with_(ORDER_TICKS, ORDER_BARS, POS_BARS) + """
+, d AS (SELECT ticker, bar_date, close, pos,
+               close - lag(close) OVER (PARTITION BY ticker ORDER BY bar_date) AS dl FROM pos_bars)
+, g AS (SELECT *, avg(greatest(dl, 0.0)) OVER w AS ag, avg(greatest(-dl, 0.0)) OVER w AS al FROM d
+        WINDOW w AS (PARTITION BY ticker ORDER BY bar_date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW))
+SELECT ticker, bar_date, round(close, 6) AS close,
+       round(CASE WHEN al = 0 THEN 100.0 ELSE 100.0 - 100.0 / (1.0 + ag / al) END, 6) AS rsi
+FROM g WHERE pos > 14"""
+
+_A12, _A26, _A9 = 2.0 / 13, 2.0 / 27, 2.0 / 10
+ORACLE["macd"] = "WITH RECURSIVE " + ",\n".join((ORDER_TICKS, ORDER_BARS, POS_BARS)) + f"""
+, m(ticker, pos, e12, e26, sig) AS (
+  SELECT ticker, pos, close, close, 0.0::DOUBLE FROM pos_bars WHERE pos = 1
+  UNION ALL
+  SELECT p.ticker, p.pos,
+         {_A12!r} * p.close + {1 - _A12!r} * m.e12,
+         {_A26!r} * p.close + {1 - _A26!r} * m.e26,
+         {_A9!r} * (({_A12!r} * p.close + {1 - _A12!r} * m.e12) - ({_A26!r} * p.close + {1 - _A26!r} * m.e26))
+           + {1 - _A9!r} * m.sig
+  FROM m JOIN pos_bars p ON p.ticker = m.ticker AND p.pos = m.pos + 1)
+SELECT b.ticker, b.bar_date, round(b.close, 2) AS close, round(e12 - e26, 2) AS macd,
+       round(sig, 2) AS signal, round(e12 - e26 - sig, 2) AS hist
+FROM m JOIN pos_bars b ON b.ticker = m.ticker AND b.pos = m.pos"""
+
+# ---------------------------------------------------------------- forecast (AR(1))
+PAIRS = f"""pairs AS (
+  SELECT ticker, bar_date, k, x_last, y, lo, hi,
+         CASE WHEN k <= {cut(f'greatest(n - {L}, 0)', 0.8)} THEN 'train' ELSE 'test' END AS split
+  FROM (SELECT ticker, bar_date, pos - {L} AS k, n, lo, hi, s AS y,
+               lag(s) OVER (PARTITION BY ticker ORDER BY bar_date) AS x_last FROM scaled)
+  WHERE k > 0)"""
+COEFS = """coefs AS (
+  SELECT ticker, coalesce(regr_intercept(y, x_last), 0.0) AS a,
+         coalesce(regr_slope(y, x_last), 1.0) AS b, count(*) AS n_train
+  FROM pairs WHERE split = 'train' GROUP BY ticker)"""
+PVA = f"""pva AS (
+  SELECT p.ticker, bar_date, k, y * {RNG} + lo AS actual, (a + b * x_last) * {RNG} + lo AS predicted
+  FROM pairs p JOIN coefs c ON c.ticker = p.ticker WHERE split = 'test')"""
+
+ORACLE["ar1_fit"] = with_(*BASE, PAIRS, COEFS) + """
+SELECT ticker, round(a, 6) AS a, round(b, 6) AS b, n_train FROM coefs"""
+
+ORACLE["pred_vs_actual"] = with_(*BASE, PAIRS, COEFS, PVA) + """
+SELECT ticker, bar_date, k, round(actual, 4) AS actual, round(predicted, 4) AS predicted FROM pva"""
+
+ORACLE["rmse_ar1"] = with_(*BASE, PAIRS, COEFS, PVA) + """
+SELECT ticker, round(sqrt(avg((actual - predicted) * (actual - predicted))), 4) AS rmse,
+       count(*) AS n FROM pva GROUP BY ticker"""
+
+ORACLE["rmse_persistence"] = with_(ORDER_TICKS, ORDER_BARS, POS_BARS) + """
+SELECT ticker, round(sqrt(avg((close - prev) * (close - prev))), 4) AS rmse, count(*) AS n
+FROM (SELECT ticker, pos, close, lag(close) OVER (PARTITION BY ticker ORDER BY bar_date) AS prev
+      FROM pos_bars) WHERE pos > 1 GROUP BY ticker"""
+
+
+def roll_sql(shift: int, days: int = 30) -> str:
+    return "WITH RECURSIVE " + ",\n".join((*BASE, PAIRS, COEFS)) + f"""
+, seed AS (SELECT s.ticker, s.s AS v, s.lo, s.hi,
+                  (SELECT max(bar_date) FROM scaled z WHERE z.ticker = s.ticker) AS last_date
+           FROM scaled s WHERE n > {L} AND pos = n - {shift})
+, roll(ticker, step, v) AS (
+  SELECT ticker, 0, v FROM seed
+  UNION ALL
+  SELECT r.ticker, r.step + 1, c.a + c.b * r.v FROM roll r JOIN coefs c ON c.ticker = r.ticker
+  WHERE r.step < {days})
+, fc AS (SELECT r.ticker, CAST(r.step AS INTEGER) AS step, s.last_date + CAST(r.step AS INTEGER) AS target_date,
+                r.v * coalesce(nullif(s.hi - s.lo, 0.0), 1.0) + s.lo AS yhat
+         FROM roll r JOIN seed s ON s.ticker = r.ticker WHERE r.step >= 1)
+"""
+
+
+ORACLE["forecast_ar1"] = roll_sql(0) + "SELECT ticker, step, target_date, round(yhat, 4) AS yhat FROM fc"
+ORACLE["forecast_ar1_reference_seed"] = roll_sql(1) + \
+    "SELECT ticker, step, target_date, round(yhat, 4) AS yhat FROM fc"
+ORACLE["future_dates"] = roll_sql(0) + "SELECT ticker, step, target_date FROM fc"
+ORACLE["forecast_candles"] = roll_sql(0) + """
+, lc AS (SELECT ticker, arg_max(close, bar_date) AS last_close FROM order_bars GROUP BY ticker)
+, c AS (SELECT fc.ticker, step, yhat AS close,
+               coalesce(lag(yhat) OVER (PARTITION BY fc.ticker ORDER BY step), last_close) AS open
+        FROM fc JOIN lc ON lc.ticker = fc.ticker
+        WHERE step <= 10 AND fc.ticker IN (SELECT ticker FROM fc GROUP BY ticker HAVING max(step) >= 10))
+SELECT ticker, step, DATE '2024-01-01' + step AS target_date, round(open, 4) AS open,
+       round(greatest(open, close) * 1.01, 4) AS high, round(least(open, close) * 0.99, 4) AS low,
+       round(close, 4) AS close
+FROM c"""

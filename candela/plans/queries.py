@@ -53,10 +53,261 @@ def union_stocks(spark, sf_dir) -> DataFrame:
 # ---------------------------------------------------------------- slice 1
 @query("bars_daily")
 def q_bars_daily(spark, sf_dir):
-    return rounded(cat.order_bars(spark, sf_dir))
+    return cat.order_bars(spark, sf_dir)
 
 
 @query("avg_close_sql")
 def q_avg_close_sql(spark, sf_dir):
     stocks = scans.stocks_view(cat.order_bars(spark, sf_dir))
     return rounded(agg.avg_close_sql(spark, stocks))
+
+
+# ---------------------------------------------------------------- scans, filters, unions
+@query("bars_brand_daily")
+def q_bars_brand_daily(spark, sf_dir):
+    return cat.brand_bars(spark, sf_dir)
+
+
+@query("bars_hourly")
+def q_bars_hourly(spark, sf_dir):
+    return cat.event_bars(spark, sf_dir, "hour")
+
+
+@query("close_history")
+def q_close_history(spark, sf_dir):
+    return scans.close_history(cat.order_bars(spark, sf_dir), "1-URGENT", *RANGE)
+
+
+@query("ohlcv_history")
+def q_ohlcv_history(spark, sf_dir):
+    return scans.ohlcv_history(cat.order_bars(spark, sf_dir), PICK, *RANGE,
+                                       include_volume=True)
+
+
+@query("date_range_filter")
+def q_date_range_filter(spark, sf_dir):
+    return scans.date_range_filter(cat.brand_bars(spark, sf_dir), *RANGE)
+
+
+@query("ticker_filter")
+def q_ticker_filter(spark, sf_dir):
+    from candela.functions.expr import split_tickers
+    return scans.ticker_filter(cat.brand_bars(spark, sf_dir),
+                                       split_tickers(" Brand#12, ,Brand#45 ,Brand#99,"))
+
+
+@query("wide_to_tidy")
+def q_wide_to_tidy(spark, sf_dir):
+    wide = scans.widen_bars(cat.order_bars(spark, sf_dir), cat.ORDER_TICKERS)
+    return scans.tidy_wide_bars(wide)
+
+
+@query("multi_ticker_union")
+def q_multi_ticker_union(spark, sf_dir):
+    return scans.date_range_filter(union_stocks(spark, sf_dir), *RANGE, col="Date")
+
+
+@query("mean_close")
+def q_mean_close(spark, sf_dir):
+    return rounded(agg.mean_close(union_stocks(spark, sf_dir)))
+
+
+@query("avg_close_union_sql")
+def q_avg_close_union_sql(spark, sf_dir):
+    return rounded(agg.avg_close_sql(spark, union_stocks(spark, sf_dir), view="stocks_all"))
+
+
+@query("head_rows")
+def q_head_rows(spark, sf_dir):
+    stocks = scans.date_range_filter(union_stocks(spark, sf_dir), *RANGE, col="Date")
+    return scans.head_rows(stocks, PICK, 5)
+
+
+@query("availability_report")
+def q_availability(spark, sf_dir):
+    return scans.availability(cat.order_bars(spark, sf_dir), PICK, *RANGE)
+
+
+@query("tickers_with_data")
+def q_tickers_with_data(spark, sf_dir):
+    return scans.tickers_with_data(cat.order_bars(spark, sf_dir), PICK, *RANGE)
+
+
+@query("tickers_without_data")
+def q_tickers_without_data(spark, sf_dir):
+    return scans.tickers_without_data(cat.order_bars(spark, sf_dir), PICK, *RANGE)
+
+
+@query("candle_summary")
+def q_candle_summary(spark, sf_dir):
+    ohlc = scans.ohlcv_history(cat.order_bars(spark, sf_dir), cat.ORDER_TICKERS, *RANGE)
+    return agg.candle_summary(ohlc)
+
+
+# ---------------------------------------------------------------- features
+L = 60
+FRAC = 0.8
+
+
+def scaled_orders(spark, sf_dir, fit="all"):
+    from candela.operators.features import minmax_scale
+    from candela.operators.position import with_position
+    return minmax_scale(with_position(cat.order_bars(spark, sf_dir)), fit=fit, L=L, frac=FRAC)
+
+
+@query("scaler_state")
+def q_scaler_state(spark, sf_dir):
+    return agg.scaler_state(cat.order_bars(spark, sf_dir))
+
+
+@query("minmax_scale")
+def q_minmax_scale(spark, sf_dir):
+    return rounded(scaled_orders(spark, sf_dir).select("ticker", "bar_date", "close", "lo", "hi", "s"))
+
+
+@query("minmax_scale_train_fit")
+def q_minmax_scale_train(spark, sf_dir):
+    return rounded(scaled_orders(spark, sf_dir, fit="train")
+                   .select("ticker", "bar_date", "close", "lo", "hi", "s"))
+
+
+@query("scale_roundtrip")
+def q_scale_roundtrip(spark, sf_dir):
+    from candela.operators.features import inverse_scale_expr
+    d = scaled_orders(spark, sf_dir)
+    return rounded(d.select("ticker", "bar_date", "close", inverse_scale_expr("s").alias("restored")))
+
+
+@query("trainable_tickers")
+def q_trainable(spark, sf_dir):
+    from candela.operators.position import series_counts
+    n = series_counts(cat.order_bars(spark, sf_dir))
+    return n.where(F.col("n") > L).select("ticker", "n")
+
+
+def _sample_summary(samples):
+    return samples.select("ticker", "bar_date", "k", F.size("x").alias("x_len"),
+                          F.element_at("x", 1).alias("x_first"), F.element_at("x", -1).alias("x_last"),
+                          F.aggregate("x", F.lit(0.0), lambda a, v: a + v).alias("x_sum"), "y")
+
+
+@query("sequence_samples")
+def q_sequence_samples(spark, sf_dir):
+    from candela.operators.features import sequence_samples
+    return rounded(_sample_summary(sequence_samples(scaled_orders(spark, sf_dir), L)))
+
+
+@query("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    from candela.operators.features import sequence_samples, chrono_split
+    s = sequence_samples(scaled_orders(spark, sf_dir), L).select("ticker", "bar_date", "k")
+    return chrono_split(s, FRAC)
+
+
+@query("three_way_split")
+def q_three_way_split(spark, sf_dir):
+    from candela.operators.features import sequence_samples, three_way_split
+    s = sequence_samples(scaled_orders(spark, sf_dir), L).select("ticker", "bar_date", "k")
+    return three_way_split(s, 0.7, 0.15)
+
+
+@query("last_n_bars")
+def q_last_n_bars(spark, sf_dir):
+    from candela.operators.features import last_n_bars
+    return last_n_bars(cat.order_bars(spark, sf_dir), 20).select("ticker", "bar_date", "close", "pos")
+
+
+@query("seed_window")
+def q_seed_window(spark, sf_dir):
+    from candela.operators.features import seed_window
+    d = scaled_orders(spark, sf_dir)
+    parts = []
+    for mode in ("latest", "reference"):
+        sw = seed_window(d, L, mode)
+        parts.append(sw.select("ticker", F.lit(mode).alias("mode"), F.size("seed").alias("seed_len"),
+                               F.element_at("seed", 1).alias("seed_first"),
+                               F.element_at("seed", -1).alias("seed_last"), "seed_end"))
+    return rounded(parts[0].unionByName(parts[1]))
+
+
+@query("rsi")
+def q_rsi(spark, sf_dir):
+    from candela.operators.indicators import rsi
+    return rounded(rsi(cat.order_bars(spark, sf_dir), 14))
+
+
+@query("macd")
+def q_macd(spark, sf_dir):
+    from candela.operators.indicators import macd
+    return rounded(macd(cat.order_bars(spark, sf_dir)), 2)
+
+
+# ---------------------------------------------------------------- forecast (AR(1))
+AS_OF = "2024-01-01"      # the reference dates forecast candles from "today"
+N_CANDLES = 10
+DAYS = 30
+
+
+def ar1_parts(spark, sf_dir):
+    from candela.operators.forecast import ar1_fit, ar1_pairs
+    d = scaled_orders(spark, sf_dir)
+    pairs = ar1_pairs(d, L, FRAC)
+    return d, pairs, ar1_fit(pairs)
+
+
+@query("ar1_fit")
+def q_ar1_fit(spark, sf_dir):
+    _, _, coefs = ar1_parts(spark, sf_dir)
+    return rounded(coefs)
+
+
+@query("pred_vs_actual")
+def q_pred_vs_actual(spark, sf_dir):
+    from candela.operators.forecast import ar1_predict_test
+    _, pairs, coefs = ar1_parts(spark, sf_dir)
+    return rounded(ar1_predict_test(pairs, coefs), 4)
+
+
+@query("rmse_ar1")
+def q_rmse_ar1(spark, sf_dir):
+    from candela.operators.forecast import ar1_predict_test
+    _, pairs, coefs = ar1_parts(spark, sf_dir)
+    return rounded(agg.rmse(ar1_predict_test(pairs, coefs)), 4)
+
+
+@query("rmse_persistence")
+def q_rmse_persistence(spark, sf_dir):
+    from candela.operators.features import lagged
+    from candela.operators.position import with_position
+    d = lagged(with_position(cat.order_bars(spark, sf_dir)), "close", 1).where(F.col("pos") > 1)
+    pred = d.select("ticker", F.col("close").alias("actual"), F.col("close_lag1").alias("predicted"))
+    return rounded(agg.rmse(pred), 4)
+
+
+@query("forecast_ar1")
+def q_forecast_ar1(spark, sf_dir):
+    from candela.operators.forecast import ar1_forecast
+    d, _, coefs = ar1_parts(spark, sf_dir)
+    return rounded(ar1_forecast(d, coefs, DAYS, "latest", L), 4)
+
+
+@query("forecast_ar1_reference_seed")
+def q_forecast_ar1_ref(spark, sf_dir):
+    from candela.operators.forecast import ar1_forecast
+    d, _, coefs = ar1_parts(spark, sf_dir)
+    return rounded(ar1_forecast(d, coefs, DAYS, "reference", L), 4)
+
+
+@query("future_dates")
+def q_future_dates(spark, sf_dir):
+    from candela.operators.forecast import ar1_forecast
+    d, _, coefs = ar1_parts(spark, sf_dir)
+    return ar1_forecast(d, coefs, DAYS, "latest", L).select("ticker", "step", "target_date")
+
+
+@query("forecast_candles")
+def q_forecast_candles(spark, sf_dir):
+    from candela.operators.forecast import ar1_forecast, forecast_candles, last_close
+    d, _, coefs = ar1_parts(spark, sf_dir)
+    fc = ar1_forecast(d, coefs, DAYS, "latest", L)
+    return rounded(forecast_candles(fc, last_close(cat.order_bars(spark, sf_dir)), N_CANDLES, AS_OF), 4)
