@@ -288,3 +288,103 @@ SELECT ticker, step, DATE '2024-01-01' + step AS target_date, round(open, 4) AS
        round(greatest(open, close) * 1.01, 4) AS high, round(least(open, close) * 0.99, 4) AS low,
        round(close, 4) AS close
 FROM c"""
+
+# ---------------------------------------------------------------- quotes, log, snapshot
+def iso(ts: str) -> str:
+    return (f"CASE WHEN strftime({ts}, '%f') = '000000' THEN strftime({ts}, '%Y-%m-%dT%H:%M:%S') "
+            f"ELSE strftime({ts}, '%Y-%m-%dT%H:%M:%S.%f') END")
+
+
+POLL_LOG = f"""slots AS (SELECT ticker, CAST(ceil(epoch_us(ts) / 60000000.0) AS BIGINT) AS slot
+                          FROM event_ticks),
+bounds AS (SELECT ticker, min(slot) AS s0, (SELECT max(slot) FROM slots) AS s1 FROM slots GROUP BY ticker),
+polls AS (SELECT ticker, make_timestamp(slot * 60000000) AS p
+          FROM (SELECT ticker, unnest(range(s0, s1 + 1)) AS slot FROM bounds)),
+plog AS (SELECT pp.ticker, t.price, {iso('t.ts')} AS "timestamp", 'events' AS source,
+                strftime(pp.p, '%Y-%m-%dT%H:%M:%S.%fZ') AS fetched_at
+         FROM polls pp ASOF JOIN event_ticks t ON pp.ticker = t.ticker AND pp.p >= t.ts)"""
+
+ORACLE["latest_quote"] = with_(EVENT_TICKS) + f"""
+SELECT ticker, price, ts, {iso('ts')} AS "timestamp"
+FROM (SELECT ticker, arg_max(price, row(ts, tick_id)) AS price, max(ts) AS ts
+      FROM event_ticks GROUP BY ticker)"""
+
+ORACLE["valid_quotes"] = f"""
+SELECT event_type AS ticker, value AS price, {iso('ts')} AS "timestamp", 'events' AS source,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS fetched_at
+FROM events WHERE value IS NOT NULL AND NOT isnan(value)"""
+
+ORACLE["poll_log"] = with_(EVENT_TICKS, POLL_LOG) + "SELECT * FROM plog"
+ORACLE["quote_log_scan"] = ORACLE["poll_log"]
+
+ORACLE["dedup_quotes"] = with_(EVENT_TICKS, POLL_LOG) + """
+SELECT ticker, arg_min(price, fetched_at) AS price, "timestamp", arg_min(source, fetched_at) AS source,
+       min(fetched_at) AS fetched_at
+FROM plog GROUP BY ticker, "timestamp\""""
+
+ORACLE["quote_snapshot"] = with_(EVENT_TICKS, POLL_LOG) + """
+SELECT r.ticker, r.price, r."timestamp", r.source, r.fetched_at FROM (
+  SELECT arg_max({'ticker': ticker, 'price': price, 'timestamp': "timestamp", 'source': source,
+                  'fetched_at': fetched_at},
+                 row(CAST("timestamp" AS TIMESTAMP), fetched_at)) AS r
+  FROM plog GROUP BY ticker)"""
+
+EVENT_BARS_D = bars_cte("event_bars_d", "event_ticks")
+ORACLE["bars_with_latest_quote"] = with_(EVENT_TICKS, EVENT_BARS_D) + """
+SELECT b.*, q.rt_price, q.rt_ts FROM event_bars_d b LEFT JOIN (
+  SELECT ticker, arg_max(price, row(ts, tick_id)) AS rt_price, max(ts) AS rt_ts
+  FROM event_ticks GROUP BY ticker) q ON q.ticker = b.ticker"""
+
+# ---------------------------------------------------------------- chart feeds
+ORDER_LATEST = """olatest AS (SELECT ticker, arg_max(price, row(ts, tick_id)) AS price, max(ts) AS ts
+                               FROM order_ticks GROUP BY ticker)"""
+_N = "CAST(NULL AS DOUBLE)"
+
+
+def feed_select(trace: str, src: str, x: str, o=None, y=None, where: str = "") -> str:
+    o = o or (_N, _N, _N, _N)
+    return (f"SELECT ticker, '{trace}' AS trace, CAST({x} AS TIMESTAMP) AS x, "
+            f"round({o[0]}, 4) AS open, round({o[1]}, 4) AS high, round({o[2]}, 4) AS low, "
+            f"round({o[3]}, 4) AS close, round(CAST({y or _N} AS DOUBLE), 4) AS y FROM {src} {where}")
+
+
+ORACLE["line_feed"] = roll_sql(0) + ", " + ORDER_LATEST + "\n" + "\nUNION ALL\n".join([
+    feed_select("history", "order_bars", "bar_date", y="close"),
+    feed_select("predicted", "fc", "target_date", y="yhat"),
+    feed_select("realtime", "olatest", "ts", y="price"),
+])
+
+ORACLE["candle_feed"] = roll_sql(0) + ", " + ORDER_LATEST + """
+, lc AS (SELECT ticker, arg_max(close, bar_date) AS last_close FROM order_bars GROUP BY ticker)
+, c0 AS (SELECT fc.ticker, step, yhat AS close,
+               coalesce(lag(yhat) OVER (PARTITION BY fc.ticker ORDER BY step), last_close) AS open
+        FROM fc JOIN lc ON lc.ticker = fc.ticker WHERE step <= 10)
+, cand AS (SELECT ticker, DATE '2024-01-01' + step AS target_date, open, close,
+                  greatest(open, close) * 1.01 AS high, least(open, close) * 0.99 AS low FROM c0)
+""" + "\nUNION ALL\n".join([
+    feed_select("ohlc", "order_bars", "bar_date", o=("open", "high", "low", "close")),
+    feed_select("volume", "order_bars", "bar_date", y="volume"),
+    feed_select("forecast_ohlc", "cand", "target_date", o=("open", "high", "low", "close")),
+    feed_select("predicted", "fc", "target_date", y="yhat"),
+    feed_select("realtime", "olatest", "ts", y="price"),
+])
+
+ORACLE["grid_feed"] = with_(ORDER_TICKS, ORDER_BARS, ORDER_LATEST) + f"""
+, sel AS (SELECT * FROM order_bars WHERE {RANGE_SQL}
+          AND ticker IN ('2-HIGH', '4-NOT SPECIFIED', 'ZZZ-NONE', '1-URGENT'))
+, valid AS (SELECT pos, ticker FROM {PICK_VALUES} req(pos, ticker)
+            WHERE ticker IN (SELECT ticker FROM sel))
+, lay AS (SELECT ticker, CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER) AS panel,
+                 count(*) OVER () AS nv FROM valid)
+, layout AS (SELECT ticker, panel,
+                    CAST(floor(panel / (CASE WHEN nv > 1 THEN 2 ELSE 1 END)) + 1 AS INTEGER) AS grid_row,
+                    CAST(panel % (CASE WHEN nv > 1 THEN 2 ELSE 1 END) + 1 AS INTEGER) AS grid_col,
+                    CAST(ceil(nv / (CASE WHEN nv > 1 THEN 2 ELSE 1 END)) AS INTEGER) AS grid_rows,
+                    CAST(CASE WHEN nv > 1 THEN 2 ELSE 1 END AS INTEGER) AS grid_cols FROM lay)
+, rt AS (SELECT * FROM olatest WHERE ticker IN (SELECT ticker FROM valid))
+, feed AS (
+""" + "\nUNION ALL\n".join([
+    feed_select("ohlc", "sel", "bar_date", o=("open", "high", "low", "close")),
+    feed_select("volume", "sel", "bar_date", y="volume"),
+    feed_select("realtime", "rt", "ts", y="price"),
+]) + ")\nSELECT feed.*, panel, grid_row, grid_col, grid_rows, grid_cols FROM feed JOIN layout USING (ticker)"

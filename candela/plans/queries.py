@@ -311,3 +311,106 @@ def q_forecast_candles(spark, sf_dir):
     d, _, coefs = ar1_parts(spark, sf_dir)
     fc = ar1_forecast(d, coefs, DAYS, "latest", L)
     return rounded(forecast_candles(fc, last_close(cat.order_bars(spark, sf_dir)), N_CANDLES, AS_OF), 4)
+
+
+# ---------------------------------------------------------------- quotes, log, snapshot
+POLL_S = 60   # the reference daemon's default interval
+
+
+def poll_log(spark, sf_dir):
+    from candela.sources.quotes import poll_quotes
+    from candela.sources.ticks import load_event_ticks
+    return poll_quotes(load_event_ticks(spark, sf_dir), POLL_S, source="events")
+
+
+@query("latest_quote")
+def q_latest_quote(spark, sf_dir):
+    from candela.sources.quotes import latest_quote
+    from candela.sources.ticks import load_event_ticks
+    return latest_quote(load_event_ticks(spark, sf_dir))
+
+
+@query("valid_quotes")
+def q_valid_quotes(spark, sf_dir):
+    from candela.sources.quotes import quote_records, valid_quotes
+    from candela.sources.tables import read_table
+    ev = read_table(spark, sf_dir, "events", ["event_type", "ts", "value"])
+    q = valid_quotes(ev.select(F.col("event_type").alias("ticker"), "ts",
+                               F.col("value").alias("price")))
+    return quote_records(q, "events")
+
+
+@query("poll_log")
+def q_poll_log(spark, sf_dir):
+    return poll_log(spark, sf_dir)
+
+
+@query("quote_log_scan")
+def q_quote_log_scan(spark, sf_dir):
+    from candela.session import scratch_path
+    from candela.sinks.writers import append_quote_log
+    from candela.sources.quotes import read_quote_log
+    path = scratch_path(spark, "quote-log")
+    append_quote_log(poll_log(spark, sf_dir), path)
+    return read_quote_log(spark, path)
+
+
+@query("dedup_quotes")
+def q_dedup_quotes(spark, sf_dir):
+    from candela.sources.quotes import dedup_quotes
+    return dedup_quotes(poll_log(spark, sf_dir))
+
+
+@query("quote_snapshot")
+def q_quote_snapshot(spark, sf_dir):
+    from candela.schemas import QUOTE
+    from candela.session import scratch_path
+    from candela.sinks.writers import read_snapshot, write_snapshot
+    from candela.sources.quotes import snapshot_latest
+    path = scratch_path(spark, "snapshot")
+    write_snapshot(snapshot_latest(poll_log(spark, sf_dir)), path)
+    return read_snapshot(spark, path, QUOTE)
+
+
+@query("bars_with_latest_quote")
+def q_bars_with_latest_quote(spark, sf_dir):
+    from candela.operators.joins import bars_with_latest_quote
+    from candela.sources.quotes import latest_quote
+    from candela.sources.ticks import load_event_ticks
+    return bars_with_latest_quote(cat.event_bars(spark, sf_dir, "day"),
+                                  latest_quote(load_event_ticks(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- chart feeds
+def _order_latest(spark, sf_dir):
+    from candela.sources.quotes import latest_quote
+    from candela.sources.ticks import load_order_ticks
+    return latest_quote(load_order_ticks(spark, sf_dir))
+
+
+@query("line_feed")
+def q_line_feed(spark, sf_dir):
+    from candela.operators.feeds import line_feed
+    from candela.operators.forecast import ar1_forecast
+    d, _, coefs = ar1_parts(spark, sf_dir)
+    fc = ar1_forecast(d, coefs, DAYS, "latest", L)
+    return rounded(line_feed(cat.order_bars(spark, sf_dir), fc, _order_latest(spark, sf_dir)), 4)
+
+
+@query("candle_feed")
+def q_candle_feed(spark, sf_dir):
+    from candela.operators.feeds import candle_feed
+    from candela.operators.forecast import ar1_forecast, forecast_candles, last_close
+    bars = cat.order_bars(spark, sf_dir)
+    d, _, coefs = ar1_parts(spark, sf_dir)
+    fc = ar1_forecast(d, coefs, DAYS, "latest", L)
+    candles = forecast_candles(fc, last_close(bars), N_CANDLES, AS_OF)
+    return rounded(candle_feed(bars, fc, _order_latest(spark, sf_dir), candles,
+                               include_volume=True), 4)
+
+
+@query("grid_feed")
+def q_grid_feed(spark, sf_dir):
+    from candela.operators.feeds import grid_feed
+    bars = scans.date_range_filter(cat.order_bars(spark, sf_dir), *RANGE)
+    return grid_feed(bars, PICK, _order_latest(spark, sf_dir), include_volume=True)
