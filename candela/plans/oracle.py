@@ -388,3 +388,15 @@ ORACLE["grid_feed"] = with_(ORDER_TICKS, ORDER_BARS, ORDER_LATEST) + f"""
     feed_select("volume", "sel", "bar_date", y="volume"),
     feed_select("realtime", "rt", "ts", y="price"),
 ]) + ")\nSELECT feed.*, panel, grid_row, grid_col, grid_rows, grid_cols FROM feed JOIN layout USING (ticker)"
+
+# ---------------------------------------------------------------- streaming
+ORACLE["stream_quote_log"] = ORACLE["poll_log"]
+ORACLE["stream_snapshot"] = ORACLE["quote_snapshot"]
+ORACLE["stream_latest"] = ORACLE["quote_snapshot"]
+ORACLE["stream_dedup"] = with_(EVENT_TICKS, POLL_LOG) + """
+SELECT DISTINCT ticker, price, "timestamp", source FROM plog"""
+
+# append mode emits a window once the final watermark (max event time - 1 hour) passed its end
+ORACLE["stream_bars"] = with_(EVENT_TICKS, EVENT_BARS_H) + f"""
+SELECT ticker, bar_ts, {ROUND_BARS}, volume, n_ticks FROM event_bars
+WHERE bar_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM event_ticks) - INTERVAL 1 HOUR"""

@@ -414,3 +414,79 @@ def q_grid_feed(spark, sf_dir):
     from candela.operators.feeds import grid_feed
     bars = scans.date_range_filter(cat.order_bars(spark, sf_dir), *RANGE)
     return grid_feed(bars, PICK, _order_latest(spark, sf_dir), include_volume=True)
+
+
+# ---------------------------------------------------------------- streaming (drained with availableNow)
+def _quote_files(spark, sf_dir, files: int = 8) -> str:
+    """Write the derived poll log as JSON files: the input folder of the quote stream."""
+    from candela.session import scratch_path
+    src = scratch_path(spark, "quote-src")
+    poll_log(spark, sf_dir).repartitionByRange(files, "fetched_at").write.json(src)
+    return src
+
+
+def _read_json_tree(spark, path):
+    from candela.schemas import QUOTE
+    return spark.read.schema(QUOTE).option("recursiveFileLookup", "true").json(path)
+
+
+def _run_quote_stream(spark, sf_dir, **kw):
+    from candela.session import scratch_path
+    from candela.streaming.quotes import run_quote_stream
+    src = _quote_files(spark, sf_dir)
+    base = scratch_path(spark, "quote-stream")
+    log, snap = f"{base}/log", f"{base}/snapshot"
+    run_quote_stream(spark, src, log, snap, f"{base}/_checkpoint", **kw)
+    return log, snap
+
+
+@query("stream_quote_log")
+def q_stream_quote_log(spark, sf_dir):
+    log, _ = _run_quote_stream(spark, sf_dir, max_files_per_trigger=2)
+    return _read_json_tree(spark, log)
+
+
+@query("stream_snapshot")
+def q_stream_snapshot(spark, sf_dir):
+    from candela.schemas import QUOTE
+    from candela.sinks.writers import read_snapshot
+    _, snap = _run_quote_stream(spark, sf_dir, max_files_per_trigger=2)
+    return read_snapshot(spark, snap, QUOTE)
+
+
+@query("stream_max_rows")
+def q_stream_max_rows(spark, sf_dir):
+    log, _ = _run_quote_stream(spark, sf_dir, max_files_per_trigger=1, max_rows=1)
+    return _read_json_tree(spark, log)
+
+
+@query("stream_latest")
+def q_stream_latest(spark, sf_dir):
+    from candela.schemas import QUOTE
+    from candela.session import scratch_path
+    from candela.sinks.writers import read_snapshot
+    from candela.streaming.quotes import run_live_latest
+    src = _quote_files(spark, sf_dir)
+    base = scratch_path(spark, "live-latest")
+    run_live_latest(spark, src, f"{base}/out", f"{base}/_checkpoint", max_files_per_trigger=3)
+    return read_snapshot(spark, f"{base}/out", QUOTE)
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    from candela.session import scratch_path
+    from candela.streaming.quotes import quote_stream, run_to_parquet, stream_dedup
+    src = _quote_files(spark, sf_dir)
+    base = scratch_path(spark, "dedup")
+    run_to_parquet(stream_dedup(quote_stream(spark, src)), f"{base}/out", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/out").select("ticker", "price", "timestamp", "source")
+
+
+@query("stream_bars")
+def q_stream_bars(spark, sf_dir):
+    from candela.session import scratch_path
+    from candela.streaming.bars import event_bar_stream
+    base = scratch_path(spark, "stream-bars")
+    from candela.streaming.quotes import run_to_parquet
+    run_to_parquet(event_bar_stream(spark, sf_dir), f"{base}/out", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/out")

@@ -40,10 +40,15 @@ def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> str:
     return out
 
 
-def read_snapshot(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    v = latest_version(spark, path)
-    if v is None:
+def read_snapshot(spark: SparkSession, path: str, schema, before: int | None = None) -> DataFrame | None:
+    """Latest snapshot version (only versions < ``before`` when given, so a
+    replayed stream batch re-reads the state it started from)."""
+    vs = [int(n[2:]) for n in list_dirs(spark, path) if n.startswith("v=")]
+    if before is not None:
+        vs = [x for x in vs if x < before]
+    if not vs:
         return None
+    v = max(vs)
     return spark.read.schema(schema).json(f"{path.rstrip('/')}/v={v}")
 
 
