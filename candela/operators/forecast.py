@@ -189,11 +189,13 @@ def predict(model, samples: DataFrame) -> DataFrame:
 
 
 def rollout_model(model, seeds: DataFrame, days: int = 30, L: int = 60,
-                  checkpoint_every: int = 10) -> DataFrame:
+                  checkpoint_every: int = 3) -> DataFrame:
     """F5 for any fitted model: ``days`` transforms of one row per ticker.
 
-    The table has one row per ticker, so each step is small; lineage is cut
-    with a reliable ``checkpoint`` to the shared folder every few steps.
+    The table has one row per ticker, so each step is small.  Each step
+    reads the window column twice, so collapsed projections would double in
+    size per step; a reliable ``checkpoint`` to the shared folder every few
+    steps keeps both the plan and the generated code small.
     """
     from pyspark.ml.functions import array_to_vector
     cur = seeds.withColumn("_w", F.col("seed").cast("array<double>")) \

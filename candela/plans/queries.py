@@ -490,3 +490,108 @@ def q_stream_bars(spark, sf_dir):
     from candela.streaming.quotes import run_to_parquet
     run_to_parquet(event_bar_stream(spark, sf_dir), f"{base}/out", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/out")
+
+
+# ---------------------------------------------------------------- Spark ML models (rows-only checks)
+EPOCHS = 1   # the reference default
+
+
+def _ml_parts(spark, sf_dir):
+    from candela.operators.features import chrono_split, sequence_samples
+    d = scaled_orders(spark, sf_dir)
+    samples = chrono_split(sequence_samples(d, L), FRAC)
+    return d, samples
+
+
+def _lr(spark, sf_dir):
+    from candela.operators.forecast import fit_linear
+    d, samples = _ml_parts(spark, sf_dir)
+    model = fit_linear(samples.where(F.col("split") == "train"), epochs=EPOCHS)
+    return d, samples, model
+
+
+def _model_forecast(d, seeds_path_df, days=DAYS):
+    from candela.operators.features import inverse_scale_expr
+    from candela.operators.forecast import explode_path, future_dates
+    st = d.groupBy("ticker").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"),
+                                 F.max("bar_date").alias("last_date"))
+    out = future_dates(explode_path(seeds_path_df).join(st, "ticker"))
+    return out.select("ticker", "step", "target_date", inverse_scale_expr("yhat_s").alias("yhat"))
+
+
+@query("forecast_lr")
+def q_forecast_lr(spark, sf_dir):
+    from candela.operators.features import seed_window
+    from candela.operators.forecast import rollout_linear
+    d, _, model = _lr(spark, sf_dir)
+    seeds = seed_window(d, L, "latest")
+    rolled = rollout_linear(seeds, [float(v) for v in model.coefficients], float(model.intercept), DAYS)
+    return _model_forecast(d, rolled.select("ticker", "path"))
+
+
+@query("rmse_lr")
+def q_rmse_lr(spark, sf_dir):
+    from candela.operators.features import inverse_scale_expr
+    from candela.operators.forecast import predict
+    d, samples, model = _lr(spark, sf_dir)
+    st = agg.scaler_state(cat.order_bars(spark, sf_dir))
+    pred = predict(model, samples.where(F.col("split") == "test")).join(st, "ticker")
+    return agg.rmse(pred.select("ticker", inverse_scale_expr("y").alias("actual"),
+                                inverse_scale_expr("yhat_s").alias("predicted")))
+
+
+@query("loss_curve")
+def q_loss_curve(spark, sf_dir):
+    from candela.operators.forecast import fit_linear
+    _, samples = _ml_parts(spark, sf_dir)
+    model = fit_linear(samples.where(F.col("split") == "train"), epochs=20, solver="l-bfgs")
+    hist = list(model.summary.objectiveHistory)          # at most maxIter + 1 numbers
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iter int, loss double")
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    from pyspark.ml.regression import LinearRegressionModel
+    from candela.operators.forecast import predict
+    from candela.session import scratch_path
+    _, samples, model = _lr(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = LinearRegressionModel.load(path)
+    test = samples.where(F.col("split") == "test")
+    a = predict(model, test).select("ticker", "k", F.col("yhat_s").alias("saved"))
+    b = predict(loaded, test).select("ticker", "k", F.col("yhat_s").alias("loaded"))
+    return a.join(b, ["ticker", "k"])
+
+
+def _gbt(spark, sf_dir, early_stop=False):
+    from candela.operators.features import sequence_samples, three_way_split
+    from candela.operators.forecast import fit_gbt
+    d = scaled_orders(spark, sf_dir)
+    s = three_way_split(sequence_samples(d, L), 0.7, 0.15)
+    if early_stop:
+        fit_on = s.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "valid")
+        return d, s, fit_gbt(fit_on, epochs=50, validation="is_val", tol=0.01)
+    return d, s, fit_gbt(s.where(F.col("split") == "train"), epochs=10)
+
+
+@query("forecast_gbt")
+def q_forecast_gbt(spark, sf_dir):
+    from candela.operators.features import seed_window
+    from candela.operators.forecast import rollout_model
+    d, _, model = _gbt(spark, sf_dir)
+    seeds = seed_window(d, L, "latest").select("ticker", "seed")
+    rolled = rollout_model(model, seeds, DAYS, L)
+    return _model_forecast(d, rolled.select("ticker", "path"))
+
+
+@query("gbt_early_stop")
+def q_gbt_early_stop(spark, sf_dir):
+    from candela.operators.features import inverse_scale_expr
+    from candela.operators.forecast import predict
+    d, s, model = _gbt(spark, sf_dir, early_stop=True)
+    st = agg.scaler_state(cat.order_bars(spark, sf_dir))
+    pred = predict(model, s.where(F.col("split") == "test")).join(st, "ticker")
+    out = agg.rmse(pred.select("ticker", inverse_scale_expr("y").alias("actual"),
+                               inverse_scale_expr("yhat_s").alias("predicted")))
+    return out.withColumn("n_trees", F.lit(len(model.trees)))
