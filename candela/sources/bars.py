@@ -23,9 +23,15 @@ def period_column(period: str, ts: str = "ts"):
     raise ValueError(f"unknown period {period!r}; expected one of {PERIODS}")
 
 
+def tick_order(ticks: DataFrame):
+    """The ordering of ticks: the packed ``seq`` key when present (hash
+    aggregate), else ``struct(ts, tick_id)`` (sort aggregate)."""
+    return F.col("seq") if "seq" in ticks.columns else F.struct("ts", "tick_id")
+
+
 def build_bars(ticks: DataFrame, period: str = "day") -> DataFrame:
     pcol, pname = period_column(period)
-    order = F.struct("ts", "tick_id")
+    order = tick_order(ticks)
     return (ticks
             .select("ticker", pcol, "price", "qty", order.alias("_o"))
             .groupBy("ticker", pname)

@@ -20,11 +20,12 @@ def latest_quote(ticks: DataFrame) -> DataFrame:
 
     Output ``(ticker, price, ts, timestamp)``; a ticker without ticks has no row.
     """
+    from candela.sources.bars import tick_order
+    order = tick_order(ticks)
     last = (ticks.where(valid_price("price"))
             .groupBy("ticker")
-            .agg(F.max_by(F.struct("price", "ts"), F.struct("ts", "tick_id")).alias("q")))
-    return last.select("ticker", F.col("q.price").alias("price"), F.col("q.ts").alias("ts"),
-                       py_isoformat(F.col("q.ts")).alias("timestamp"))
+            .agg(F.max_by("price", order).alias("price"), F.max("ts").alias("ts")))
+    return last.select("ticker", "price", "ts", py_isoformat(F.col("ts")).alias("timestamp"))
 
 
 def quote_records(df: DataFrame, source: str, fetched_at="ts", price="price", ts="ts") -> DataFrame:
@@ -89,12 +90,15 @@ def poll_quotes(ticks: DataFrame, interval_s: int = 60, source: str = "events",
     ``(ticker, day)`` partitions, plus a carry from earlier days computed on the
     small ``(ticker, day)`` table.  No task ever holds a whole ticker.
     """
+    from candela.sources.bars import tick_order
     I = int(interval_s) * 1_000_000
     t = ticks.where(valid_price("price")).select(
-        "ticker", "ts", "price", "tick_id",
+        "ticker", "ts", "price", tick_order(ticks).alias("_o"),
         F.ceil(_us("ts") / F.lit(I)).cast("bigint").alias("slot"))
+    # latest tick per (ticker, poll): the latest tick has the largest ts
     newq = (t.groupBy("ticker", "slot")
-            .agg(F.max_by(F.struct("price", "ts"), F.struct("ts", "tick_id")).alias("q")))
+            .agg(F.max_by("price", "_o").alias("_p"), F.max("ts").alias("_t"))
+            .select("ticker", "slot", F.struct(F.col("_p").alias("price"), F.col("_t").alias("ts")).alias("q")))
     per = t.groupBy("ticker").agg(F.min("slot").alias("s0"), F.max("slot").alias("s1"))
     per = per.withColumn("s1", F.max("s1").over(Window.partitionBy()))  # one row per ticker
     spd = day_micros // I if day_micros % I == 0 else None
@@ -112,8 +116,11 @@ def poll_quotes(ticks: DataFrame, interval_s: int = 60, source: str = "events",
     within = Window.partitionBy("ticker", "day").orderBy("slot") \
         .rowsBetween(Window.unboundedPreceding, 0)
     p = p.withColumn("qf", F.last("q", ignorenulls=True).over(within))
+    has = F.when(F.col("q").isNotNull(), F.col("slot"))
     dayq = (p.groupBy("ticker", "day")
-            .agg(F.max_by("q", F.when(F.col("q").isNotNull(), F.col("slot"))).alias("dq")))
+            .agg(F.max_by("q.price", has).alias("_p"), F.max_by("q.ts", has).alias("_t"))
+            .select("ticker", "day", F.when(F.col("_t").isNotNull(), F.struct(
+                F.col("_p").alias("price"), F.col("_t").alias("ts"))).alias("dq")))
     before = Window.partitionBy("ticker").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     carry = dayq.select("ticker", "day", F.last("dq", ignorenulls=True).over(before).alias("cq"))
     out = (p.join(carry, ["ticker", "day"], "left")

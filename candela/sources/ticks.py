@@ -6,13 +6,35 @@ that share a timestamp; together with ``ts`` it makes open/close exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.functions.expr import valid_price
 from candela.sources.tables import read_table
 
 
+_D38 = "decimal(38,0)"
+
+
+def seq_key(ts: str = "ts", tick_id: str = "tick_id") -> Column:
+    """One ``decimal(38,0)`` that orders like ``(ts, tick_id)``.
+
+    ``(epoch µs + 10^16) * 10^20 + tick_id`` for timestamps after 1653 and
+    ids in ``[0, 10^20)``.  A decimal aggregation buffer is fixed-width, so
+    ``min_by``/``max_by`` over it stay in a hash aggregate; a struct ordering
+    would force a sort-based aggregate over every tick.
+    """
+    us = F.unix_micros(F.col(ts).cast("timestamp")).cast(_D38)
+    return ((us + F.lit(Decimal(10 ** 16)).cast(_D38)) * F.lit(Decimal(10 ** 20)).cast(_D38)
+            + F.col(tick_id).cast(_D38)).cast(_D38)
+
+
+def with_seq(ticks: DataFrame) -> DataFrame:
+    return ticks.withColumn("seq", seq_key())
+
+
 def order_ticks(orders: DataFrame) -> DataFrame:
     """orders → daily ticks: ticker = order priority, price = total price."""
     return (orders
@@ -21,14 +43,17 @@ def order_ticks(orders: DataFrame) -> DataFrame:
                     F.col("o_totalprice").cast("double").alias("price"),
                     F.lit(1.0).alias("qty"),
                     F.col("o_orderkey").alias("tick_id"))
-            .where(F.col("ticker").isNotNull() & valid_price("price")))
+            .where(F.col("ticker").isNotNull() & valid_price("price"))
+            .transform(with_seq))
 
 
 def lineitem_ticks(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """lineitem ⨝ part → trades: ticker = brand, price = unit price, qty = quantity.
 
     ``(l_orderkey, l_linenumber)`` is not unique, so the tie-break id is the
-    struct of the four line keys.  The join is left to the planner: AQE turns
+    struct of the four line keys.  Four keys do not fit one 38-digit key at
+    the target scale, so these ticks carry no ``seq`` and their bars use a
+    sort-based aggregate.  The join is left to the planner: AQE turns
     it into a broadcast only when the measured part side is small.
     """
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -51,7 +76,8 @@ def event_ticks(events: DataFrame, ticker_col: str = "event_type") -> DataFrame:
                     F.col("value").cast("double").alias("price"),
                     F.lit(1.0).alias("qty"),
                     F.col("event_id").alias("tick_id"))
-            .where(F.col("ticker").isNotNull() & valid_price("price")))
+            .where(F.col("ticker").isNotNull() & valid_price("price"))
+            .transform(with_seq))
 
 
 def load_order_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
