@@ -16,9 +16,17 @@ from candela.sources.ticks import load_event_ticks, load_lineitem_ticks, load_or
 ORDER_TICKERS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
-def order_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars of the five order-priority tickers."""
-    return build_bars(load_order_ticks(spark, sf_dir), "day")
+def order_bars(spark: SparkSession, sf_dir: str, materialized: bool = False) -> DataFrame:
+    """Daily bars of the five order-priority tickers.
+
+    ``materialized=True`` computes them once into a Parquet table; queries
+    with several branches over the bars use that form.
+    """
+    bars = build_bars(load_order_ticks(spark, sf_dir), "day")
+    if materialized:
+        from candela.plans.materialize import materialize
+        return materialize(bars, "order-bars")
+    return bars
 
 
 def brand_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

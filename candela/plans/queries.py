@@ -149,10 +149,13 @@ L = 60
 FRAC = 0.8
 
 
-def scaled_orders(spark, sf_dir, fit="all"):
+def scaled_orders(spark, sf_dir, fit="all", bars=None):
+    """Positioned and scaled daily bars, written once for the many branches that read them."""
     from candela.operators.features import minmax_scale
     from candela.operators.position import with_position
-    return minmax_scale(with_position(cat.order_bars(spark, sf_dir)), fit=fit, L=L, frac=FRAC)
+    from candela.plans.materialize import materialize
+    bars = bars if bars is not None else cat.order_bars(spark, sf_dir, materialized=True)
+    return materialize(minmax_scale(with_position(bars), fit=fit, L=L, frac=FRAC), "scaled-bars")
 
 
 @query("scaler_state")
@@ -214,7 +217,8 @@ def q_three_way_split(spark, sf_dir):
 @query("last_n_bars")
 def q_last_n_bars(spark, sf_dir):
     from candela.operators.features import last_n_bars
-    return last_n_bars(cat.order_bars(spark, sf_dir), 20).select("ticker", "bar_date", "close", "pos")
+    return last_n_bars(cat.order_bars(spark, sf_dir, materialized=True), 20) \
+        .select("ticker", "bar_date", "close", "pos")
 
 
 @query("seed_window")
@@ -233,13 +237,13 @@ def q_seed_window(spark, sf_dir):
 @query("rsi")
 def q_rsi(spark, sf_dir):
     from candela.operators.indicators import rsi
-    return rounded(rsi(cat.order_bars(spark, sf_dir), 14))
+    return rounded(rsi(cat.order_bars(spark, sf_dir, materialized=True), 14))
 
 
 @query("macd")
 def q_macd(spark, sf_dir):
     from candela.operators.indicators import macd
-    return rounded(macd(cat.order_bars(spark, sf_dir)), 2)
+    return rounded(macd(cat.order_bars(spark, sf_dir, materialized=True)), 2)
 
 
 # ---------------------------------------------------------------- forecast (AR(1))
@@ -248,9 +252,9 @@ N_CANDLES = 10
 DAYS = 30
 
 
-def ar1_parts(spark, sf_dir):
+def ar1_parts(spark, sf_dir, bars=None):
     from candela.operators.forecast import ar1_fit, ar1_pairs
-    d = scaled_orders(spark, sf_dir)
+    d = scaled_orders(spark, sf_dir, bars=bars)
     pairs = ar1_pairs(d, L, FRAC)
     return d, pairs, ar1_fit(pairs)
 
@@ -279,7 +283,8 @@ def q_rmse_ar1(spark, sf_dir):
 def q_rmse_persistence(spark, sf_dir):
     from candela.operators.features import lagged
     from candela.operators.position import with_position
-    d = lagged(with_position(cat.order_bars(spark, sf_dir)), "close", 1).where(F.col("pos") > 1)
+    d = lagged(with_position(cat.order_bars(spark, sf_dir, materialized=True)), "close", 1) \
+        .where(F.col("pos") > 1)
     pred = d.select("ticker", F.col("close").alias("actual"), F.col("close_lag1").alias("predicted"))
     return rounded(agg.rmse(pred), 4)
 
@@ -308,9 +313,10 @@ def q_future_dates(spark, sf_dir):
 @query("forecast_candles")
 def q_forecast_candles(spark, sf_dir):
     from candela.operators.forecast import ar1_forecast, forecast_candles, last_close
-    d, _, coefs = ar1_parts(spark, sf_dir)
+    bars = cat.order_bars(spark, sf_dir, materialized=True)
+    d, _, coefs = ar1_parts(spark, sf_dir, bars)
     fc = ar1_forecast(d, coefs, DAYS, "latest", L)
-    return rounded(forecast_candles(fc, last_close(cat.order_bars(spark, sf_dir)), N_CANDLES, AS_OF), 4)
+    return rounded(forecast_candles(fc, last_close(bars), N_CANDLES, AS_OF), 4)
 
 
 # ---------------------------------------------------------------- quotes, log, snapshot
@@ -392,17 +398,18 @@ def _order_latest(spark, sf_dir):
 def q_line_feed(spark, sf_dir):
     from candela.operators.feeds import line_feed
     from candela.operators.forecast import ar1_forecast
-    d, _, coefs = ar1_parts(spark, sf_dir)
+    bars = cat.order_bars(spark, sf_dir, materialized=True)
+    d, _, coefs = ar1_parts(spark, sf_dir, bars)
     fc = ar1_forecast(d, coefs, DAYS, "latest", L)
-    return rounded(line_feed(cat.order_bars(spark, sf_dir), fc, _order_latest(spark, sf_dir)), 4)
+    return rounded(line_feed(bars, fc, _order_latest(spark, sf_dir)), 4)
 
 
 @query("candle_feed")
 def q_candle_feed(spark, sf_dir):
     from candela.operators.feeds import candle_feed
     from candela.operators.forecast import ar1_forecast, forecast_candles, last_close
-    bars = cat.order_bars(spark, sf_dir)
-    d, _, coefs = ar1_parts(spark, sf_dir)
+    bars = cat.order_bars(spark, sf_dir, materialized=True)
+    d, _, coefs = ar1_parts(spark, sf_dir, bars)
     fc = ar1_forecast(d, coefs, DAYS, "latest", L)
     candles = forecast_candles(fc, last_close(bars), N_CANDLES, AS_OF)
     return rounded(candle_feed(bars, fc, _order_latest(spark, sf_dir), candles,
@@ -412,7 +419,7 @@ def q_candle_feed(spark, sf_dir):
 @query("grid_feed")
 def q_grid_feed(spark, sf_dir):
     from candela.operators.feeds import grid_feed
-    bars = scans.date_range_filter(cat.order_bars(spark, sf_dir), *RANGE)
+    bars = scans.date_range_filter(cat.order_bars(spark, sf_dir, materialized=True), *RANGE)
     return grid_feed(bars, PICK, _order_latest(spark, sf_dir), include_volume=True)
 
 
@@ -534,7 +541,7 @@ def q_rmse_lr(spark, sf_dir):
     from candela.operators.features import inverse_scale_expr
     from candela.operators.forecast import predict
     d, samples, model = _lr(spark, sf_dir)
-    st = agg.scaler_state(cat.order_bars(spark, sf_dir))
+    st = d.groupBy("ticker").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"))
     pred = predict(model, samples.where(F.col("split") == "test")).join(st, "ticker")
     return agg.rmse(pred.select("ticker", inverse_scale_expr("y").alias("actual"),
                                 inverse_scale_expr("yhat_s").alias("predicted")))
@@ -590,7 +597,7 @@ def q_gbt_early_stop(spark, sf_dir):
     from candela.operators.features import inverse_scale_expr
     from candela.operators.forecast import predict
     d, s, model = _gbt(spark, sf_dir, early_stop=True)
-    st = agg.scaler_state(cat.order_bars(spark, sf_dir))
+    st = d.groupBy("ticker").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"))
     pred = predict(model, s.where(F.col("split") == "test")).join(st, "ticker")
     out = agg.rmse(pred.select("ticker", inverse_scale_expr("y").alias("actual"),
                                inverse_scale_expr("yhat_s").alias("predicted")))
