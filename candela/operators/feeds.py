@@ -14,15 +14,18 @@ from pyspark.sql import functions as F
 from candela.sources.scans import requested, union_frames
 
 FEED_COLS = ["ticker", "trace", "x", "open", "high", "low", "close", "y"]
-_NULL = F.lit(None).cast("double")
+
+
+def _null():
+    return F.lit(None).cast("double")
 
 
 def _trace(df: DataFrame, name: str, x, y=None, ohlc=None) -> DataFrame:
     o = ohlc or (None, None, None, None)
     cols = [F.col("ticker"), F.lit(name).alias("trace"), x.cast("timestamp_ntz").alias("x")]
     for nm, c in zip(("open", "high", "low", "close"), o):
-        cols.append((F.col(c) if c else _NULL).alias(nm))
-    cols.append((y.cast("double") if y is not None else _NULL).alias("y"))
+        cols.append((F.col(c) if c else _null()).alias(nm))
+    cols.append((y.cast("double") if y is not None else _null()).alias("y"))
     return df.select(*cols)
 
 

@@ -400,3 +400,13 @@ SELECT DISTINCT ticker, price, "timestamp", source FROM plog"""
 ORACLE["stream_bars"] = with_(EVENT_TICKS, EVENT_BARS_H) + f"""
 SELECT ticker, bar_ts, {ROUND_BARS}, volume, n_ticks FROM event_bars
 WHERE bar_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM event_ticks) - INTERVAL 1 HOUR"""
+
+# ---------------------------------------------------------------- exports
+ORACLE["feed_export"] = ORACLE["candle_feed"]
+ORACLE["quote_json"] = with_(EVENT_TICKS) + f"""
+, lq AS (SELECT ticker, arg_max(price, row(ts, tick_id)) AS price, max(ts) AS ts
+         FROM event_ticks GROUP BY ticker)
+SELECT ticker, '{{"ticker":"' || ticker || '","price":' || CAST(price AS VARCHAR) ||
+       ',"timestamp":"' || {iso('ts')} || '","source":"events","fetched_at":"' ||
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}}' AS json
+FROM lq"""

@@ -150,12 +150,15 @@ FRAC = 0.8
 
 
 def scaled_orders(spark, sf_dir, fit="all", bars=None):
-    """Positioned and scaled daily bars, written once for the many branches that read them."""
+    """Positioned and scaled daily bars over the bar table written once per query.
+
+    The tick aggregation is the expensive part and is done once; positions
+    and scaler state are cheap passes over the (much smaller) bar table.
+    """
     from candela.operators.features import minmax_scale
     from candela.operators.position import with_position
-    from candela.plans.materialize import materialize
     bars = bars if bars is not None else cat.order_bars(spark, sf_dir, materialized=True)
-    return materialize(minmax_scale(with_position(bars), fit=fit, L=L, frac=FRAC), "scaled-bars")
+    return minmax_scale(with_position(bars), fit=fit, L=L, frac=FRAC)
 
 
 @query("scaler_state")
@@ -602,3 +605,23 @@ def q_gbt_early_stop(spark, sf_dir):
     out = agg.rmse(pred.select("ticker", inverse_scale_expr("y").alias("actual"),
                                inverse_scale_expr("yhat_s").alias("predicted")))
     return out.withColumn("n_trees", F.lit(len(model.trees)))
+
+
+# ---------------------------------------------------------------- exports
+@query("feed_export")
+def q_feed_export(spark, sf_dir):
+    """K3: the candle feed written as a Parquet table partitioned by trace, read back."""
+    from candela.session import scratch_path
+    from candela.sinks.writers import write_feed
+    path = scratch_path(spark, "feed")
+    write_feed(QUERIES["candle_feed"](spark, sf_dir), path, partition_by=["trace"])
+    return spark.read.parquet(path).select("ticker", "trace", "x", "open", "high", "low", "close", "y")
+
+
+@query("quote_json")
+def q_quote_json(spark, sf_dir):
+    """One-shot fetch: the latest quote of each ticker as one JSON document."""
+    from candela.sources.quotes import latest_quote, quote_records
+    from candela.sources.ticks import load_event_ticks
+    rec = quote_records(latest_quote(load_event_ticks(spark, sf_dir)), "events")
+    return rec.select("ticker", F.to_json(F.struct(*rec.columns)).alias("json"))

@@ -92,3 +92,15 @@ def test_head_rows_keeps_request_order(spark):
                               "Date date, Close double, Ticker string")
     got = [(r.Ticker, r.Date.day) for r in scans.head_rows(s, ["B", "A"], 4).collect()]
     assert got == [("B", 1), ("B", 2), ("B", 3), ("A", 1)]
+
+
+def test_cli_end_to_end(spark, tmp_path):
+    from candela.cli import parse, run
+    out = str(tmp_path / "out")
+    s = run(parse(["--sf-dir", "/root/testdata/sf0.001", "--out", out, "--candlestick",
+                   "--include-volume", "--forecast-candles", "5", "--model", "ar1",
+                   "--as-of", "2024-01-01"]))
+    assert s["history_rows"] > 60 and s["rmse"] is not None
+    feed = spark.read.parquet(f"{out}/feed")
+    assert {r.trace for r in feed.select("trace").distinct().collect()} == \
+        {"ohlc", "volume", "forecast_ohlc", "predicted", "realtime"}
