@@ -58,11 +58,33 @@ def digest(rows) -> str:
     return h.hexdigest()[:16]
 
 
+_SPARK_KIND = {"int": "int32", "bigint": "int64", "double": "float64", "float": "float32",
+               "string": "string", "date": "date", "timestamp": "timestamp",
+               "timestamp_ntz": "timestamp", "boolean": "bool", "smallint": "int16", "tinyint": "int8"}
+_DUCK_KIND = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "FLOAT": "float32",
+              "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp", "BOOLEAN": "bool",
+              "SMALLINT": "int16", "TINYINT": "int8", "TIMESTAMP WITH TIME ZONE": "timestamp"}
+
+
+def spark_kinds(df) -> dict:
+    return {f.name: _SPARK_KIND.get(f.dataType.simpleString(), f.dataType.simpleString())
+            for f in df.schema.fields}
+
+
+def duck_kinds(con, sql) -> dict:
+    rel = con.sql(sql)
+    return {n: _DUCK_KIND.get(str(t), str(t)) for n, t in zip(rel.columns, rel.types)}
+
+
 def compare(df, sql: str, con) -> dict:
     scols, srows = _rows_spark(df)
     ocols, orows = _rows_duck(con, sql)
     out = {"spark_rows": len(srows), "oracle_rows": len(orows),
            "schema_match": scols == ocols, "spark_cols": scols, "oracle_cols": ocols}
+    sk, dk = spark_kinds(df), duck_kinds(con, sql)
+    out["types_match"] = sk == dk
+    if sk != dk:
+        out["type_diff"] = {c: (sk.get(c), dk.get(c)) for c in set(sk) | set(dk) if sk.get(c) != dk.get(c)}
     out["values_match"] = Counter(srows) == Counter(orows)
     if not out["values_match"]:
         a, b = Counter(srows), Counter(orows)
