@@ -102,7 +102,7 @@ def grid_feed(bars: DataFrame, tickers, latest: DataFrame | None = None,
     """V3: per valid ticker a panel with candles, volume and the real-time point."""
     from candela.sources.scans import ticker_filter
     sel = ticker_filter(bars, list(tickers))
-    valid = requested(bars.sparkSession, tickers).join(sel.select("ticker"), "ticker", "left_semi")
+    valid = requested(bars.sparkSession, tickers).join(sel.select("ticker").distinct(), "ticker", "left_semi")
     layout = grid_layout(valid)
     feed = candle_feed(sel, latest=latest.join(valid, "ticker", "left_semi") if latest is not None else None,
                        include_volume=include_volume, hide_realtime=hide_realtime)

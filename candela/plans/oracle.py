@@ -94,8 +94,7 @@ ORACLE["wide_to_tidy"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
 SELECT ticker, bar_date, {ROUND_BARS}, volume FROM order_bars"""
 
 ORACLE["multi_ticker_union"] = with_(ORDER_TICKS, ORDER_BARS, LINE_TICKS, BRAND_BARS, UNION_STOCKS) + """
-SELECT "Date", "Close", "Ticker" FROM stocks_all
-WHERE "Date" >= DATE '1996-01-01' AND "Date" < DATE '2000-01-01'"""
+SELECT "Date", "Close", "Ticker" FROM stocks_all"""
 
 ORACLE["mean_close"] = with_(ORDER_TICKS, ORDER_BARS, LINE_TICKS, BRAND_BARS, UNION_STOCKS) + """
 SELECT "Ticker", round(avg("Close"), 6) AS mean_close FROM stocks_all
@@ -107,15 +106,14 @@ SELECT "Ticker", round(AVG("Close"), 6) AS avg_close FROM stocks_all GROUP BY "T
 ORACLE["head_rows"] = with_(ORDER_TICKS, ORDER_BARS, LINE_TICKS, BRAND_BARS, UNION_STOCKS) + f"""
 SELECT "Date", "Close", s."Ticker" FROM stocks_all s
 JOIN {PICK_VALUES} req(pos, "Ticker") ON s."Ticker" = req."Ticker"
-WHERE "Date" >= DATE '1996-01-01' AND "Date" < DATE '2000-01-01'
 ORDER BY pos, "Date" LIMIT 5"""
 
-_HAVE = f"(SELECT DISTINCT ticker FROM order_bars WHERE {RANGE_SQL})"
+_HAVE = "(SELECT DISTINCT ticker FROM order_bars)"
 ORACLE["availability_report"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
 SELECT req.pos, req.ticker, CAST(coalesce(c.n_bars, 0) AS BIGINT) AS n_bars,
        CASE WHEN coalesce(c.n_bars, 0) > 0 THEN 'ok' ELSE 'no_data' END AS status
 FROM {PICK_VALUES} req(pos, ticker)
-LEFT JOIN (SELECT ticker, count(*) AS n_bars FROM order_bars WHERE {RANGE_SQL} GROUP BY ticker) c
+LEFT JOIN (SELECT ticker, count(*) AS n_bars FROM order_bars GROUP BY ticker) c
   ON c.ticker = req.ticker"""
 
 ORACLE["tickers_with_data"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
@@ -126,7 +124,7 @@ SELECT pos, ticker FROM {PICK_VALUES} req(pos, ticker) WHERE ticker NOT IN {_HAV
 
 ORACLE["candle_summary"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
 SELECT ticker, count(*) AS "rows", min(low) AS low_min, max(high) AS high_max
-FROM order_bars WHERE {RANGE_SQL} GROUP BY ticker"""
+FROM order_bars GROUP BY ticker"""
 
 # ---------------------------------------------------------------- features
 L = 60
@@ -370,8 +368,8 @@ ORACLE["candle_feed"] = roll_sql(0) + ", " + ORDER_LATEST + """
 ])
 
 ORACLE["grid_feed"] = with_(ORDER_TICKS, ORDER_BARS, ORDER_LATEST) + f"""
-, sel AS (SELECT * FROM order_bars WHERE {RANGE_SQL}
-          AND ticker IN ('2-HIGH', '4-NOT SPECIFIED', 'ZZZ-NONE', '1-URGENT'))
+, sel AS (SELECT * FROM order_bars
+          WHERE ticker IN ('2-HIGH', '4-NOT SPECIFIED', 'ZZZ-NONE', '1-URGENT'))
 , valid AS (SELECT pos, ticker FROM {PICK_VALUES} req(pos, ticker)
             WHERE ticker IN (SELECT ticker FROM sel))
 , lay AS (SELECT ticker, CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER) AS panel,

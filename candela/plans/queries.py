@@ -104,7 +104,7 @@ def q_wide_to_tidy(spark, sf_dir):
 
 @query("multi_ticker_union")
 def q_multi_ticker_union(spark, sf_dir):
-    return scans.date_range_filter(union_stocks(spark, sf_dir), *RANGE, col="Date")
+    return union_stocks(spark, sf_dir)
 
 
 @query("mean_close")
@@ -119,28 +119,27 @@ def q_avg_close_union_sql(spark, sf_dir):
 
 @query("head_rows")
 def q_head_rows(spark, sf_dir):
-    stocks = scans.date_range_filter(union_stocks(spark, sf_dir), *RANGE, col="Date")
-    return scans.head_rows(stocks, PICK, 5)
+    return scans.head_rows(union_stocks(spark, sf_dir), PICK, 5)
 
 
 @query("availability_report")
 def q_availability(spark, sf_dir):
-    return scans.availability(cat.order_bars(spark, sf_dir), PICK, *RANGE)
+    return scans.availability(cat.order_bars(spark, sf_dir), PICK)
 
 
 @query("tickers_with_data")
 def q_tickers_with_data(spark, sf_dir):
-    return scans.tickers_with_data(cat.order_bars(spark, sf_dir), PICK, *RANGE)
+    return scans.tickers_with_data(cat.order_bars(spark, sf_dir), PICK)
 
 
 @query("tickers_without_data")
 def q_tickers_without_data(spark, sf_dir):
-    return scans.tickers_without_data(cat.order_bars(spark, sf_dir), PICK, *RANGE)
+    return scans.tickers_without_data(cat.order_bars(spark, sf_dir), PICK)
 
 
 @query("candle_summary")
 def q_candle_summary(spark, sf_dir):
-    ohlc = scans.ohlcv_history(cat.order_bars(spark, sf_dir), cat.ORDER_TICKERS, *RANGE)
+    ohlc = scans.ohlcv_history(cat.order_bars(spark, sf_dir), cat.ORDER_TICKERS)
     return agg.candle_summary(ohlc)
 
 
@@ -422,7 +421,7 @@ def q_candle_feed(spark, sf_dir):
 @query("grid_feed")
 def q_grid_feed(spark, sf_dir):
     from candela.operators.feeds import grid_feed
-    bars = scans.date_range_filter(cat.order_bars(spark, sf_dir, materialized=True), *RANGE)
+    bars = cat.order_bars(spark, sf_dir, materialized=True)
     return grid_feed(bars, PICK, _order_latest(spark, sf_dir), include_volume=True)
 
 

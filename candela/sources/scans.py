@@ -103,14 +103,15 @@ def availability(bars: DataFrame, tickers, start=None, end=None,
 
 def tickers_with_data(bars: DataFrame, tickers, start=None, end=None) -> DataFrame:
     """Requested tickers that have bars, with their request position."""
-    have = date_range_filter(ticker_filter(bars, list(tickers)), start, end).select("ticker")
+    # distinct first: a partial aggregate leaves one row per ticker and map task
+    have = date_range_filter(ticker_filter(bars, list(tickers)), start, end).select("ticker").distinct()
     return requested(bars.sparkSession, tickers).join(have, "ticker", "left_semi") \
         .select("pos", "ticker")
 
 
 def tickers_without_data(bars: DataFrame, tickers, start=None, end=None) -> DataFrame:
     """Requested tickers without bars (reported, then skipped)."""
-    have = date_range_filter(ticker_filter(bars, list(tickers)), start, end).select("ticker")
+    have = date_range_filter(ticker_filter(bars, list(tickers)), start, end).select("ticker").distinct()
     return requested(bars.sparkSession, tickers).join(have, "ticker", "left_anti") \
         .select("pos", "ticker")
 
