@@ -316,9 +316,8 @@ ORACLE["poll_log"] = with_(EVENT_TICKS, POLL_LOG) + "SELECT * FROM plog"
 ORACLE["quote_log_scan"] = ORACLE["poll_log"]
 
 ORACLE["dedup_quotes"] = with_(EVENT_TICKS, POLL_LOG) + """
-SELECT ticker, arg_min(price, fetched_at) AS price, "timestamp", arg_min(source, fetched_at) AS source,
-       min(fetched_at) AS fetched_at
-FROM plog GROUP BY ticker, "timestamp\""""
+SELECT ticker, price, "timestamp", source, min(fetched_at) AS fetched_at
+FROM plog GROUP BY ticker, "timestamp", source, price"""
 
 ORACLE["quote_snapshot"] = with_(EVENT_TICKS, POLL_LOG) + """
 SELECT r.ticker, r.price, r."timestamp", r.source, r.fetched_at FROM (

@@ -51,15 +51,24 @@ def quote_instant(ts_text="timestamp"):
     return F.to_timestamp(F.col(ts_text))
 
 
+DEDUP_KEYS = ["ticker", "timestamp", "source", "price"]
+
+
+def fetched_ntz(col: str = "fetched_at"):
+    """``...Z`` poll text → timestamp_ntz (UTC wall clock), exact to the microsecond."""
+    return F.to_timestamp_ntz(F.regexp_replace(F.col(col), "Z$", ""))
+
+
 def dedup_quotes(log: DataFrame) -> DataFrame:
-    """T5 (batch): one record per ``(ticker, timestamp)``, the earliest poll wins.
+    """T5 (batch): a repeated quote — the same record polled again — is kept
+    once, with its earliest poll time.
 
-    ``fetched_at`` text has a fixed width, so its text order is time order.
+    The record fields are the group key and the poll time is reduced with
+    ``min`` over a fixed-width timestamp, so this is a hash aggregate with
+    map-side combine (a ``min_by`` over text would sort the whole log).
     """
-    cols = [c for c in log.columns]
-    return (log.groupBy("ticker", "timestamp")
-            .agg(F.min_by(F.struct(*cols), F.col("fetched_at")).alias("r"))
-            .select("r.*"))
+    return (log.groupBy(*DEDUP_KEYS).agg(F.min(fetched_ntz()).alias("_fa"))
+            .select("ticker", "price", "timestamp", "source", iso_utc("_fa").alias("fetched_at")))
 
 
 def snapshot_latest(records: DataFrame) -> DataFrame:

@@ -115,7 +115,7 @@ def stream_dedup(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     """
     return (stream.withColumn("_et", quote_instant())
             .withWatermark("_et", delay)
-            .dropDuplicatesWithinWatermark(["ticker", "timestamp"])
+            .dropDuplicatesWithinWatermark(["ticker", "timestamp", "source", "price"])
             .drop("_et"))
 
 
