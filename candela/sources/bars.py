@@ -19,7 +19,9 @@ def period_column(period: str, ts: str = "ts"):
     if period == "day":
         return F.to_date(ts).alias("bar_date"), "bar_date"
     if period in ("hour", "minute", "week", "month"):
-        return F.date_trunc(period, F.col(ts)).alias("bar_ts"), "bar_ts"
+        # date_trunc returns a zone-aware timestamp; cast back so the bar key
+        # stays the wall-clock value whatever the session time zone
+        return F.date_trunc(period, F.col(ts)).cast("timestamp_ntz").alias("bar_ts"), "bar_ts"
     raise ValueError(f"unknown period {period!r}; expected one of {PERIODS}")
 
 
