@@ -22,7 +22,7 @@ def order_bars(spark: SparkSession, sf_dir: str, materialized: bool = False) ->
     ``materialized=True`` computes them once into a Parquet table; queries
     with several branches over the bars use that form.
     """
-    bars = build_bars(load_order_ticks(spark, sf_dir), "day")
+    bars = build_bars(load_order_ticks(spark, sf_dir), "day", last_ts=materialized)
     if materialized:
         from candela.plans.materialize import materialize
         return materialize(bars, "order-bars")
@@ -34,6 +34,11 @@ def brand_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_bars(load_lineitem_ticks(spark, sf_dir), "day")
 
 
-def event_bars(spark: SparkSession, sf_dir: str, period: str = "hour") -> DataFrame:
-    """Intraday bars of the event-type quote stream."""
-    return build_bars(load_event_ticks(spark, sf_dir), period)
+def event_bars(spark: SparkSession, sf_dir: str, period: str = "hour",
+               materialized: bool = False) -> DataFrame:
+    """Bars of the event-type quote stream (with ``last_ts`` when materialised)."""
+    bars = build_bars(load_event_ticks(spark, sf_dir), period, last_ts=materialized)
+    if materialized:
+        from candela.plans.materialize import materialize
+        return materialize(bars, f"event-bars-{period}")
+    return bars

@@ -383,17 +383,16 @@ def q_quote_snapshot(spark, sf_dir):
 @query("bars_with_latest_quote")
 def q_bars_with_latest_quote(spark, sf_dir):
     from candela.operators.joins import bars_with_latest_quote
-    from candela.sources.quotes import latest_quote
-    from candela.sources.ticks import load_event_ticks
-    return bars_with_latest_quote(cat.event_bars(spark, sf_dir, "day"),
-                                  latest_quote(load_event_ticks(spark, sf_dir)))
+    from candela.sources.quotes import latest_from_bars
+    bars = cat.event_bars(spark, sf_dir, "day", materialized=True)
+    return bars_with_latest_quote(bars, latest_from_bars(bars)).drop("last_ts")
 
 
 # ---------------------------------------------------------------- chart feeds
-def _order_latest(spark, sf_dir):
-    from candela.sources.quotes import latest_quote
-    from candela.sources.ticks import load_order_ticks
-    return latest_quote(load_order_ticks(spark, sf_dir))
+def _order_latest(bars):
+    """Real-time point of each ticker, read off the materialised bars."""
+    from candela.sources.quotes import latest_from_bars
+    return latest_from_bars(bars)
 
 
 @query("line_feed")
@@ -403,7 +402,7 @@ def q_line_feed(spark, sf_dir):
     bars = cat.order_bars(spark, sf_dir, materialized=True)
     d, _, coefs = ar1_parts(spark, sf_dir, bars)
     fc = ar1_forecast(d, coefs, DAYS, "latest", L)
-    return rounded(line_feed(bars, fc, _order_latest(spark, sf_dir)), 4)
+    return rounded(line_feed(bars, fc, _order_latest(bars)), 4)
 
 
 @query("candle_feed")
@@ -414,7 +413,7 @@ def q_candle_feed(spark, sf_dir):
     d, _, coefs = ar1_parts(spark, sf_dir, bars)
     fc = ar1_forecast(d, coefs, DAYS, "latest", L)
     candles = forecast_candles(fc, last_close(bars), N_CANDLES, AS_OF)
-    return rounded(candle_feed(bars, fc, _order_latest(spark, sf_dir), candles,
+    return rounded(candle_feed(bars, fc, _order_latest(bars), candles,
                                include_volume=True), 4)
 
 
@@ -422,7 +421,7 @@ def q_candle_feed(spark, sf_dir):
 def q_grid_feed(spark, sf_dir):
     from candela.operators.feeds import grid_feed
     bars = cat.order_bars(spark, sf_dir, materialized=True)
-    return grid_feed(bars, PICK, _order_latest(spark, sf_dir), include_volume=True)
+    return grid_feed(bars, PICK, _order_latest(bars), include_volume=True)
 
 
 # ---------------------------------------------------------------- streaming (drained with availableNow)

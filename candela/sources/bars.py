@@ -31,15 +31,20 @@ def tick_order(ticks: DataFrame):
     return F.col("seq") if "seq" in ticks.columns else F.struct("ts", "tick_id")
 
 
-def build_bars(ticks: DataFrame, period: str = "day") -> DataFrame:
+def build_bars(ticks: DataFrame, period: str = "day", last_ts: bool = False) -> DataFrame:
+    """OHLCV per ticker and period; ``last_ts=True`` adds the time of the
+    period's last tick, so the latest quote can later be read off the bars
+    (:func:`candela.sources.quotes.latest_from_bars`) without a second pass
+    over the ticks."""
     pcol, pname = period_column(period)
     order = tick_order(ticks)
     return (ticks
-            .select("ticker", pcol, "price", "qty", order.alias("_o"))
+            .select("ticker", pcol, "price", "qty", "ts", order.alias("_o"))
             .groupBy("ticker", pname)
             .agg(F.min_by("price", "_o").alias("open"),
                  F.max("price").alias("high"),
                  F.min("price").alias("low"),
                  F.max_by("price", "_o").alias("close"),
                  F.sum("qty").cast("bigint").alias("volume"),
-                 F.count(F.lit(1)).alias("n_ticks")))
+                 F.count(F.lit(1)).alias("n_ticks"),
+                 *([F.max("ts").alias("last_ts")] if last_ts else [])))

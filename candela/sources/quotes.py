@@ -28,6 +28,14 @@ def latest_quote(ticks: DataFrame) -> DataFrame:
     return last.select("ticker", "price", "ts", py_isoformat(F.col("ts")).alias("timestamp"))
 
 
+def latest_from_bars(bars: DataFrame, date: str = "bar_date") -> DataFrame:
+    """S5 from bars that carry ``last_ts``: the close of each ticker's last
+    bar is the price of its latest tick.  A hash aggregate over the bars."""
+    last = bars.groupBy("ticker").agg(F.max_by("close", date).alias("price"),
+                                      F.max("last_ts").alias("ts"))
+    return last.select("ticker", "price", "ts", py_isoformat(F.col("ts")).alias("timestamp"))
+
+
 def quote_records(df: DataFrame, source: str, fetched_at="ts", price="price", ts="ts") -> DataFrame:
     """Format rows as daemon records (``to_json`` of this gives one log line)."""
     fa = F.col(fetched_at) if isinstance(fetched_at, str) else fetched_at
@@ -108,7 +116,8 @@ def poll_quotes(ticks: DataFrame, interval_s: int = 60, source: str = "events",
     newq = (t.groupBy("ticker", "slot")
             .agg(F.max_by("price", "_o").alias("_p"), F.max("ts").alias("_t"))
             .select("ticker", "slot", F.struct(F.col("_p").alias("price"), F.col("_t").alias("ts")).alias("q")))
-    per = t.groupBy("ticker").agg(F.min("slot").alias("s0"), F.max("slot").alias("s1"))
+    # poll range per ticker from the reduced (ticker, poll) table: no second pass over the ticks
+    per = newq.groupBy("ticker").agg(F.min("slot").alias("s0"), F.max("slot").alias("s1"))
     per = per.withColumn("s1", F.max("s1").over(Window.partitionBy()))  # one row per ticker
     spd = day_micros // I if day_micros % I == 0 else None
     if spd is None:
