@@ -111,13 +111,19 @@ def poll_quotes(ticks: DataFrame, interval_s: int = 60, source: str = "events",
     I = int(interval_s) * 1_000_000
     t = ticks.where(valid_price("price")).select(
         "ticker", "ts", "price", tick_order(ticks).alias("_o"),
-        F.ceil(_us("ts") / F.lit(I)).cast("bigint").alias("slot"))
+        F.ceil(_us("ts") / F.lit(I)).cast("bigint").alias("slot")) \
+        .where(F.col("slot").isNotNull())   # stated once so every branch has the same plan
     # latest tick per (ticker, poll): the latest tick has the largest ts
     newq = (t.groupBy("ticker", "slot")
             .agg(F.max_by("price", "_o").alias("_p"), F.max("ts").alias("_t"))
             .select("ticker", "slot", F.struct(F.col("_p").alias("price"), F.col("_t").alias("ts")).alias("q")))
-    # poll range per ticker from the reduced (ticker, poll) table: no second pass over the ticks
-    per = newq.groupBy("ticker").agg(F.min("slot").alias("s0"), F.max("slot").alias("s1"))
+    # poll range per ticker from the reduced (ticker, poll) table.  It reads the quote
+    # column too, so both consumers of ``newq`` share one exchange instead of a pruned
+    # copy that would aggregate the ticks a second time.
+    per = (newq.groupBy("ticker").agg(F.min("slot").alias("s0"), F.max("slot").alias("s1"),
+                                      F.max("q.ts").alias("_lt"), F.max_by("q.price", "slot").alias("_lp"))
+           .where(F.col("_lt").isNotNull() & F.col("_lp").isNotNull())   # has a usable quote
+           .drop("_lt", "_lp"))
     per = per.withColumn("s1", F.max("s1").over(Window.partitionBy()))  # one row per ticker
     spd = day_micros // I if day_micros % I == 0 else None
     if spd is None:
