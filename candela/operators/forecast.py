@@ -140,12 +140,14 @@ def forecast_candles(fc: DataFrame, last: DataFrame, n: int, as_of) -> DataFrame
     Zero rows unless ``0 < n <= number of predictions``.
     """
     from pyspark.sql import Window
-    horizon = fc.groupBy("ticker").agg(F.max("step").alias("_h"))
-    w = Window.partitionBy("ticker").orderBy("step")  # at most `days` rows per ticker
-    x = (fc.join(horizon.where((F.lit(n) > 0) & (F.col("_h") >= F.lit(n))), "ticker")
-         .where(F.col("step") <= n)
-         .join(last.select("ticker", "last_close"), "ticker")
+    # one partition per ticker holds only its forecast steps (at most `days` rows);
+    # the horizon check runs in the same window, so the forecast is read once
+    w = Window.partitionBy("ticker").orderBy("step")
+    whole = Window.partitionBy("ticker")
+    x = (fc.join(last.select("ticker", "last_close"), "ticker")
+         .withColumn("_h", F.max("step").over(whole))
          .withColumn("open", F.coalesce(F.lag("yhat").over(w), F.col("last_close")))
+         .where((F.lit(n) > 0) & (F.col("_h") >= F.lit(n)) & (F.col("step") <= n))
          .withColumn("close", F.col("yhat")))
     return x.select("ticker", "step",
                     F.date_add(F.lit(as_of).cast("date"), F.col("step")).alias("target_date"),

@@ -23,4 +23,6 @@ def materialize(df: DataFrame, name: str, partition_by=None) -> DataFrame:
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    if partition_by:
+        return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # known schema: no footer inference

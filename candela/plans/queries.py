@@ -409,9 +409,10 @@ def q_line_feed(spark, sf_dir):
 def q_candle_feed(spark, sf_dir):
     from candela.operators.feeds import candle_feed
     from candela.operators.forecast import ar1_forecast, forecast_candles, last_close
+    from candela.plans.materialize import materialize
     bars = cat.order_bars(spark, sf_dir, materialized=True)
     d, _, coefs = ar1_parts(spark, sf_dir, bars)
-    fc = ar1_forecast(d, coefs, DAYS, "latest", L)
+    fc = materialize(ar1_forecast(d, coefs, DAYS, "latest", L), "forecast")   # read by two traces
     candles = forecast_candles(fc, last_close(bars), N_CANDLES, AS_OF)
     return rounded(candle_feed(bars, fc, _order_latest(bars), candles,
                                include_volume=True), 4)
