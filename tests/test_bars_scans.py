@@ -104,3 +104,18 @@ def test_cli_end_to_end(spark, tmp_path):
     feed = spark.read.parquet(f"{out}/feed")
     assert {r.trace for r in feed.select("trace").distinct().collect()} == \
         {"ohlc", "volume", "forecast_ohlc", "predicted", "realtime"}
+
+
+def test_tidy_single_level_header(spark):
+    wide = spark.createDataFrame([(dt.date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5, 7)],
+                                 "Date date, Open double, High double, Low double, Close double, Volume bigint")
+    r = scans.tidy_wide_bars(wide).collect()
+    assert len(r) == 1 and r[0].ticker is None and (r[0].open, r[0].close, r[0].volume) == (1.0, 1.5, 7)
+
+
+def test_tidy_required_part_wins(spark):
+    # the part that names a field is the field, whichever position it has
+    wide = spark.createDataFrame([(dt.date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5)],
+                                 "Date date, `X|Open` double, `High|X` double, `X|Low` double, `Close|X` double")
+    r = scans.tidy_wide_bars(wide, include_volume=False).collect()
+    assert [(x.ticker, x.open, x.high, x.low, x.close) for x in r] == [("X", 1.0, 2.0, 0.5, 1.5)]
