@@ -2,4 +2,80 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from candela.llm.license import LEAST_COVERAGE, LICENCE_WORD, TEMPLATES
+from candela.llm.mix import MOST_EPOCHS
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def license_scan() -> str:
+    """Every template at every word of every text, without an index."""
+    def listed(words) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    templates = ", ".join(
+        f"({i}, '{t.label}', {t.base}, {t.key_at()}, {listed(t.words())}, {listed(t.key.split())})"
+        for i, t in enumerate(TEMPLATES))
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS nr, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{LICENCE_WORD}') AS words
+  FROM documents),
+templates(tid, label, base, key_at, twords, tkey) AS (VALUES {templates}),
+first_words AS (SELECT *, tkey[1] AS opening FROM templates),
+places AS (
+  SELECT nr, words, unnest(words) AS word, unnest(range(len(words))) AS i FROM texts),
+keyed AS (
+  SELECT nr, label, base, i, list_sum(list_transform(range(len(twords)), lambda j:
+           CASE WHEN i - key_at + j >= 0 AND words[i - key_at + j + 1] = twords[j + 1] THEN 1 ELSE 0 END)) / len(twords) AS coverage
+  FROM places JOIN first_words ON word = opening
+  WHERE words[i + 1 : i + len(tkey)] = tkey),
+found AS (
+  SELECT nr, count(*) FILTER (base) AS n_base, min(i) FILTER (base) AS first_word, max(i) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(coverage) AS score
+  FROM keyed WHERE coverage >= {LEAST_COVERAGE} GROUP BY nr)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0)::DOUBLE AS score
+FROM texts LEFT JOIN found USING (nr)"""
+
+
+def mix_ctes(table: str = "documents") -> str:
+    """The mix without bands: one running sum over each source; ends with ``mixed``."""
+    return f"""
+sized AS (
+  SELECT *, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>!]+', '', 'g')) AS symbols FROM {table}),
+keyed5 AS (
+  SELECT *, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':0'), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)
+           / greatest(0.25::DOUBLE, 1.0::DOUBLE - symbols::DOUBLE / greatest(size, 1) / 4) AS k FROM sized),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size, {MOST_EPOCHS}.0::DOUBLE * sum(size)::DOUBLE AS most,
+            (1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::DOUBLE AS w FROM sized GROUP BY source),
+filling AS (
+  SELECT *, sum(source_size) OVER ()::DOUBLE - coalesce(sum(most) OVER upto, 0) AS rest_size,
+         sum(w) OVER () - coalesce(sum(w) OVER upto, 0) AS rest_w
+  FROM sources WINDOW upto AS (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+aims AS (
+  SELECT source, source_size, coalesce(least(most, w * max(CASE WHEN most * rest_w > rest_size * w THEN rest_size / rest_w END) OVER ()), most) AS target
+  FROM filling),
+epochs AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM aims),
+mixed AS (
+  SELECT d.*, e.source_size, e.target, e.epochs,
+         e.target - e.epochs * e.source_size AS rest,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY k, doc_id NULLS LAST, d.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+  FROM keyed5 d JOIN epochs e ON d.source IS NOT DISTINCT FROM e.source)"""
+
+
+TAKEN = "(epochs + CASE WHEN rest > 0 AND earlier + size / 2.0 <= rest THEN 1 ELSE 0 END)"
+
+
+def source_mix() -> str:
+    return f"WITH {mix_ctes()} SELECT doc_id, size, source_size, target, ({TAKEN} * size)::BIGINT AS taken FROM mixed"
+
+
+ORACLE: dict[str, str] = {
+    "op1_license_scan": license_scan(),
+    "op5_source_mix": source_mix(),
+}

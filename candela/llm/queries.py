@@ -9,6 +9,18 @@ from candela.llm.common import tokenizer_path
 from candela.sources.tables import read_table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.license import label_list, scan
+    found = scan(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    base = F.filter("licences", lambda x: x["base"])
+    starts = F.transform(base, lambda x: x["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        label_list(base).alias("base_labels"), label_list(F.col("licences")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("licences", lambda x: x["coverage"])), F.lit(0.0)).alias("score"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candela.llm.bpe import encode_decode
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -17,4 +29,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op4_bpe": op4_bpe}
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.mix import mix
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op4_bpe": op4_bpe,
+    "op5_source_mix": op5_source_mix,
+}
