@@ -35,8 +35,17 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.rules import judge
+    judged, _ = judge(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                      read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op4_bpe": op4_bpe,
     "op5_source_mix": op5_source_mix,
+    "op8_quality_rules": op8_quality_rules,
 }
