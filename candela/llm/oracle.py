@@ -75,7 +75,20 @@ def source_mix() -> str:
     return f"WITH {mix_ctes()} SELECT doc_id, size, source_size, target, ({TAKEN} * size)::BIGINT AS taken FROM mixed"
 
 
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan(),
+    "op2_top_k": TOP_K,
     "op5_source_mix": source_mix(),
 }

@@ -21,6 +21,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("licences", lambda x: x["coverage"])), F.lit(0.0)).alias("score"))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.bitslice import top_k
+    return top_k(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candela.llm.bpe import encode_decode
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -43,9 +48,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.wordpiece import token_counts
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return token_counts(docs, tokenizer_path("piece_bpe_32k.model")).select("doc_id", "n_words", "n_tokens")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_top_k": op2_top_k,
     "op4_bpe": op4_bpe,
     "op5_source_mix": op5_source_mix,
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_counts": op9_token_counts,
 }
