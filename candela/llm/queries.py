@@ -26,6 +26,14 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.classifier import THRESHOLD, held_out, score
+    scored = score(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                   read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candela.llm.bpe import encode_decode
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -57,6 +65,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_top_k": op2_top_k,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_bpe": op4_bpe,
     "op5_source_mix": op5_source_mix,
     "op8_quality_rules": op8_quality_rules,
