@@ -62,6 +62,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, tokenizer_path("piece_bpe_32k.model")).select("doc_id", "n_words", "n_tokens")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.html import extract
+    pages = extract(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_top_k": op2_top_k,
@@ -70,4 +76,5 @@ QUERIES = {
     "op5_source_mix": op5_source_mix,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
+    "op10_html_text": op10_html_text,
 }
