@@ -48,6 +48,12 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_chat_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.chat import link
+    messages = link(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+    return messages.select("conv_id", "turn", "role", "text", "reply_to", "thread", "depth", "n_quotes", "n_linked")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candela.llm.rules import judge
     judged, _ = judge(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
@@ -74,6 +80,7 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_bpe": op4_bpe,
     "op5_source_mix": op5_source_mix,
+    "op7_chat_threads": op7_chat_threads,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_html_text": op10_html_text,
