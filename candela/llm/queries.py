@@ -48,6 +48,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.jaccard import join
+    return join(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op7_chat_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candela.llm.chat import link
     messages = link(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
@@ -80,6 +85,7 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_bpe": op4_bpe,
     "op5_source_mix": op5_source_mix,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_chat_threads": op7_chat_threads,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
