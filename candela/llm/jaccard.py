@@ -39,7 +39,11 @@ EXTRA, VERIFY = (1, 2, 4, 8, 16), 8
 HUBS = 6
 #: Hubs that a node is verified against (those that share most).
 BEST_HUBS = 4
+#: Candidates of each node that a round verifies; the last round verifies all that are left.
+ROUNDS = (2, 8, None)
 CACHE_WORDS = 400_000
+#: Shingles of verified sets that a task keeps.
+HELD = 3_000_000
 #: Up to this size the ids of the documents to verify go to every executor; more are joined in a shuffle.
 BROADCAST_BYTES = 8 << 20
 
@@ -240,8 +244,8 @@ def _similar_sizes(x: Column, y: Column, percent: int) -> Column:
     return (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
-    """The pairs of nodes (``a``, ``b``) whose texts are similar, counted shingle by shingle."""
+def _texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """``node`` and ``text`` of the nodes in ``pairs``, written once for all rounds that verify them."""
     involved = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     chosen = materialize(sets.join(involved, "node").groupBy("node").agg(F.min("id").alias("id")), "to_verify")
     small = chosen.count() * 16 <= BROADCAST_BYTES
@@ -256,18 +260,27 @@ def _verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, tex
                 yield piece.filter(pa.array(same, pa.bool_())).select([2, 1])
 
     texts = found.select("id", "text", "node").mapInArrow(checked, "node long, text string")
-    texts = texts.dropDuplicates(["node"])
+    return materialize(texts.dropDuplicates(["node"]), "verify_texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs of nodes (``a``, ``b``) whose texts are similar, counted shingle by shingle."""
     joined = pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches):
         sets_of: dict[int, np.ndarray] = {}
+        held = 0
 
         def of(node, t):
+            nonlocal held
             if node not in sets_of:
-                if len(sets_of) >= 64:
+                found = shingles(t.as_py(), words)
+                if held + len(found) > HELD:
                     sets_of.clear()
-                sets_of[node] = shingles(t.as_py(), words)
+                    held = 0
+                held += len(found)
+                sets_of[node] = found
             return sets_of[node]
 
         for batch in batches:
@@ -316,8 +329,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
         F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     of = {x: nodes.select(*(F.col(c).alias(f"{c}_{x}") for c in nodes.columns)).withColumnRenamed(f"node_{x}", x) for x in "ab"}
     star = star.join(of["a"], "a").join(of["b"], "b").where(_similar_sizes(F.col("n_a"), F.col("n_b"), percent))
-    first = _verify(materialize(star.select("a", "b"), "star"), docs, sets, doc_id, text, words, percent)
-    groups = components(first)
+    star = materialize(star.select("a", "b"), "star")
+    groups = components(_verified(star, _texts(star, docs, sets, doc_id, text, words), words, percent))
 
     # Round 2: all pairs of a list that are not in one component yet.
     labelled = lists.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -334,11 +347,23 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     a_ends = (F.col("last_count_a") < F.col("last_count_b")) | (
         (F.col("last_count_a") == F.col("last_count_b")) & (F.col("last_a") <= F.col("last_b")))
     rest = F.when(a_ends, F.col("n_a") - F.col("p_a")).otherwise(F.col("n_b") - F.col("p_b"))
-    pairs = materialize(pairs.where(F.col("c") >= overlap - rest).select("a", "b"), "candidates")
-    second = _verify(pairs, docs, sets, doc_id, text, words, percent)
-    linked = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
-
-    smallest = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("id")).join(linked, "node", "left")
+    pairs = pairs.withColumn("over", F.col("c") - (overlap - rest)).where("over >= 0").select("a", "b", "over")
+    pairs = materialize(pairs, "candidates")
+    texts = _texts(pairs, docs, sets, doc_id, text, words)
+    # First the pairs that share most: a node that joins a group by one of them needs no other of the group.
+    for most in ROUNDS:
+        nearest = [F.row_number().over(Window.partitionBy(x).orderBy(F.col("over").desc(), *"ab")) for x in "ab"]
+        ranked = pairs.withColumn("nr", F.least(*nearest)) if most else pairs.withColumn("nr", F.lit(0))
+        ranked = materialize(ranked, "ranked")
+        picked = ranked.where(F.col("nr") <= (most or 0))
+        edges = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        groups = components(edges.union(_verified(picked, texts, words, percent)))
+        if most:
+            label = {x: groups.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab"}
+            left = ranked.where(F.col("nr") > most).join(label["a"], "a", "left").join(label["b"], "b", "left")
+            pairs = materialize(left.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "over"), "candidates")
+
+    smallest = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("id")).join(groups, "node", "left")
     smallest = smallest.withColumn("component", F.coalesce("component", "node"))
     smallest = materialize(smallest, "classes")
     least = smallest.groupBy("component").agg(F.min("id").alias("component_id"))
