@@ -54,8 +54,8 @@ def targets(sources: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS) -> Dat
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-        weights=WEIGHTS, seed: int = 0) -> DataFrame:
-    """Every document without its text, with ``size``, ``source_size``, ``target``, ``taken`` and ``copies``.
+        weights=WEIGHTS, seed: int = 0, keep_text: bool = False) -> DataFrame:
+    """Every document, without its text unless ``keep_text``, with ``size``, ``source_size``, ``target``, ``taken`` and ``copies``.
 
     ``taken`` counts the words that the mix takes, ``copies`` the times it takes the document.
     A document is taken in the last, fractional epoch where that brings its source nearer to
@@ -69,7 +69,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     words = F.regexp_count(body, F.lit(WORD)).cast("long")
     symbols = F.length(F.regexp_replace(body, SYMBOLS, ""))
-    kept = [c for c in columns if c != text]
+    kept = [c for c in columns if keep_text or c != text]
     small = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"),
         words.alias("_size"), symbols.alias("_symbols"), F.col(f"`{source}`").alias("_source"), F.col(f"`{doc_id}`").alias("_id"))

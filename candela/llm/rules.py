@@ -146,7 +146,7 @@ def gain(bad: int, good: int, bad0: int, good0: int) -> float:
 
 
 def learn(labelled: DataFrame, label: str = "quality", most_rules: int = 8, most_tests: int = 3,
-          steps: int = 64, precision: float = 0.98, least_share: float = 0.002) -> list[Rule]:
+          steps: int = 64, precision: float = 0.98, least_share: float = 0.002, least_rows: int = 5) -> list[Rule]:
     """Decision list for label 0 from rows with the ``STATISTICS`` columns, a 0/1 label and ``held`` (boolean).
 
     Thresholds are ``steps`` quantiles of each ratio among the bad and among the good rows.
@@ -194,7 +194,7 @@ def learn(labelled: DataFrame, label: str = "quality", most_rules: int = 8, most
         while len(grown) < most_tests:
             bad, good, found = tests_of(inside)
             total = total or bad
-            if not bad or not good or not grown and bad < max(2, least_share * total):
+            if not bad or not good or not grown and bad < max(least_rows, least_share * total):
                 break
             test, b, g = max(found, key=lambda x: gain(x[1], x[2], bad, good))
             if gain(b, g, bad, good) <= 0:
@@ -211,7 +211,7 @@ def learn(labelled: DataFrame, label: str = "quality", most_rules: int = 8, most
             F.count_if(rule.on_ratios() & (F.col("bad") == kind)).alias(f"{kind}{i}")
             for i, rule in enumerate(short) for kind in (True, False))).collect()
         whole = [(sum(r[f"True{i}"] for r in seen), sum(r[f"False{i}"] for r in seen)) for i in range(len(short))]
-        fine = [i for i, (b, _) in enumerate(whole) if b >= max(2, least_share * total) and all(
+        fine = [i for i, (b, _) in enumerate(whole) if b >= max(least_rows, least_share * total) and all(
             r[f"True{i}"] >= precision * (r[f"True{i}"] + r[f"False{i}"]) for r in seen)]
         if not fine:
             break
@@ -230,16 +230,16 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-          label_id: str = "doc_id", **options) -> tuple[DataFrame, list[Rule]]:
+          label_id: str = "doc_id", keep_text: bool = False, **options) -> tuple[DataFrame, list[Rule]]:
     """Every document with its ``STATISTICS``, ``base_failed`` and ``kept``; and the learned list.
 
-    The statistics of all documents are written once without the texts.  A third of the
+    The statistics of all documents are written once, without the texts unless ``keep_text``.  A third of the
     labelled rows (by a hash of the id) is kept apart for pruning.  Null and empty texts have zero statistics and
     fail the base rule; rows with a null id get a verdict but no label; repeated rows are
     judged alike; an empty table gives no rows, and without labels only the base rules decide.
     Clashing column names get an underscore appended.
     """
-    kept = [c for c in docs.columns if c != text]
+    kept = [c for c in docs.columns if keep_text or c != text]
     small = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"), F.col(f"`{doc_id}`").alias("_id"),
                         statistics(F.col(f"`{text}`")).alias("_s"))
     small = materialize(small.select("_row", "_id", "_s.*"), "quality_statistics")
