@@ -171,7 +171,7 @@ def learn(labelled: DataFrame, label: str = "quality", most_rules: int = 8, most
     places = F.array(*map(place, ratios))
     rows = materialize(rows.withColumn("places", places), "rules_places")
     rules: list[Rule] = []
-    open_rows, total = F.lit(True), 0
+    open_rows, total, barred = F.lit(True), 0, set()
 
     def tests_of(of: DataFrame) -> tuple[int, int, list[tuple[Test, int, int]]]:
         """Bad and good rows; every test with the bad and good rows that pass it."""
@@ -196,7 +196,8 @@ def learn(labelled: DataFrame, label: str = "quality", most_rules: int = 8, most
             total = total or bad
             if not bad or not good or not grown and bad < max(least_rows, least_share * total):
                 break
-            test, b, g = max(found, key=lambda x: gain(x[1], x[2], bad, good))
+            found = [x for x in found if grown or x[0].feature not in barred]
+            test, b, g = max(found, key=lambda x: gain(x[1], x[2], bad, good), default=(None, 0, 0))
             if gain(b, g, bad, good) <= 0:
                 break
             grown.append(test)
@@ -214,7 +215,10 @@ def learn(labelled: DataFrame, label: str = "quality", most_rules: int = 8, most
         fine = [i for i, (b, _) in enumerate(whole) if b >= max(least_rows, least_share * total) and all(
             r[f"True{i}"] >= precision * (r[f"True{i}"] + r[f"False{i}"]) for r in seen)]
         if not fine:
-            break
+            # Not precise: the next attempt begins with another ratio.
+            barred.add(grown[0].feature)
+            continue
+        barred = set()
         best = max(fine, key=lambda i: (whole[i][0], -i))
         rules.append(short[best]._replace(bad=whole[best][0], covered=sum(whole[best])))
         open_rows = open_rows & ~rules[-1].on_ratios()
