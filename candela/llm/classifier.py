@@ -8,7 +8,6 @@ in numpy turns them into a probability, whose temperature is fitted on rows kept
 
 from __future__ import annotations
 
-import re
 import zlib
 from typing import NamedTuple
 
@@ -23,43 +22,53 @@ from candela.llm.common import map_rows, slices
 #: Word buckets, width of their vectors, non-zero entries of a random vector, neighbours on each side.
 BUCKETS, WIDTH, NONZERO, REACH = 1 << 15, 32, 4, 2
 INPUTS = 2 * WIDTH + 3
+#: Bytes of text that a task turns into words at once.
+PIECE_BYTES = 1 << 20
 #: Bucket ranges in which the sums travel.
 CHUNKS = 64
 #: Labelled rows that the network is fitted on, at most (those with the smallest hash of the id).
 MOST_LABELLED = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
 THRESHOLD = 0.7
-TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
-CACHE_WORDS = 300_000
-
-
-def shape(token: str) -> str:
-    """Words in lower case; capitals and numbers by their length; runs of marks as they are."""
-    if token[0].isdecimal():
-        return f"0{min(len(token), 9)}"
-    if len(token) > 1 and token.isupper():
-        return f"A{min(len(token), 9)}"
-    return token.lower()
-
-
-class Buckets(dict):
-    """Token to word bucket; remembers what it has seen and forgets all when full."""
-
-    def __missing__(self, token: str) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        b = zlib.crc32(shape(token).encode("utf-8", "surrogatepass")) % BUCKETS
-        if len(token) <= 64:
-            self[token] = b
-        return b
-
-
-_BUCKETS = Buckets()
-
-
-def bucket_ids(text: str | None) -> np.ndarray:
-    tokens = TOKEN.findall(text or "")
-    return np.fromiter(map(_BUCKETS.__getitem__, tokens), np.int64, len(tokens))
+# Bytes of UTF-8: white space and controls, letters (all that is not ASCII counts as one), digits, marks.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[:33], _KIND[127], _KIND[128:], _KIND[48:58] = 0, 0, 1, 2
+_KIND[65:91] = _KIND[97:123] = 1
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_rng = np.random.default_rng(11)
+_BYTE = _rng.integers(1, 1 << 63, 256, np.uint64)[_LOWER]
+_PLACE = _rng.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+#: Buckets of capitals and numbers by their length, up to nine.
+_SHAPES = _rng.integers(0, BUCKETS, (2, 10))
+
+
+def bucket_ids(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Word buckets of all texts in a row, and the text that each word is from.
+
+    Words are runs of letters, of digits or of marks.  Words fall into buckets by a hash of
+    their lower-case bytes; words all in capitals, and numbers, by their length.
+    """
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join(raw), np.uint8)
+    if not len(data):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    kind = _KIND[data]
+    first = np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1])
+    size = np.diff(first, append=len(data))
+    place = np.arange(len(data)) - np.repeat(first, size)
+    hashes = np.add.reduceat(_BYTE[data] * _PLACE[place & 255], first)
+    hashes ^= hashes >> np.uint64(32)
+    ids = (hashes * _SPREAD >> np.uint64(49)).astype(np.int64)
+    capitals = np.add.reduceat((data >= 65) & (data <= 90), first, dtype=np.int64)
+    small = np.add.reduceat((data >= 97) & (data <= 122), first, dtype=np.int64)
+    of, length = kind[first], np.minimum(size, 9)
+    ids = np.where((of == 1) & (capitals > 1) & (small == 0), _SHAPES[0][length], ids)
+    ids = np.where(of == 2, _SHAPES[1][length], ids)
+    word = of > 0
+    starts = np.cumsum([0, *(len(x) + 1 for x in raw[:-1])])
+    return ids[word], np.searchsorted(starts, first[word], "right") - 1
 
 
 def random_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -68,18 +77,21 @@ def random_vectors() -> tuple[np.ndarray, np.ndarray]:
     places = np.argsort(rng.random((BUCKETS + 1, WIDTH)), axis=1)[:, :NONZERO].astype(np.int64)
     signs = rng.choice((-1.0, 1.0), (BUCKETS + 1, NONZERO))
     signs[-1] = 0
-    return places, signs
+    return np.ascontiguousarray(places.T), np.ascontiguousarray(signs.T)
 
 
-def gather(ids: list[np.ndarray], places: np.ndarray, signs: np.ndarray, into: np.ndarray) -> None:
-    """Adds the random vectors of each word's neighbours to its bucket in ``into`` (flat)."""
-    gap = np.full(REACH, BUCKETS, np.int64)
-    line = np.concatenate([x for one in ids for x in (one, gap)])
+def gather(ids: np.ndarray, of: np.ndarray, places: np.ndarray, signs: np.ndarray, into: np.ndarray) -> None:
+    """Adds the random vectors of each word's neighbours in its text to its bucket in ``into`` (flat)."""
+    if not len(ids):
+        return
+    line = np.full(len(ids) + REACH * int(of[-1] + 1), BUCKETS, np.int64)
+    line[np.arange(len(ids)) + REACH * of] = ids
     for step in range(1, REACH + 1):
-        for word, near in ((line[:-step], line[step:]), (line[step:], line[:-step])):
-            at = word * WIDTH
-            for k in range(NONZERO):
-                into += np.bincount(at + places[near, k], weights=signs[near, k], minlength=len(into))
+        word = np.concatenate([line[:-step], line[step:]])
+        near = np.concatenate([line[step:], line[:-step]])
+        word *= WIDTH
+        for k in range(NONZERO):
+            into += np.bincount(word + places[k][near], weights=signs[k][near], minlength=len(into))
 
 
 def word_vectors(docs: DataFrame, text: str) -> np.ndarray:
@@ -90,8 +102,8 @@ def word_vectors(docs: DataFrame, text: str) -> np.ndarray:
         places, signs = random_vectors()
         into = np.zeros((BUCKETS + 1) * WIDTH)
         for batch in batches:
-            for piece in slices(batch, 0):
-                gather([bucket_ids(t) for t in piece.column(0).to_pylist()], places, signs, into)
+            for piece in slices(batch, 0, PIECE_BYTES):
+                gather(*bucket_ids(piece.column(0).to_pylist()), places, signs, into)
         table = into[:BUCKETS * WIDTH].astype("<i8").reshape(CHUNKS, -1)
         some = [i for i in range(CHUNKS) if table[i].any()]
         # Sums of one task fit 32 bits; the sums of all tasks travel as 64 bits.
@@ -120,22 +132,22 @@ def word_vectors(docs: DataFrame, text: str) -> np.ndarray:
 
 def features(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
     """Mean and spread of the words' vectors, logarithm of the length, shares of distinct buckets and of repeats of the word before."""
-    ids = [bucket_ids(t) for t in texts]
     out = np.zeros((len(texts), INPUTS), np.float32)
-    some = [i for i, x in enumerate(ids) if len(x)]
-    if not some:
+    ids, of = bucket_ids(texts)
+    if not len(ids):
         return out
-    n = np.array([len(ids[i]) for i in some])
-    found = vectors[np.concatenate([ids[i] for i in some])]
-    starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-    mean = np.add.reduceat(found, starts, axis=0, dtype=np.float64) / n[:, None]
+    some, starts, n = np.unique(of, return_index=True, return_counts=True)
+    found = vectors[ids]
+    mean = np.add.reduceat(found, starts, axis=0) / n[:, None]
     found *= found
-    spread = np.sqrt(np.maximum(np.add.reduceat(found, starts, axis=0, dtype=np.float64) / n[:, None] - mean ** 2, 0))
+    spread = np.sqrt(np.maximum(np.add.reduceat(found, starts, axis=0) / n[:, None] - mean ** 2, 0))
     out[some, :WIDTH] = mean
     out[some, WIDTH:2 * WIDTH] = spread
     out[some, -3] = np.log1p(n) / 10
-    out[some, -2] = [np.mean(ids[i][1:] == ids[i][:-1]) if len(ids[i]) > 1 else 0 for i in some]
-    out[some, -1] = [len(np.unique(ids[i])) / len(ids[i]) for i in some]
+    again = (ids[1:] == ids[:-1]) & (of[1:] == of[:-1])
+    out[some, -2] = np.bincount(of[1:], weights=again, minlength=len(texts))[some] / n
+    distinct = np.unique(of * BUCKETS + ids) // BUCKETS
+    out[some, -1] = np.bincount(distinct, minlength=len(texts))[some] / n
     return out
 
 
@@ -221,7 +233,7 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     # At most ``most_labelled`` rows of two numbers: a proven bound for the broadcast.
     sample = docs.select(F.col(f"`{doc_id}`").alias("_i"), F.col(f"`{text}`").alias("_t")).join(F.broadcast(known), "_i")
-    sample = map_rows(sample.select("_t", "_i", "_y"), "_t", featured, [("_x", T.BinaryType())]).select("_i", "_y", "_x")
+    sample = map_rows(sample.select("_t", "_i", "_y"), "_t", featured, [("_x", T.BinaryType())], PIECE_BYTES).select("_i", "_y", "_x")
     rows = sorted(map(tuple, sample.groupBy("_i").agg(F.max("_y").alias("_y"), F.max("_x").alias("_x")).collect()))
     x = np.array([np.frombuffer(r[2], "<f4") for r in rows], float).reshape(len(rows), INPUTS)
     apart = np.array([zlib.crc32(str(r[0]).encode()) // 4 % 5 == 0 for r in rows], bool)
@@ -231,4 +243,4 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         table = vectors.value
         return lambda texts: [network.probability(features(texts, table).astype(float)).tolist()]
 
-    return map_rows(docs, text, scored, [("score", T.DoubleType())])
+    return map_rows(docs, text, scored, [("score", T.DoubleType())], PIECE_BYTES)

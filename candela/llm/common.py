@@ -48,7 +48,8 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iter
             yield batch.slice(a, b - a)
 
 
-def map_rows(df: DataFrame, text: str, make: Callable[[], Callable], fields: list[tuple[str, T.DataType]]) -> DataFrame:
+def map_rows(df: DataFrame, text: str, make: Callable[[], Callable], fields: list[tuple[str, T.DataType]],
+             piece_bytes: int = SLICE_BYTES) -> DataFrame:
     """Adds ``fields`` to every row of ``df`` with a Python function of the text column.
 
     ``make()`` runs once in each task and returns a function from a list of texts (``None`` for
@@ -65,7 +66,7 @@ def map_rows(df: DataFrame, text: str, make: Callable[[], Callable], fields: lis
     def run(batches):
         work = make()
         for batch in batches:
-            for piece in slices(batch, at):
+            for piece in slices(batch, at, piece_bytes):
                 made = work(piece.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*piece.columns, *(pa.array(v, type=arrow) for v, arrow in zip(made, kinds))],
