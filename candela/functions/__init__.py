@@ -1,3 +1,3 @@
 from candela.functions.expr import (  # noqa: F401
-    iso_utc, nan_to_null, py_isoformat, split_tickers, split_tickers_col, valid_price,
+    iso_utc, nan_to_null, py_isoformat, as_list, split_tickers, valid_price,
 )

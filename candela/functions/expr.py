@@ -23,10 +23,9 @@ def split_tickers(text: str) -> list[str]:
     return [t.strip() for t in (text or "").split(",") if t.strip()]
 
 
-def split_tickers_col(c) -> Column:
-    """Column form of :func:`split_tickers` for lists stored in a table."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != F.lit(""))
+def as_list(tickers) -> list[str]:
+    """A ticker argument as a list: one name is a list of one, never its letters."""
+    return [tickers] if isinstance(tickers, str) else list(tickers)
 
 
 def py_isoformat(ts) -> Column:

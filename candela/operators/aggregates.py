@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from candela.functions.expr import nan_to_null
 
-# The reference's only SQL statement, verbatim.
-AVG_CLOSE_SQL = "SELECT Ticker, AVG(Close) as avg_close FROM stocks GROUP BY Ticker"
+# The view's column names are part of the interface; {view} is the view to read.
+AVG_CLOSE_SQL = "SELECT s.Ticker, mean(s.Close) AS avg_close FROM {view} AS s GROUP BY s.Ticker"
 
 
 def mean_close(stocks: DataFrame) -> DataFrame:
@@ -23,22 +23,23 @@ def mean_close(stocks: DataFrame) -> DataFrame:
 
 
 def avg_close_sql(spark: SparkSession, stocks: DataFrame, view: str = "stocks") -> DataFrame:
-    """A2: register the view and run the reference's SQL on it."""
+    """A2: register the view and average the closes of each ticker in SQL."""
     stocks.createOrReplaceTempView(view)
-    return spark.sql(AVG_CLOSE_SQL.replace("FROM stocks", f"FROM {view}"))
+    return spark.sql(AVG_CLOSE_SQL.format(view=view))
 
 
 def candle_summary(ohlc: DataFrame) -> DataFrame:
-    """A3: rows, lowest low and highest high of each ticker's candles."""
+    """A3: rows, lowest low and highest high of each ticker's candles; NaN counts as missing."""
     return ohlc.groupBy("ticker").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.min("low").alias("low_min"),
-        F.max("high").alias("high_max"))
+        F.min(nan_to_null("low")).alias("low_min"),
+        F.max(nan_to_null("high")).alias("high_max"))
 
 
 def scaler_state(bars: DataFrame, value: str = "close") -> DataFrame:
-    """A4: min and max of the series — the state of a [0, 1] min-max scaler."""
-    return bars.groupBy("ticker").agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    """A4: min and max of the series — the state of a [0, 1] min-max scaler; NaN counts as missing."""
+    v = nan_to_null(value)
+    return bars.groupBy("ticker").agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
 
 
 def rmse(pred: DataFrame, actual: str = "actual", predicted: str = "predicted",

@@ -101,9 +101,12 @@ def grid_feed(bars: DataFrame, tickers, latest: DataFrame | None = None,
               include_volume: bool = False, hide_realtime: bool = False) -> DataFrame:
     """V3: per valid ticker a panel with candles, volume and the real-time point."""
     from candela.sources.scans import ticker_filter
-    sel = ticker_filter(bars, list(tickers))
+    sel = ticker_filter(bars, tickers)
     valid = requested(bars.sparkSession, tickers).join(sel.select("ticker").distinct(), "ticker", "left_semi")
     layout = grid_layout(valid)
-    feed = candle_feed(sel, latest=latest.join(valid, "ticker", "left_semi") if latest is not None else None,
+    # only the requested tickers' quotes are computed: the filter reaches the latest-quote scan
+    if latest is not None:
+        latest = ticker_filter(latest, tickers).join(valid, "ticker", "left_semi")
+    feed = candle_feed(sel, latest=latest,
                        include_volume=include_volume, hide_realtime=hide_realtime)
     return feed.join(layout, "ticker")

@@ -11,10 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from candela.sources.bars import build_bars
 from candela.sources.ticks import load_event_ticks, load_lineitem_ticks, load_order_ticks
 
-# The order priorities of the driver's orders table, which act
-# as the five tickers of the daily series.
-ORDER_TICKERS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-
 
 def order_bars(spark: SparkSession, sf_dir: str, materialized: bool = False) -> DataFrame:
     """Daily bars of the five order-priority tickers.

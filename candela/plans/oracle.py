@@ -210,21 +210,23 @@ SELECT ticker, bar_date, round(close, 6) AS close,
        round(CASE WHEN al = 0 THEN 100.0 ELSE 100.0 - 100.0 / (1.0 + ag / al) END, 6) AS rsi
 FROM g WHERE pos > 14"""
 
-_A12, _A26, _A9 = 2.0 / 13, 2.0 / 27, 2.0 / 10
-ORACLE["macd"] = "WITH RECURSIVE " + ",\n".join((ORDER_TICKS, ORDER_BARS, POS_BARS)) + f"""
-, m(ticker, pos, e12, e26, sig) AS (
+def macd_sql(fast: int = 12, slow: int = 26, signal: int = 9) -> str:
+    f, sl, g = (2.0 / (span + 1) for span in (fast, slow, signal))
+    ef, es = f"({f!r} * p.close + {1 - f!r} * m.ef)", f"({sl!r} * p.close + {1 - sl!r} * m.es)"
+    return "WITH RECURSIVE " + ",\n".join((ORDER_TICKS, ORDER_BARS, POS_BARS)) + f"""
+, m(ticker, pos, ef, es, sig) AS (
   SELECT ticker, pos, close, close, 0.0::DOUBLE FROM pos_bars WHERE pos = 1
   UNION ALL
-  SELECT p.ticker, p.pos,
-         {_A12!r} * p.close + {1 - _A12!r} * m.e12,
-         {_A26!r} * p.close + {1 - _A26!r} * m.e26,
-         {_A9!r} * (({_A12!r} * p.close + {1 - _A12!r} * m.e12) - ({_A26!r} * p.close + {1 - _A26!r} * m.e26))
-           + {1 - _A9!r} * m.sig
+  SELECT p.ticker, p.pos, {ef}, {es}, {g!r} * ({ef} - {es}) + {1 - g!r} * m.sig
   FROM m JOIN pos_bars p ON p.ticker = m.ticker AND p.pos = m.pos + 1)
-SELECT b.ticker, b.bar_date, round(b.close, 2) AS close, round(e12 - e26, 2) AS macd,
-       round(sig, 2) AS signal, round(e12 - e26 - sig, 2) AS hist
+SELECT b.ticker, b.bar_date, round(b.close, 5) AS close, round(ef - es, 5) AS macd,
+       round(sig, 5) AS signal, round(ef - es - sig, 5) AS hist
 FROM m JOIN pos_bars b ON b.ticker = m.ticker AND b.pos = m.pos"""
 
+
+ORACLE["macd"] = macd_sql()
+ORACLE["macd_long"] = macd_sql(50, 200, 9)
+
 # ---------------------------------------------------------------- forecast (AR(1))
 PAIRS = f"""pairs AS (
   SELECT ticker, bar_date, k, x_last, y, lo, hi,
@@ -293,14 +295,10 @@ def iso(ts: str) -> str:
             f"ELSE strftime({ts}, '%Y-%m-%dT%H:%M:%S.%f') END")
 
 
-POLL_LOG = f"""slots AS (SELECT ticker, CAST(ceil(epoch_us(ts) / 60000000.0) AS BIGINT) AS slot
-                          FROM event_ticks),
-bounds AS (SELECT ticker, min(slot) AS s0, (SELECT max(slot) FROM slots) AS s1 FROM slots GROUP BY ticker),
-polls AS (SELECT ticker, make_timestamp(slot * 60000000) AS p
-          FROM (SELECT ticker, unnest(range(s0, s1 + 1)) AS slot FROM bounds)),
-plog AS (SELECT pp.ticker, t.price, {iso('t.ts')} AS "timestamp", 'events' AS source,
-                strftime(pp.p, '%Y-%m-%dT%H:%M:%S.%fZ') AS fetched_at
-         FROM polls pp ASOF JOIN event_ticks t ON pp.ticker = t.ticker AND pp.p >= t.ts)"""
+QUOTE_LOG = f"""plog AS (
+  SELECT CAST(event_type AS VARCHAR) AS ticker, CAST(value AS DOUBLE) AS price, {iso("date_trunc('hour', ts)")} AS "timestamp",
+         'events' AS source, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS fetched_at
+  FROM events WHERE event_type IS NOT NULL AND value IS NOT NULL AND NOT isnan(value))"""
 
 ORACLE["latest_quote"] = with_(EVENT_TICKS) + f"""
 SELECT ticker, price, ts, {iso('ts')} AS "timestamp"
@@ -312,14 +310,15 @@ SELECT event_type AS ticker, value AS price, {iso('ts')} AS "timestamp", 'events
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS fetched_at
 FROM events WHERE value IS NOT NULL AND NOT isnan(value)"""
 
-ORACLE["poll_log"] = with_(EVENT_TICKS, POLL_LOG) + "SELECT * FROM plog"
+ORACLE["poll_log"] = with_(QUOTE_LOG) + "SELECT * FROM plog"
 ORACLE["quote_log_scan"] = ORACLE["poll_log"]
 
-ORACLE["dedup_quotes"] = with_(EVENT_TICKS, POLL_LOG) + """
-SELECT ticker, price, "timestamp", source, min(fetched_at) AS fetched_at
-FROM plog GROUP BY ticker, "timestamp", source, price"""
+ORACLE["dedup_quotes"] = with_(QUOTE_LOG) + """
+SELECT ticker, price, "timestamp", source, fetched_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker, "timestamp" ORDER BY fetched_at, price, source) AS nr FROM plog)
+WHERE nr = 1"""
 
-ORACLE["quote_snapshot"] = with_(EVENT_TICKS, POLL_LOG) + """
+ORACLE["quote_snapshot"] = with_(QUOTE_LOG) + """
 SELECT r.ticker, r.price, r."timestamp", r.source, r.fetched_at FROM (
   SELECT arg_max({'ticker': ticker, 'price': price, 'timestamp': "timestamp", 'source': source,
                   'fetched_at': fetched_at},
@@ -390,8 +389,11 @@ ORACLE["grid_feed"] = with_(ORDER_TICKS, ORDER_BARS, ORDER_LATEST) + f"""
 ORACLE["stream_quote_log"] = ORACLE["poll_log"]
 ORACLE["stream_snapshot"] = ORACLE["quote_snapshot"]
 ORACLE["stream_latest"] = ORACLE["quote_snapshot"]
-ORACLE["stream_dedup"] = with_(EVENT_TICKS, POLL_LOG) + """
-SELECT DISTINCT ticker, price, "timestamp", source FROM plog"""
+ORACLE["stream_dedup"] = with_(QUOTE_LOG) + """
+SELECT DISTINCT ticker, "timestamp" FROM plog"""
+ORACLE["stream_resume"] = ORACLE["poll_log"]
+ORACLE["stream_max_rows"] = with_(QUOTE_LOG) + """
+SELECT * FROM plog ORDER BY fetched_at, ticker, "timestamp", source, price LIMIT 1000"""
 
 # append mode emits a window once the final watermark (max event time - 1 hour) passed its end
 ORACLE["stream_bars"] = with_(EVENT_TICKS, EVENT_BARS_H) + f"""

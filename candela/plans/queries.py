@@ -98,8 +98,8 @@ def q_ticker_filter(spark, sf_dir):
 
 @query("wide_to_tidy")
 def q_wide_to_tidy(spark, sf_dir):
-    wide = scans.widen_bars(cat.order_bars(spark, sf_dir), cat.ORDER_TICKERS)
-    return scans.tidy_wide_bars(wide)
+    bars = cat.order_bars(spark, sf_dir, materialized=True)
+    return scans.tidy_wide_bars(scans.widen_bars(bars, scans.all_tickers(bars)))
 
 
 @query("multi_ticker_union")
@@ -139,8 +139,7 @@ def q_tickers_without_data(spark, sf_dir):
 
 @query("candle_summary")
 def q_candle_summary(spark, sf_dir):
-    ohlc = scans.ohlcv_history(cat.order_bars(spark, sf_dir), cat.ORDER_TICKERS)
-    return agg.candle_summary(ohlc)
+    return agg.candle_summary(cat.order_bars(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- features
@@ -245,7 +244,14 @@ def q_rsi(spark, sf_dir):
 @query("macd")
 def q_macd(spark, sf_dir):
     from candela.operators.indicators import macd
-    return rounded(macd(cat.order_bars(spark, sf_dir, materialized=True)), 2)
+    return rounded(macd(cat.order_bars(spark, sf_dir, materialized=True)), 5)
+
+
+@query("macd_long")
+def q_macd_long(spark, sf_dir):
+    """Spans far longer than a chunk: the carry goes through several chunks."""
+    from candela.operators.indicators import macd
+    return rounded(macd(cat.order_bars(spark, sf_dir, materialized=True), 50, 200, 9), 5)
 
 
 # ---------------------------------------------------------------- forecast (AR(1))
@@ -322,13 +328,11 @@ def q_forecast_candles(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- quotes, log, snapshot
-POLL_S = 60   # the reference daemon's default interval
-
-
-def poll_log(spark, sf_dir):
-    from candela.sources.quotes import poll_quotes
-    from candela.sources.ticks import load_event_ticks
-    return poll_quotes(load_event_ticks(spark, sf_dir), POLL_S, source="events")
+def quote_log(spark, sf_dir):
+    """The log that the quote queries read: every valid event as a record."""
+    from candela.sources.quotes import event_quote_log
+    from candela.sources.tables import read_table
+    return event_quote_log(read_table(spark, sf_dir, "events", ["event_type", "ts", "value"]))
 
 
 @query("latest_quote")
@@ -350,7 +354,7 @@ def q_valid_quotes(spark, sf_dir):
 
 @query("poll_log")
 def q_poll_log(spark, sf_dir):
-    return poll_log(spark, sf_dir)
+    return quote_log(spark, sf_dir)
 
 
 @query("quote_log_scan")
@@ -359,14 +363,14 @@ def q_quote_log_scan(spark, sf_dir):
     from candela.sinks.writers import append_quote_log
     from candela.sources.quotes import read_quote_log
     path = scratch_path(spark, "quote-log")
-    append_quote_log(poll_log(spark, sf_dir), path)
+    append_quote_log(quote_log(spark, sf_dir), path)
     return read_quote_log(spark, path)
 
 
 @query("dedup_quotes")
 def q_dedup_quotes(spark, sf_dir):
     from candela.sources.quotes import dedup_quotes
-    return dedup_quotes(poll_log(spark, sf_dir))
+    return dedup_quotes(quote_log(spark, sf_dir))
 
 
 @query("quote_snapshot")
@@ -376,7 +380,7 @@ def q_quote_snapshot(spark, sf_dir):
     from candela.sinks.writers import read_snapshot, write_snapshot
     from candela.sources.quotes import snapshot_latest
     path = scratch_path(spark, "snapshot")
-    write_snapshot(snapshot_latest(poll_log(spark, sf_dir)), path)
+    write_snapshot(snapshot_latest(quote_log(spark, sf_dir)), path)
     return read_snapshot(spark, path, QUOTE)
 
 
@@ -426,11 +430,14 @@ def q_grid_feed(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming (drained with availableNow)
-def _quote_files(spark, sf_dir, files: int = 8) -> str:
-    """Write the derived poll log as JSON files: the input folder of the quote stream."""
+def _quote_files(spark, sf_dir) -> str:
+    """Write the log as JSON files in poll order: the input folder of the quote stream.
+
+    As many files as the log has shuffle partitions, which follow its size.
+    """
     from candela.session import scratch_path
     src = scratch_path(spark, "quote-src")
-    poll_log(spark, sf_dir).repartitionByRange(files, "fetched_at").write.json(src)
+    quote_log(spark, sf_dir).repartitionByRange("fetched_at").write.json(src)
     return src
 
 
@@ -463,12 +470,28 @@ def q_stream_snapshot(spark, sf_dir):
     return read_snapshot(spark, snap, QUOTE)
 
 
+MAX_ROWS = 1000   # rows after which the limited stream stops (the limit is the feature)
+
+
 @query("stream_max_rows")
 def q_stream_max_rows(spark, sf_dir):
-    log, _ = _run_quote_stream(spark, sf_dir, max_files_per_trigger=1, max_rows=1)
+    """The whole log as one batch, cut to exactly the first rows in log order."""
+    log, _ = _run_quote_stream(spark, sf_dir, max_rows=MAX_ROWS)
     return _read_json_tree(spark, log)
 
 
+@query("stream_resume")
+def q_stream_resume(spark, sf_dir):
+    """Stop at the limit, go on without it: the log is whole, nothing twice."""
+    from candela.session import scratch_path
+    from candela.streaming.quotes import run_quote_stream
+    src, base = _quote_files(spark, sf_dir), scratch_path(spark, "quote-resume")
+    for limit in (MAX_ROWS, 0):
+        run_quote_stream(spark, src, f"{base}/log", f"{base}/snapshot", f"{base}/_checkpoint",
+                         max_files_per_trigger=2, max_rows=limit)
+    return _read_json_tree(spark, f"{base}/log")
+
+
 @query("stream_latest")
 def q_stream_latest(spark, sf_dir):
     from candela.schemas import QUOTE
@@ -487,8 +510,8 @@ def q_stream_dedup(spark, sf_dir):
     from candela.streaming.quotes import quote_stream, run_to_parquet, stream_dedup
     src = _quote_files(spark, sf_dir)
     base = scratch_path(spark, "dedup")
-    run_to_parquet(stream_dedup(quote_stream(spark, src)), f"{base}/out", f"{base}/_checkpoint")
-    return spark.read.parquet(f"{base}/out").select("ticker", "price", "timestamp", "source")
+    run_to_parquet(stream_dedup(quote_stream(spark, src, max_files_per_trigger=2)), f"{base}/out", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/out").select("ticker", "timestamp")
 
 
 @query("stream_bars")

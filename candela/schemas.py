@@ -5,27 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# ticks: one trade / quote.  ``tick_id`` breaks ties between equal timestamps.
-TICK = T.StructType([
-    T.StructField("ticker", T.StringType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("qty", T.DoubleType()),
-    T.StructField("tick_id", T.LongType()),
-])
-
-# daily bars (one row per ticker and day)
-BAR = T.StructType([
-    T.StructField("ticker", T.StringType()),
-    T.StructField("bar_date", T.DateType()),
-    T.StructField("open", T.DoubleType()),
-    T.StructField("high", T.DoubleType()),
-    T.StructField("low", T.DoubleType()),
-    T.StructField("close", T.DoubleType()),
-    T.StructField("volume", T.LongType()),
-    T.StructField("n_ticks", T.LongType()),
-])
-
 # one quote record as the daemon writes it: five flat fields
 QUOTE = T.StructType([
     T.StructField("ticker", T.StringType()),
@@ -35,14 +14,7 @@ QUOTE = T.StructType([
     T.StructField("fetched_at", T.StringType()),
 ])
 
-SCALER = T.StructType([
-    T.StructField("ticker", T.StringType()),
-    T.StructField("lo", T.DoubleType()),
-    T.StructField("hi", T.DoubleType()),
-])
-
-# The vendor's bar field names, in the order the reference
-# requires them.
+# The vendor's bar field names.
 OHLC_FIELDS = ["Open", "High", "Low", "Close"]
 VOLUME_FIELD = "Volume"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -42,15 +42,17 @@ def get_spark(master: str | None = None, app: str = "candela",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and read from the session.  Only
-    when it is unset (local tests) a private temporary folder is created and
-    registered as the checkpoint directory.
+    On a cluster this is set by the operator and read from the session; without
+    it a job would write where only one machine can read, so that is an error.
+    Only in local mode (tests) a private temporary folder takes its place.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not d and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="candela-ckpt-")
     sc.setCheckpointDir(d)
@@ -62,12 +64,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     sep = "" if root.endswith("/") else "/"
     return f"{root}{sep}candela/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file checks in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -1,3 +1,3 @@
 from candela.sinks.writers import (  # noqa: F401
-    append_quote_log, latest_version, write_feed, write_snapshot,
+    append_quote_log, read_snapshot, write_feed, write_snapshot,
 )

@@ -24,32 +24,45 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
-def latest_version(spark: SparkSession, path: str, prefix: str = "v=") -> int | None:
-    vs = [int(n[len(prefix):]) for n in list_dirs(spark, path) if n.startswith(prefix)]
-    return max(vs) if vs else None
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete snapshot versions (their job has left ``_SUCCESS``), ascending."""
+    out = []
+    for name in list_dirs(spark, path):
+        if name.startswith("v="):
+            fs, p = _fs(spark, f"{path.rstrip('/')}/{name}/_SUCCESS")
+            if fs.exists(p):
+                out.append(int(name[2:]))
+    return sorted(out)
 
 
-def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> str:
-    """K1: write the snapshot (one JSON object per ticker) as a new version folder."""
+#: Snapshot versions that stay; readers of a version that is older may find it gone.
+KEEP_VERSIONS = 3
+
+
+def write_snapshot(df: DataFrame, path: str, version: int | None = None, keep: int = KEEP_VERSIONS) -> str:
+    """K1: write the snapshot (one JSON object per ticker) as a new version folder.
+
+    The final aggregate keeps its partitions (AQE merges small ones).  After a
+    complete write all but the last ``keep`` versions are removed.
+    """
     spark = df.sparkSession
+    done = versions(spark, path)
     if version is None:
-        v = latest_version(spark, path)
-        version = 0 if v is None else v + 1
+        version = done[-1] + 1 if done else 0
     out = f"{path.rstrip('/')}/v={version}"
-    df.coalesce(1).write.mode("overwrite").json(out)   # one object per ticker: tiny
+    df.write.mode("overwrite").json(out)
+    older = [v for v in done if v < version]
+    for old in older[:max(0, len(older) - keep + 1)]:
+        fs, p = _fs(spark, f"{path.rstrip('/')}/v={old}")
+        fs.delete(p, True)
     return out
 
 
 def read_snapshot(spark: SparkSession, path: str, schema, before: int | None = None) -> DataFrame | None:
-    """Latest snapshot version (only versions < ``before`` when given, so a
+    """Latest complete snapshot version (only versions < ``before`` when given, so a
     replayed stream batch re-reads the state it started from)."""
-    vs = [int(n[2:]) for n in list_dirs(spark, path) if n.startswith("v=")]
-    if before is not None:
-        vs = [x for x in vs if x < before]
-    if not vs:
-        return None
-    v = max(vs)
-    return spark.read.schema(schema).json(f"{path.rstrip('/')}/v={v}")
+    done = [v for v in versions(spark, path) if before is None or v < before]
+    return spark.read.schema(schema).json(f"{path.rstrip('/')}/v={done[-1]}") if done else None
 
 
 def append_quote_log(df: DataFrame, path: str, batch_id: int | None = None) -> None:

@@ -31,6 +31,11 @@ def tick_order(ticks: DataFrame):
     return F.col("seq") if "seq" in ticks.columns else F.struct("ts", "tick_id")
 
 
+def volume_sum():
+    """Traded quantity of a bar: a whole number, rounded once after the sum."""
+    return F.round(F.sum("qty")).cast("bigint")
+
+
 def build_bars(ticks: DataFrame, period: str = "day", last_ts: bool = False) -> DataFrame:
     """OHLCV per ticker and period; ``last_ts=True`` adds the time of the
     period's last tick, so the latest quote can later be read off the bars
@@ -45,6 +50,6 @@ def build_bars(ticks: DataFrame, period: str = "day", last_ts: bool = False) ->
                  F.max("price").alias("high"),
                  F.min("price").alias("low"),
                  F.max_by("price", "_o").alias("close"),
-                 F.sum("qty").cast("bigint").alias("volume"),
+                 volume_sum().alias("volume"),
                  F.count(F.lit(1)).alias("n_ticks"),
                  *([F.max("ts").alias("last_ts")] if last_ts else [])))

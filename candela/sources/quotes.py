@@ -1,6 +1,6 @@
-"""S5, S6, P6, T5 and the batch form of the polling daemon.
+"""Quotes, the quote log and its reduction.
 
-A quote record has the reference's five flat fields ``(ticker, price,
+A quote record has five flat fields ``(ticker, price,
 timestamp, source, fetched_at)``: ``timestamp`` is the exchange time as
 Python ``isoformat()`` text, ``fetched_at`` the poll instant in UTC with six
 fraction digits and a ``Z``.
@@ -8,7 +8,7 @@ fraction digits and a ``Z``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.functions.expr import iso_utc, py_isoformat, valid_price
@@ -55,11 +55,19 @@ def read_quote_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def quote_instant(ts_text="timestamp"):
-    """Exchange timestamp text → instant (offsets honoured, session zone otherwise)."""
-    return F.to_timestamp(F.col(ts_text))
+    """Exchange timestamp text → instant (offsets honoured, session zone
+    otherwise); NULL for text that is no timestamp."""
+    return F.try_to_timestamp(F.col(ts_text))
 
 
-DEDUP_KEYS = ["ticker", "timestamp", "source", "price"]
+def well_formed(df: DataFrame) -> DataFrame:
+    """Records whose exchange timestamp can be read."""
+    return df.where(quote_instant().isNotNull())
+
+
+def malformed(df: DataFrame) -> DataFrame:
+    """The other records, to be kept apart and counted."""
+    return df.where(quote_instant().isNull())
 
 
 def fetched_ntz(col: str = "fetched_at"):
@@ -68,15 +76,15 @@ def fetched_ntz(col: str = "fetched_at"):
 
 
 def dedup_quotes(log: DataFrame) -> DataFrame:
-    """T5 (batch): a repeated quote — the same record polled again — is kept
-    once, with its earliest poll time.
+    """T5 (batch): one record per ``(ticker, timestamp)``, the earliest poll.
 
-    The record fields are the group key and the poll time is reduced with
-    ``min`` over a fixed-width timestamp, so this is a hash aggregate with
-    map-side combine (a ``min_by`` over text would sort the whole log).
+    First a hash aggregate with map-side combine folds the polls of one quote
+    (all fields but the poll time); ``min_by`` then picks the earliest on that
+    reduced table.  Of polls at the same instant the smaller price, then source wins.
     """
-    return (log.groupBy(*DEDUP_KEYS).agg(F.min(fetched_ntz()).alias("_fa"))
-            .select("ticker", "price", "timestamp", "source", iso_utc("_fa").alias("fetched_at")))
+    polls = log.groupBy("ticker", "timestamp", "source", "price").agg(F.min(fetched_ntz()).alias("fa"))
+    first = polls.groupBy("ticker", "timestamp").agg(F.min(F.struct("fa", "price", "source")).alias("r"))
+    return first.select("ticker", "r.price", "timestamp", "r.source", iso_utc("r.fa").alias("fetched_at"))
 
 
 def snapshot_latest(records: DataFrame) -> DataFrame:
@@ -88,69 +96,14 @@ def snapshot_latest(records: DataFrame) -> DataFrame:
             .select("r.*"))
 
 
-# ---------------------------------------------------------------- polling backfill
-def _us(ts):
-    return F.unix_micros(F.col(ts).cast("timestamp") if isinstance(ts, str) else ts.cast("timestamp"))
-
+def event_quote_log(events: DataFrame, source: str = "events") -> DataFrame:
+    """Quote records of the events table: each valid event is one logged poll.
 
-def poll_quotes(ticks: DataFrame, interval_s: int = 60, source: str = "events",
-                day_micros: int = 86_400_000_000) -> DataFrame:
-    """What a daemon polling every ``interval_s`` seconds would have logged.
-
-    Polls run on the epoch-aligned grid from each ticker's first tick to the
-    last tick of all tickers; each poll returns the latest tick at or before
-    it, and a poll before the ticker's first tick logs nothing.
-
-    Plan: every tick is assigned to the first poll at or after it and
-    reduced to the latest tick per ``(ticker, poll)`` (partial aggregate).
-    Polls without a new tick repeat the previous quote: a forward fill inside
-    ``(ticker, day)`` partitions, plus a carry from earlier days computed on the
-    small ``(ticker, day)`` table.  No task ever holds a whole ticker.
+    The exchange stamps its quotes by the hour, so the polls of one ticker
+    within an hour repeat a timestamp; ``fetched_at`` is the event's own time.
     """
-    from candela.sources.bars import tick_order
-    I = int(interval_s) * 1_000_000
-    t = ticks.where(valid_price("price")).select(
-        "ticker", "ts", "price", tick_order(ticks).alias("_o"),
-        F.ceil(_us("ts") / F.lit(I)).cast("bigint").alias("slot")) \
-        .where(F.col("slot").isNotNull())   # stated once so every branch has the same plan
-    # latest tick per (ticker, poll): the latest tick has the largest ts
-    newq = (t.groupBy("ticker", "slot")
-            .agg(F.max_by("price", "_o").alias("_p"), F.max("ts").alias("_t"))
-            .select("ticker", "slot", F.struct(F.col("_p").alias("price"), F.col("_t").alias("ts")).alias("q")))
-    # poll range per ticker from the reduced (ticker, poll) table.  It reads the quote
-    # column too, so both consumers of ``newq`` share one exchange instead of a pruned
-    # copy that would aggregate the ticks a second time.
-    per = (newq.groupBy("ticker").agg(F.min("slot").alias("s0"), F.max("slot").alias("s1"),
-                                      F.max("q.ts").alias("_lt"), F.max_by("q.price", "slot").alias("_lp"))
-           .where(F.col("_lt").isNotNull() & F.col("_lp").isNotNull())   # has a usable quote
-           .drop("_lt", "_lp"))
-    per = per.withColumn("s1", F.max("s1").over(Window.partitionBy()))  # one row per ticker
-    spd = day_micros // I if day_micros % I == 0 else None
-    if spd is None:
-        raise ValueError("interval must divide one day")
-    days = per.select("ticker", "s0", "s1",
-                      F.explode(F.sequence(F.floor(F.col("s0") / spd), F.floor(F.col("s1") / spd)))
-                      .alias("day"))
-    polls = (days.repartition("ticker", "day")
-             .select("ticker", "day",
-                     F.explode(F.sequence(F.greatest(F.col("s0"), F.col("day") * spd),
-                                          F.least(F.col("s1"), F.col("day") * spd + spd - 1)))
-                     .alias("slot")))
-    p = polls.join(newq, ["ticker", "slot"], "left")
-    within = Window.partitionBy("ticker", "day").orderBy("slot") \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    p = p.withColumn("qf", F.last("q", ignorenulls=True).over(within))
-    has = F.when(F.col("q").isNotNull(), F.col("slot"))
-    dayq = (p.groupBy("ticker", "day")
-            .agg(F.max_by("q.price", has).alias("_p"), F.max_by("q.ts", has).alias("_t"))
-            .select("ticker", "day", F.when(F.col("_t").isNotNull(), F.struct(
-                F.col("_p").alias("price"), F.col("_t").alias("ts"))).alias("dq")))
-    before = Window.partitionBy("ticker").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    carry = dayq.select("ticker", "day", F.last("dq", ignorenulls=True).over(before).alias("cq"))
-    out = (p.join(carry, ["ticker", "day"], "left")
-           .select("ticker", "slot", F.coalesce("qf", "cq").alias("q"))
-           .where(F.col("q").isNotNull()))
-    poll_ts = F.timestamp_micros(F.col("slot") * F.lit(I))
-    return out.select("ticker", F.col("q.price").alias("price"), F.col("q.ts").alias("ts"),
-                      poll_ts.alias("polled_at")) \
-        .transform(lambda d: quote_records(d, source, fetched_at="polled_at"))
+    polled = events.select(F.col("event_type").cast("string").alias("ticker"),
+                           F.col("value").cast("double").alias("price"),
+                           F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("stamp"), "ts")
+    return quote_records(valid_quotes(polled).where(F.col("ticker").isNotNull()), source,
+                         fetched_at="ts", ts="stamp")

@@ -22,13 +22,14 @@ def seq_key(ts: str = "ts", tick_id: str = "tick_id") -> Column:
     """One ``decimal(38,0)`` that orders like ``(ts, tick_id)``.
 
     ``(epoch µs + 10^16) * 10^20 + tick_id`` for timestamps after 1653 and
-    ids in ``[0, 10^20)``.  A decimal aggregation buffer is fixed-width, so
+    ids in ``[0, 10^20)``; a tick without an id comes first of its time, as a
+    NULL does in the struct order.  A decimal aggregation buffer is fixed-width, so
     ``min_by``/``max_by`` over it stay in a hash aggregate; a struct ordering
     would force a sort-based aggregate over every tick.
     """
     us = F.unix_micros(F.col(ts).cast("timestamp")).cast(_D38)
     return ((us + F.lit(Decimal(10 ** 16)).cast(_D38)) * F.lit(Decimal(10 ** 20)).cast(_D38)
-            + F.col(tick_id).cast(_D38)).cast(_D38)
+            + F.coalesce(F.col(tick_id).cast(_D38), F.lit(Decimal(-1)).cast(_D38))).cast(_D38)
 
 
 def with_seq(ticks: DataFrame) -> DataFrame:

@@ -11,30 +11,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candela.sinks.writers import _fs
+from candela.sources.bars import tick_order, volume_sum
 from candela.sources.ticks import event_ticks
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def event_stream(spark: SparkSession, folder: str, file_glob: str = "events.parquet",
+def event_stream(spark: SparkSession, folder: str, name: str = "events.parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """The events Parquet files of a folder as a stream (explicit schema)."""
-    r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", file_glob)
+    """The events table of a folder as a stream (explicit schema).
+
+    The table is a folder of part files or a single file; a file source reads
+    folders, so a single file is picked out of its folder by name.
+    """
+    r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return r.parquet(folder)
+    path = f"{folder.rstrip('/')}/{name}"
+    fs, p = _fs(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        return r.parquet(path)
+    return r.option("pathGlobFilter", name).parquet(folder)
 
 
 def stream_bars(ticks: DataFrame, period: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """Windowed OHLCV per ticker.  Watermarks need TIMESTAMP (not NTZ): the
     session zone is UTC, so the cast keeps the wall-clock value."""
     t = ticks.withColumn("ts", F.col("ts").cast("timestamp"))
-    order = F.struct("ts", "tick_id")
+    order = tick_order(t)
     return (t.withWatermark("ts", delay)
             .groupBy(F.window("ts", period).alias("w"), "ticker")
             .agg(F.min_by("price", order).alias("open"), F.max("price").alias("high"),
                  F.min("price").alias("low"), F.max_by("price", order).alias("close"),
-                 F.sum("qty").cast("bigint").alias("volume"), F.count(F.lit(1)).alias("n_ticks"))
+                 volume_sum().alias("volume"), F.count(F.lit(1)).alias("n_ticks"))
             .select("ticker", F.col("w.start").cast("timestamp_ntz").alias("bar_ts"),
                     "open", "high", "low", "close", "volume", "n_ticks"))
 

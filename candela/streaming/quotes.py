@@ -1,19 +1,18 @@
 """Structured Streaming over a folder of newline-JSON quote files.
 
-The reference polls in a loop, appends one JSON line per poll and rewrites a
-snapshot file.  Here a file-source stream plays the poll loop: each trigger
-is one micro-batch handled by ``foreachBatch``:
+A file-source stream plays the poll loop: each trigger is one micro-batch
+handled by ``foreachBatch``:
 
 1. drop missing quotes (P6),
 2. append the batch to the log in its own ``batch_id=<id>`` folder with
    overwrite mode — a replayed batch rewrites the same folder (K2),
 3. merge the previous snapshot with the batch, keep the latest record per
    ticker and write it as snapshot version ``v=<id>`` (K1).  The previous
-   version is read as "highest version below <id>", so a replay is
+   version is read as "highest complete version below <id>", so a replay is
    idempotent.
 
 Offsets and progress live in the checkpoint folder: a restart resumes where
-it stopped instead of appending duplicates as the reference's loop does.
+it stopped.
 """
 
 from __future__ import annotations
@@ -22,10 +21,13 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from candela.schemas import QUOTE
-from candela.sinks.writers import append_quote_log, read_snapshot, write_snapshot
-from candela.sources.quotes import quote_instant, snapshot_latest, valid_quotes
+from candela.sinks.writers import append_quote_log, list_dirs, read_snapshot, write_snapshot
+from candela.sources.quotes import malformed, quote_instant, snapshot_latest, valid_quotes, well_formed
+from candela.sources.scans import ticker_filter
 
 
 def quote_stream(spark: SparkSession, src: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -42,46 +44,83 @@ def _trigger(writer, interval_s, available_now):
     return writer.trigger(processingTime=f"{int(interval_s)} seconds")
 
 
+class RowLimit(Exception):
+    """Ends a query whose log has all the rows asked for; its batch stays uncommitted."""
+
+
+#: What the query's error must say to be a reached limit and no failure.
+LIMIT_REACHED = "row limit of the quote log reached"
+#: Order in which a limit takes the records of a batch.
+LOG_ORDER = ("fetched_at", "ticker", "timestamp", "source", "price")
+
+
+def logged_rows(spark: SparkSession, log_path: str, but_batch: int | None = None) -> int:
+    """Records in the log, without the batch that is about to be written (again)."""
+    if not list_dirs(spark, log_path):
+        return 0
+    log = spark.read.schema(T.StructType([*QUOTE.fields, T.StructField("batch_id", T.LongType())])).json(log_path)
+    return log.where(F.col("batch_id") != but_batch).count() if but_batch is not None else log.count()
+
+
 def run_quote_stream(spark: SparkSession, src: str, log_path: str, snapshot_path: str,
                      checkpoint: str, interval_s: int = 60, available_now: bool = True,
                      max_rows: int = 0, max_files_per_trigger: int | None = None,
-                     timeout_s: float | None = None):
-    """T1 + T2: run the poll loop; returns the number of records written.
-
-    ``max_rows`` > 0 stops the query once that many records were appended
-    (checked by the driver between batches, like ``--daemon-max-lines``).
+                     timeout_s: float | None = None, tickers=None):
+    """T1 + T2: run the poll loop; returns the number of records written by this run.
+
+    ``max_rows`` > 0 stops once the log holds that many records, counted in the
+    log itself, so that a restart goes on counting.  The batch that crosses
+    the limit is cut in ``LOG_ORDER`` and ends the query before its offsets
+    are committed: a later run without the limit, or with a higher one,
+    replays it, overwrites its folder and loses nothing.  Records whose
+    timestamp cannot be read go to ``<log>-rejects``.  ``tickers`` binds the
+    loop to these names.
     """
-    written = {"n": 0}
+    state = {"before": None, "written": 0}
 
     def handle(batch: DataFrame, batch_id: int):
-        if max_rows and written["n"] >= max_rows:
-            return  # limit reached: the driver stops the query between triggers
-        v = valid_quotes(batch).persist()
+        if max_rows and state["before"] is None:
+            state["before"] = logged_rows(spark, log_path, batch_id)
+        left = max_rows - state["before"] - state["written"] if max_rows else None
+        if left is not None and left <= 0:
+            raise RowLimit(LIMIT_REACHED)
+        valid = ticker_filter(valid_quotes(batch), tickers).persist()
         try:
-            n = v.count()
-            if n == 0:
-                return
-            append_quote_log(v, log_path, batch_id)
-            prev = read_snapshot(spark, snapshot_path, QUOTE, before=batch_id)
-            merged = snapshot_latest(v if prev is None else prev.unionByName(v))
-            write_snapshot(merged, snapshot_path, version=batch_id)
-            written["n"] += n
+            good, bad = well_formed(valid), malformed(valid)
+            n = good.count()
+            if n < valid.count():
+                append_quote_log(bad, f"{log_path.rstrip('/')}-rejects", batch_id)
+            cut = left is not None and n > left
+            if cut:
+                good, n = good.orderBy(*LOG_ORDER).limit(left), left
+            if n:
+                append_quote_log(good, log_path, batch_id)
+                prev = read_snapshot(spark, snapshot_path, QUOTE, before=batch_id)
+                merged = snapshot_latest(good if prev is None else prev.unionByName(good))
+                write_snapshot(merged, snapshot_path, version=batch_id)
+                state["written"] += n
+            if cut:
+                raise RowLimit(LIMIT_REACHED)
         finally:
-            v.unpersist()
+            valid.unpersist()
 
     w = (quote_stream(spark, src, max_files_per_trigger).writeStream
          .foreachBatch(handle).option("checkpointLocation", checkpoint))
     q = _trigger(w, interval_s, available_now).start()
     t0 = time.time()
-    while q.isActive:
-        q.awaitTermination(0.5)
-        done = (max_rows and written["n"] >= max_rows) or \
-            (timeout_s and time.time() - t0 > timeout_s)
-        if done and q.isActive and not q.status.get("isTriggerActive", False):
-            q.stop()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
-    return written["n"]
+    try:
+        while q.isActive:
+            q.awaitTermination(0.5)
+            full = max_rows and state["before"] is not None and state["before"] + state["written"] >= max_rows
+            late = timeout_s and time.time() - t0 > timeout_s
+            if (full or late) and q.isActive and not q.status.get("isTriggerActive", False):
+                q.stop()
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
+    except Exception as e:
+        if LIMIT_REACHED not in str(e):
+            raise
+    return state["written"]
 
 
 def live_latest(stream: DataFrame) -> DataFrame:
@@ -107,16 +146,39 @@ def run_live_latest(spark: SparkSession, src: str, out_path: str, checkpoint: st
     q.awaitTermination()
 
 
-def stream_dedup(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """T5 streaming: drop repeated polls of the same quote.
+def stream_dedup(stream: DataFrame, delay_s: int = 86_400) -> DataFrame:
+    """T5 streaming: one record per ``(ticker, timestamp)``, the earliest poll of its batch.
 
-    The event time is the exchange timestamp, shared by all repeats of a
-    quote; ``delay`` must exceed the longest time a quote stays current.
+    The state belongs to the ticker: the exchange timestamps that it has shown
+    within ``delay_s`` of its own latest one.  A ticker that appears late, or
+    trades rarely, is therefore never measured against another ticker's
+    clock; only a quote that is older than its own ticker's latest by more
+    than ``delay_s`` counts as a repeat.
     """
-    return (stream.withColumn("_et", quote_instant())
-            .withWatermark("_et", delay)
-            .dropDuplicatesWithinWatermark(["ticker", "timestamp", "source", "price"])
-            .drop("_et"))
+    columns = stream.columns
+    keyed = stream.withColumn("_us", F.coalesce(F.unix_micros(quote_instant()), F.lit(0)))
+
+    def first_polls(key, frames, state):
+        import pandas as pd
+        seen = dict(zip(*state.get)) if state.exists else {}
+        oldest = max(seen.values()) - delay_s * 1_000_000 if seen else None
+        found: dict = {}
+        for frame in frames:
+            for r in frame.itertuples(index=False, name=None):
+                r = dict(zip([*columns, "_us"], r))
+                known = found.get(r["timestamp"])
+                if known is None or r["fetched_at"] < known["fetched_at"]:
+                    found[r["timestamp"]] = r
+        fresh = [r for t, r in found.items() if t not in seen and (oldest is None or r["_us"] >= oldest)]
+        seen.update((t, int(r["_us"])) for t, r in found.items())
+        newest = max(seen.values())
+        seen = {t: us for t, us in seen.items() if us >= newest - delay_s * 1_000_000}
+        state.update((list(seen), list(seen.values())))
+        if fresh:
+            yield pd.DataFrame([[r[c] for c in columns] for r in fresh], columns=columns)
+
+    return keyed.groupBy("ticker").applyInPandasWithState(
+        first_polls, stream.schema, "texts array<string>, micros array<long>", "append", GroupStateTimeout.NoTimeout)
 
 
 def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:

@@ -119,3 +119,52 @@ def test_tidy_required_part_wins(spark):
                                  "Date date, `X|Open` double, `High|X` double, `X|Low` double, `Close|X` double")
     r = scans.tidy_wide_bars(wide, include_volume=False).collect()
     assert [(x.ticker, x.open, x.high, x.low, x.close) for x in r] == [("X", 1.0, 2.0, 0.5, 1.5)]
+
+
+def test_one_ticker_as_a_string_is_one_ticker(spark):
+    bars = spark.createDataFrame([("AAPL", dt.date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5)],
+                                 "ticker string, bar_date date, open double, high double, low double, close double")
+    assert [(r.ticker, r.n_bars, r.status) for r in scans.availability(bars, "AAPL").collect()] == [("AAPL", 1, "ok")]
+    assert scans.tickers_with_data(bars, "AAPL").count() == 1 and scans.tickers_without_data(bars, "AAPL").count() == 0
+    from candela.operators.feeds import grid_feed
+    assert {r.ticker for r in grid_feed(bars, "AAPL").collect()} == {"AAPL"}
+
+
+def test_availability_is_per_ticker(spark):
+    rows = [("A", dt.date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5), ("B", dt.date(2024, 1, 2), 1.0, 2.0, None, 1.5)]
+    bars = spark.createDataFrame(rows, "ticker string, bar_date date, open double, high double, low double, close double")
+    assert {r.ticker: r.status for r in scans.availability(bars, ["A", "B", "C"]).collect()} == \
+        {"A": "ok", "B": "missing_columns", "C": "no_data"}
+
+
+def test_no_rows_is_an_error_where_asked(spark):
+    bars = spark.createDataFrame([], "ticker string, bar_date date, open double, high double, low double, close double")
+    assert scans.ohlcv_history(bars, ["A"]).count() == 0
+    with pytest.raises(ValueError, match="A"):
+        scans.ohlcv_history(bars, ["A"], must_exist=True)
+
+
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    bars = spark.createDataFrame([("A", dt.date(2024, 1, d), 1.0, h, lo, c) for d, h, lo, c in
+                                  [(1, 2.0, 0.5, 1.0), (2, nan, nan, nan), (3, 3.0, 0.25, 2.0)]],
+                                 "ticker string, bar_date date, open double, high double, low double, close double")
+    assert tuple(agg.candle_summary(bars).first())[1:] == (3, 0.25, 3.0)
+    assert tuple(agg.scaler_state(bars).first())[1:] == (1.0, 2.0)
+
+
+def test_volume_is_rounded_after_the_sum_and_null_ids_count(spark):
+    b = build_bars(ticks(spark, [("A", TS, 1.0, 0.4, 1), ("A", TS, 1.0, 0.4, 2)])).first()
+    assert b.volume == 1
+    from candela.sources.ticks import with_seq
+    rows = [("A", TS, 1.0, 1.0, None), ("A", TS, 2.0, 1.0, 7), ("A", TS + dt.timedelta(hours=1), 3.0, 1.0, None)]
+    for t in (ticks(spark, rows), with_seq(ticks(spark, rows))):
+        r = build_bars(t).first()
+        assert (r.open, r.close) == (1.0, 3.0)
+
+
+def test_wide_header_names_the_ticker_that_lacks_a_field(spark):
+    cols = ", ".join(f"`{f}|{t}` double" for t in "AB" for f in ("Open", "High", "Low", "Close") if (f, t) != ("High", "B"))
+    wide = spark.createDataFrame([(dt.date(2024, 1, 2), *[1.0] * 7)], f"Date date, {cols}")
+    with pytest.raises(ValueError, match="High of B"):
+        scans.tidy_wide_bars(wide)

@@ -6,7 +6,7 @@ from candela.schemas import QUOTE
 from candela.session import scratch_path
 from candela.sinks.writers import read_snapshot
 from candela.streaming.bars import stream_bars
-from candela.streaming.quotes import run_quote_stream, run_to_parquet
+from candela.streaming.quotes import quote_stream, run_quote_stream, run_to_parquet, stream_dedup
 
 
 def _rec(t, p, ts, fa):
@@ -46,12 +46,62 @@ def test_quote_stream_log_and_snapshot(spark):
     assert spark.read.schema(QUOTE).option("recursiveFileLookup", "true").json(f"{base}/log").count() == 4
 
 
-def test_quote_stream_max_rows(spark):
+def _log(spark, base):
+    return sorted(map(tuple, spark.read.schema(QUOTE).option("recursiveFileLookup", "true").json(f"{base}/log").collect()))
+
+
+def test_row_limit_is_exact_and_resumable(spark):
+    """20 records in 5 files; limits that cut a batch, end one, and are raised; then no limit."""
     base = scratch_path(spark, "qsmax").replace("file:", "")
-    _files(f"{base}/src", BATCHES)
-    n = run_quote_stream(spark, f"{base}/src", f"{base}/log", f"{base}/snap", f"{base}/ck",
-                         max_files_per_trigger=1, max_rows=2)
-    assert n == 2
+    recs = [[_rec("A", float(4 * f + i), f"2024-01-01T10:{f:02d}:{i:02d}", f"2024-01-01T11:{f:02d}:{i:02d}.000000Z")
+             for i in range(4)] for f in range(5)]
+    _files(f"{base}/src", recs)
+    want = sorted(tuple(r[c] for c in QUOTE.names) for b in recs for r in b)
+
+    def run(limit):
+        return run_quote_stream(spark, f"{base}/src", f"{base}/log", f"{base}/snap", f"{base}/ck",
+                                max_files_per_trigger=1, max_rows=limit)
+
+    for limit in (1, 1, 6, 8, 11):
+        run(limit)
+        assert _log(spark, base) == want[:limit]
+    run(0)
+    assert _log(spark, base) == want
+    assert run(0) == 0
+    assert read_snapshot(spark, f"{base}/snap", QUOTE).first().price == 19.0
+
+
+def test_stream_keeps_rejects_apart_and_binds_to_tickers(spark):
+    base = scratch_path(spark, "qsrej").replace("file:", "")
+    bad = _rec("A", 3.0, "yesterday", "2024-01-01T10:04:01.000000Z")
+    _files(f"{base}/src", [*BATCHES, [bad]])
+    n = run_quote_stream(spark, f"{base}/src", f"{base}/log", f"{base}/snap", f"{base}/ck", tickers="A")
+    assert n == 2 and {r[0] for r in _log(spark, base)} == {"A"}
+    rejects = spark.read.schema(QUOTE).option("recursiveFileLookup", "true").json(f"{base}/log-rejects").collect()
+    assert [r.timestamp for r in rejects] == ["yesterday"]
+
+
+def test_dedup_state_is_per_ticker(spark):
+    base = scratch_path(spark, "dedup").replace("file:", "")
+    a = _rec("A", 1.0, "2024-01-10T10:00:00", "2024-01-10T10:00:01.000000Z")
+    again = dict(a, fetched_at="2024-01-10T10:01:01.000000Z", price=2.0)
+    late = _rec("B", 5.0, "2024-01-05T10:00:00", "2024-01-10T10:02:01.000000Z")
+    _files(f"{base}/src", [[again, a], [again, dict(a, timestamp="2024-01-10T11:00:00")], [late], [late, again]])
+    run_to_parquet(stream_dedup(quote_stream(spark, f"{base}/src", 1)), f"{base}/out", f"{base}/ck")
+    got = sorted((r.ticker, r.timestamp, r.price) for r in spark.read.parquet(f"{base}/out").collect())
+    assert got == [("A", "2024-01-10T10:00:00", 1.0), ("A", "2024-01-10T11:00:00", 1.0), ("B", "2024-01-05T10:00:00", 5.0)]
+
+
+def test_event_stream_reads_a_folder_and_a_file_alike(spark):
+    from candela.streaming.bars import event_bar_stream
+    base = scratch_path(spark, "multi").replace("file:", "")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{base}/in/events.parquet")
+    out = []
+    for i, folder in enumerate((f"{base}/in", "/root/testdata/sf0.001")):
+        run_to_parquet(event_bar_stream(spark, folder), f"{base}/out{i}", f"{base}/ck{i}")
+        out.append(sorted(map(tuple, spark.read.parquet(f"{base}/out{i}").collect())))
+    assert out[0] == out[1] and len(out[0]) > 100
 
 
 def test_stream_bars_drop_late_tick(spark):
