@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candela.functions.expr import nan_to_null
 from candela.operators.aggregates import scaler_state
 from candela.operators.position import (
     DEFAULT_CHUNK, chunk_window, owned, series_counts, with_halo, with_position,
@@ -50,6 +51,35 @@ def fit_scaler(bars: DataFrame, fit: str = "all", L: int = 60, frac: float = 0.8
     return scaler_state(pos.join(n, "ticker").where(F.col("pos") <= last_train), value)
 
 
+def series_stats(bars: DataFrame, value: str = "close") -> DataFrame:
+    """Everything that is constant in a ticker's series, from one hash aggregate:
+    rows, scaler state, last date and last value."""
+    v = nan_to_null(value)
+    return bars.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"),
+        F.max("bar_date").alias("last_date"), F.max_by(value, "bar_date").alias("last_close"))
+
+
+def scaled_series(bars: DataFrame, value: str = "close", out: str = "s") -> DataFrame:
+    """Positions, the scaled value and the ticker's :func:`series_stats` on every bar.
+
+    What follows (samples, splits, seeds, forecasts) reads these columns and
+    aggregates or joins nothing per ticker again.
+    """
+    return with_position(bars).join(series_stats(bars, value), "ticker") \
+        .withColumn(out, scale_expr(value))
+
+
+def training_status(bars: DataFrame, L: int = 60, frac: float = 0.8, min_train: int = 1) -> DataFrame:
+    """Samples and train samples of every ticker, and whether it can be trained.
+
+    A ticker with fewer than ``min_train`` train samples is reported, not lost.
+    """
+    n = series_counts(bars).withColumn("n_samples", F.greatest(F.col("n") - L, F.lit(0)))
+    n = n.withColumn("n_train", train_cut("n_samples", frac))
+    return n.withColumn("status", F.when(F.col("n_train") >= min_train, "ok").otherwise("insufficient_history"))
+
+
 def minmax_scale(bars: DataFrame, fit: str = "all", L: int = 60, frac: float = 0.8,
                  value: str = "close", out: str = "s") -> DataFrame:
     """add ``lo``, ``hi`` and the scaled value ``s`` in [0, 1]."""
@@ -61,15 +91,22 @@ def sequence_samples(scaled: DataFrame, L: int = 60, value: str = "s",
                      chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """x = the L previous values, y = the current one; max(0, n - L) per ticker.
 
-    Output ``(ticker, bar_date, k, x array<double>, y)``, k = 1..n-L.
+    Output ``(ticker, bar_date, k, x array<double>, y)``, k = 1..n-L, and ``n``
+    (the ticker's samples) where the input knows its series length.  A missing
+    value keeps its place; a sample that contains one, or lacks ``y``, is left out.
     """
     d = scaled if "pos" in scaled.columns else with_position(scaled)
-    h = with_halo(d.select("ticker", "bar_date", "pos", value), halo=L, chunk=max(chunk, L))
+    known = ["n"] if "n" in d.columns else []
+    v = nan_to_null(value)
+    h = with_halo(d.select("ticker", "bar_date", "pos", v.alias("_v"), *known), halo=L, chunk=max(chunk, L))
     w = chunk_window().rowsBetween(-L, -1)
-    return (owned(h.withColumn("x", F.collect_list(value).over(w)))
-            .where(F.col("pos") > L)
-            .select("ticker", "bar_date", (F.col("pos") - L).alias("k"), "x",
-                    F.col(value).alias("y")))
+    # structs are collected with their NULLs, which bare values would drop and so shift the lags
+    h = owned(h.withColumn("_x", F.collect_list(F.struct("_v")).over(w)))
+    whole = F.col("_v").isNotNull() & ~F.exists("_x", lambda e: e["_v"].isNull())
+    return (h.where((F.col("pos") > L) & whole)
+            .select("ticker", "bar_date", (F.col("pos") - L).alias("k"),
+                    F.transform("_x", lambda e: e["_v"]).alias("x"), F.col("_v").alias("y"),
+                    *((F.greatest(F.col(c) - L, F.lit(0))).alias(c) for c in known)))
 
 
 def sequence_samples_plain(scaled: DataFrame, L: int = 60, value: str = "s") -> DataFrame:
@@ -82,11 +119,18 @@ def sequence_samples_plain(scaled: DataFrame, L: int = 60, value: str = "s") ->
                     F.col(value).alias("y")))
 
 
+def _with_counts(samples: DataFrame, counts: DataFrame | None) -> DataFrame:
+    """``n``, the ticker's samples: carried by the samples, given, or counted."""
+    if counts is None and "n" in samples.columns:
+        return samples
+    counts = counts if counts is not None else series_counts(samples.select("ticker"), name="n")
+    return samples.drop("n").join(counts.select("ticker", "n"), "ticker")
+
+
 def chrono_split(samples: DataFrame, frac: float = 0.8, k: str = "k",
                  counts: DataFrame | None = None) -> DataFrame:
     """first ``int(n * frac)`` samples of each ticker are train, the rest test."""
-    counts = counts if counts is not None else series_counts(samples.select("ticker"), name="n")
-    return (samples.join(counts.select("ticker", "n"), "ticker")
+    return (_with_counts(samples, counts)
             .withColumn("split", F.when(F.col(k) <= train_cut("n", frac), "train").otherwise("test"))
             .drop("n"))
 
@@ -94,9 +138,8 @@ def chrono_split(samples: DataFrame, frac: float = 0.8, k: str = "k",
 def three_way_split(samples: DataFrame, train: float = 0.7, valid: float = 0.15, k: str = "k",
                     counts: DataFrame | None = None) -> DataFrame:
     """train / validation / test cut by two chronological fractions."""
-    counts = counts if counts is not None else series_counts(samples.select("ticker"), name="n")
     upper = float(train + valid)
-    return (samples.join(counts.select("ticker", "n"), "ticker")
+    return (_with_counts(samples, counts)
             .withColumn("split", F.when(F.col(k) <= train_cut("n", train), "train")
                         .when(F.col(k) <= train_cut("n", upper), "valid").otherwise("test"))
             .drop("n"))
@@ -117,13 +160,13 @@ def seed_window(scaled: DataFrame, L: int = 60, mode: str = "latest", value: str
     Only L rows per ticker are gathered, so the group is bounded by L.
     """
     d = scaled if "pos" in scaled.columns else with_position(scaled)
-    cnt = series_counts(scaled, name="_n")
+    if "n" not in d.columns:
+        d = d.join(series_counts(scaled, name="n"), "ticker")
     shift = 0 if mode == "latest" else 1 if mode == "reference" else None
     if shift is None:
         raise ValueError("mode must be 'latest' or 'reference'")
-    hi = F.col("_n") - shift
-    sel = (d.join(cnt.where(F.col("_n") > L), "ticker")
-           .where((F.col("pos") > hi - L) & (F.col("pos") <= hi)))
+    hi = F.col("n") - shift
+    sel = d.where((F.col("n") > L) & (F.col("pos") > hi - L) & (F.col("pos") <= hi))
     return (sel.groupBy("ticker")
             .agg(F.sort_array(F.collect_list(F.struct("pos", value))).alias("_w"),
                  F.max("bar_date").alias("seed_end"))

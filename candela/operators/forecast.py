@@ -26,6 +26,12 @@ from candela.operators.features import chrono_split, inverse_scale_expr, lagged
 from candela.operators.position import series_counts, with_position
 
 
+def with_length(scaled: DataFrame) -> DataFrame:
+    """Positions and the series length, computed only where the input lacks them."""
+    d = scaled if "pos" in scaled.columns else with_position(scaled)
+    return d if "n" in d.columns else d.join(series_counts(scaled), "ticker")
+
+
 # ---------------------------------------------------------------- AR(1)
 def ar1_pairs(scaled: DataFrame, L: int = 60, frac: float = 0.8, value: str = "s") -> DataFrame:
     """(x_last, y) of every sample k = pos - L, with its train/test split.
@@ -33,14 +39,12 @@ def ar1_pairs(scaled: DataFrame, L: int = 60, frac: float = 0.8, value: str = "s
     Equal to ``(element_at(x, -1), y)`` of :func:`sequence_samples` without
     materialising the L-long arrays.
     """
-    d = scaled if "pos" in scaled.columns else with_position(scaled)
+    d = with_length(scaled)
     lg = lagged(d, value, 1).where(F.col("pos") > L)
     pairs = lg.select("ticker", "bar_date", (F.col("pos") - L).alias("k"),
                       F.col(f"{value}_lag1").alias("x_last"), F.col(value).alias("y"),
-                      "lo", "hi")
-    n = series_counts(scaled, name="_n").select(
-        "ticker", F.greatest(F.col("_n") - L, F.lit(0)).alias("n"))
-    return chrono_split(pairs, frac, counts=n)
+                      "lo", "hi", F.greatest(F.col("n") - L, F.lit(0)).alias("n"))
+    return chrono_split(pairs, frac)
 
 
 def ar1_fit(pairs: DataFrame) -> DataFrame:
@@ -110,18 +114,20 @@ def ar1_forecast(scaled: DataFrame, coefs: DataFrame, days: int = 30, mode: str
 
     ``mode='latest'`` seeds with the last scaled close; ``'reference'`` with
     the last value of the last sample's window (one bar earlier), as
-    ``X[-1]`` does in the reference.  Tickers with ``n <= L`` get no forecast.
+    ``X[-1]`` does in the reference.  Tickers with ``n <= L`` get no
+    forecast; one without train samples (``n = L + 1``) gets persistence.
     """
-    d = scaled if "pos" in scaled.columns else with_position(scaled)
-    n = series_counts(scaled, name="_n").where(F.col("_n") > L)
+    d = with_length(scaled)
+    if "last_date" not in d.columns:
+        d = d.join(scaled.groupBy("ticker").agg(F.max("bar_date").alias("last_date")), "ticker")
     shift = {"latest": 0, "reference": 1}[mode]
-    seed_rows = (d.join(n, "ticker").where(F.col("pos") == F.col("_n") - shift)
-                 .select("ticker", F.array(F.col("s")).alias("seed"), "lo", "hi"))
-    last = d.groupBy("ticker").agg(F.max("bar_date").alias("last_date"))
-    m = seed_rows.join(coefs.select("ticker", "a", "b"), "ticker")
+    seeds = (d.where((F.col("n") > L) & (F.col("pos") == F.col("n") - shift))
+             .select("ticker", F.array(F.col("s")).alias("seed"), "lo", "hi", "last_date"))
+    m = seeds.join(coefs.select("ticker", "a", "b"), "ticker", "left").select(
+        "ticker", "seed", "lo", "hi", "last_date",
+        F.coalesce("a", F.lit(0.0)).alias("a"), F.coalesce("b", F.lit(1.0)).alias("b"))
     rolled = rollout_linear(m, F.array(F.col("b")), F.col("a"), days)
-    out = explode_path(rolled).join(last, "ticker")
-    out = future_dates(out)
+    out = future_dates(explode_path(rolled))
     return out.select("ticker", "step", "target_date", inverse_scale_expr("yhat_s").alias("yhat"))
 
 
@@ -163,9 +169,13 @@ def with_features(samples: DataFrame, x: str = "x", out: str = "features") -> Da
     return samples.withColumn(out, array_to_vector(F.col(x)))
 
 
-def fit_linear(train: DataFrame, epochs: int = 1, solver: str = "normal", reg: float = 0.0,
+def fit_linear(train: DataFrame, epochs: int = 1, solver: str = "l-bfgs", reg: float = 0.0,
                tol: float = 1e-6):
-    """M1/M3/M4: pooled linear autoregression; ``epochs`` maps to ``maxIter``."""
+    """M1/M3: pooled linear autoregression.
+
+    ``epochs`` are the passes of the iterative solver; ``solver="normal"`` solves the
+    normal equations in one pass, whatever the epochs.
+    """
     from pyspark.ml.regression import LinearRegression
     lr = LinearRegression(featuresCol="features", labelCol="y", predictionCol="yhat_s",
                           maxIter=max(int(epochs), 1), solver=solver, regParam=reg, tol=tol,
@@ -185,6 +195,33 @@ def fit_gbt(train: DataFrame, epochs: int = 20, depth: int = 3, validation: str
     return GBTRegressor(**kw).fit(with_features(train))
 
 
+def stop_after(losses, patience: int) -> tuple[int, int]:
+    """Rounds trained until ``patience`` rounds bring no better loss, and the best round (both from 1)."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return i + 1, best + 1
+    return len(losses), best + 1
+
+
+def fit_gbt_patience(train: DataFrame, valid: DataFrame, epochs: int = 20, patience: int = 3, depth: int = 3,
+                     seed: int = 7):
+    """M4: boosting that stops when ``patience`` rounds in a row have not improved the
+    validation loss, and keeps the best round's model.
+
+    Returns the model, the rounds until the stop and the best round.  Trees
+    are grown one after the other from a fixed seed, so the model of the best
+    round is the beginning of the longer one.
+    """
+    full = fit_gbt(train, epochs, depth, seed=seed)
+    losses = full.evaluateEachIteration(with_features(valid), "squared")
+    stopped, best = stop_after(losses, max(1, patience))
+    model = full if best == len(losses) else fit_gbt(train, best, depth, seed=seed)
+    return model, stopped, best
+
+
 def predict(model, samples: DataFrame) -> DataFrame:
     """M2: ``model.transform`` of the samples, prediction in ``yhat_s``."""
     return model.transform(with_features(samples)).drop("features")

@@ -289,6 +289,20 @@ SELECT ticker, step, DATE '2024-01-01' + step AS target_date, round(open, 4) AS
        round(close, 4) AS close
 FROM c"""
 
+ORACLE["training_status"] = with_(LINE_TICKS, BRAND_BARS) + f"""
+, c AS (SELECT ticker, count(*) AS n FROM brand_bars GROUP BY ticker)
+, t AS (SELECT *, greatest(n - {L}, 0) AS n_samples FROM c)
+SELECT ticker, n, n_samples, {cut('n_samples', 0.8)} AS n_train,
+       CASE WHEN {cut('n_samples', 0.8)} >= 100 THEN 'ok' ELSE 'insufficient_history' END AS status FROM t"""
+
+# least squares: no lag is left in the residuals; a saved model predicts the same; trees beat the last close
+ORACLE["lr_normal_equations"] = f"SELECT lag::INTEGER AS lag, 0.0::DOUBLE AS product FROM range({L + 1}) r(lag)"
+ORACLE["model_roundtrip"] = with_(*BASE, SAMPLES) + f"""
+SELECT count(*) AS n, 0::BIGINT AS differ
+FROM (SELECT k, {_NS} AS ns FROM samples WHERE k > 0) WHERE k > {cut('ns', 0.8)}"""
+ORACLE["gbt_beats_persistence"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
+SELECT ticker, true AS better FROM order_bars GROUP BY ticker HAVING count(*) > {L}"""
+
 # ---------------------------------------------------------------- quotes, log, snapshot
 def iso(ts: str) -> str:
     return (f"CASE WHEN strftime({ts}, '%f') = '000000' THEN strftime({ts}, '%Y-%m-%dT%H:%M:%S') "

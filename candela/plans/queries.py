@@ -148,15 +148,18 @@ FRAC = 0.8
 
 
 def scaled_orders(spark, sf_dir, fit="all", bars=None):
-    """Positioned and scaled daily bars over the bar table written once per query.
+    """Positioned and scaled daily bars with their series statistics, written once per query.
 
-    The tick aggregation is the expensive part and is done once; positions
-    and scaler state are cheap passes over the (much smaller) bar table.
+    The tick aggregation is done once for the bars, and the series that the
+    forecast chain reads several times is a table, too.
     """
-    from candela.operators.features import minmax_scale
+    from candela.operators.features import minmax_scale, scaled_series
     from candela.operators.position import with_position
+    from candela.plans.materialize import materialize
     bars = bars if bars is not None else cat.order_bars(spark, sf_dir, materialized=True)
-    return minmax_scale(with_position(bars), fit=fit, L=L, frac=FRAC)
+    if fit != "all":
+        return minmax_scale(with_position(bars), fit=fit, L=L, frac=FRAC)
+    return materialize(scaled_series(bars), "scaled")
 
 
 @query("scaler_state")
@@ -189,6 +192,12 @@ def q_trainable(spark, sf_dir):
     return n.where(F.col("n") > L).select("ticker", "n")
 
 
+@query("training_status")
+def q_training_status(spark, sf_dir):
+    from candela.operators.features import training_status
+    return training_status(cat.brand_bars(spark, sf_dir), L, FRAC, min_train=100)
+
+
 def _sample_summary(samples):
     return samples.select("ticker", "bar_date", "k", F.size("x").alias("x_len"),
                           F.element_at("x", 1).alias("x_first"), F.element_at("x", -1).alias("x_last"),
@@ -204,14 +213,14 @@ def q_sequence_samples(spark, sf_dir):
 @query("train_test_split")
 def q_train_test_split(spark, sf_dir):
     from candela.operators.features import sequence_samples, chrono_split
-    s = sequence_samples(scaled_orders(spark, sf_dir), L).select("ticker", "bar_date", "k")
+    s = sequence_samples(scaled_orders(spark, sf_dir), L).select("ticker", "bar_date", "k", "n")
     return chrono_split(s, FRAC)
 
 
 @query("three_way_split")
 def q_three_way_split(spark, sf_dir):
     from candela.operators.features import sequence_samples, three_way_split
-    s = sequence_samples(scaled_orders(spark, sf_dir), L).select("ticker", "bar_date", "k")
+    s = sequence_samples(scaled_orders(spark, sf_dir), L).select("ticker", "bar_date", "k", "n")
     return three_way_split(s, 0.7, 0.15)
 
 
@@ -318,13 +327,17 @@ def q_future_dates(spark, sf_dir):
     return ar1_forecast(d, coefs, DAYS, "latest", L).select("ticker", "step", "target_date")
 
 
+def _last_rows(d):
+    """Each ticker's last close, read off its last bar."""
+    return d.where(F.col("pos") == F.col("n")).select("ticker", "last_close", "last_date")
+
+
 @query("forecast_candles")
 def q_forecast_candles(spark, sf_dir):
-    from candela.operators.forecast import ar1_forecast, forecast_candles, last_close
-    bars = cat.order_bars(spark, sf_dir, materialized=True)
-    d, _, coefs = ar1_parts(spark, sf_dir, bars)
+    from candela.operators.forecast import ar1_forecast, forecast_candles
+    d, _, coefs = ar1_parts(spark, sf_dir)
     fc = ar1_forecast(d, coefs, DAYS, "latest", L)
-    return rounded(forecast_candles(fc, last_close(bars), N_CANDLES, AS_OF), 4)
+    return rounded(forecast_candles(fc, _last_rows(d), N_CANDLES, AS_OF), 4)
 
 
 # ---------------------------------------------------------------- quotes, log, snapshot
@@ -412,12 +425,12 @@ def q_line_feed(spark, sf_dir):
 @query("candle_feed")
 def q_candle_feed(spark, sf_dir):
     from candela.operators.feeds import candle_feed
-    from candela.operators.forecast import ar1_forecast, forecast_candles, last_close
+    from candela.operators.forecast import ar1_forecast, forecast_candles
     from candela.plans.materialize import materialize
     bars = cat.order_bars(spark, sf_dir, materialized=True)
     d, _, coefs = ar1_parts(spark, sf_dir, bars)
     fc = materialize(ar1_forecast(d, coefs, DAYS, "latest", L), "forecast")   # read by two traces
-    candles = forecast_candles(fc, last_close(bars), N_CANDLES, AS_OF)
+    candles = forecast_candles(fc, _last_rows(d), N_CANDLES, AS_OF)
     return rounded(candle_feed(bars, fc, _order_latest(bars), candles,
                                include_volume=True), 4)
 
@@ -524,10 +537,7 @@ def q_stream_bars(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
-# ---------------------------------------------------------------- Spark ML models (rows-only checks)
-EPOCHS = 1   # the reference default
-
-
+# ---------------------------------------------------------------- Spark ML models
 def _ml_parts(spark, sf_dir):
     from candela.operators.features import chrono_split, sequence_samples
     d = scaled_orders(spark, sf_dir)
@@ -538,15 +548,14 @@ def _ml_parts(spark, sf_dir):
 def _lr(spark, sf_dir):
     from candela.operators.forecast import fit_linear
     d, samples = _ml_parts(spark, sf_dir)
-    model = fit_linear(samples.where(F.col("split") == "train"), epochs=EPOCHS)
+    model = fit_linear(samples.where(F.col("split") == "train"), solver="normal")
     return d, samples, model
 
 
 def _model_forecast(d, seeds_path_df, days=DAYS):
     from candela.operators.features import inverse_scale_expr
     from candela.operators.forecast import explode_path, future_dates
-    st = d.groupBy("ticker").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"),
-                                 F.max("bar_date").alias("last_date"))
+    st = d.where(F.col("pos") == F.col("n")).select("ticker", "lo", "hi", "last_date")
     out = future_dates(explode_path(seeds_path_df).join(st, "ticker"))
     return out.select("ticker", "step", "target_date", inverse_scale_expr("yhat_s").alias("yhat"))
 
@@ -566,7 +575,7 @@ def q_rmse_lr(spark, sf_dir):
     from candela.operators.features import inverse_scale_expr
     from candela.operators.forecast import predict
     d, samples, model = _lr(spark, sf_dir)
-    st = d.groupBy("ticker").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+    st = d.where(F.col("pos") == F.col("n")).select("ticker", "lo", "hi")
     pred = predict(model, samples.where(F.col("split") == "test")).join(st, "ticker")
     return agg.rmse(pred.select("ticker", inverse_scale_expr("y").alias("actual"),
                                 inverse_scale_expr("yhat_s").alias("predicted")))
@@ -581,30 +590,52 @@ def q_loss_curve(spark, sf_dir):
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iter int, loss double")
 
 
+@query("lr_normal_equations")
+def q_lr_normal_equations(spark, sf_dir):
+    """The fit in one row for each lag (0: the constant): least squares leaves residuals
+    that are orthogonal to every lag, so each mean product is 0."""
+    from candela.operators.forecast import predict
+    _, samples, model = _lr(spark, sf_dir)
+    r = predict(model, samples.where(F.col("split") == "train")).withColumn("e", F.col("y") - F.col("yhat_s"))
+    sums = r.agg(F.avg("e").alias("m0"), *(F.avg(F.col("e") * F.element_at("x", i + 1)).alias(f"m{i + 1}") for i in range(L)))
+    lags = F.array(*(F.struct(F.lit(i).alias("lag"), F.abs(F.round(F.col(f"m{i}"), 6)).alias("product")) for i in range(L + 1)))
+    return sums.select(F.explode(lags).alias("l")).select("l.lag", "l.product")
+
+
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
-    from pyspark.ml.regression import LinearRegressionModel
+    """K4: test predictions of the saved and the loaded model, and how many differ."""
     from candela.operators.forecast import predict
     from candela.session import scratch_path
+    from candela.sinks.models import load_model, save_model
     _, samples, model = _lr(spark, sf_dir)
     path = scratch_path(spark, "model")
-    model.write().overwrite().save(path)
-    loaded = LinearRegressionModel.load(path)
+    save_model(model, path)
     test = samples.where(F.col("split") == "test")
     a = predict(model, test).select("ticker", "k", F.col("yhat_s").alias("saved"))
-    b = predict(loaded, test).select("ticker", "k", F.col("yhat_s").alias("loaded"))
-    return a.join(b, ["ticker", "k"])
+    b = predict(load_model(spark, path), test).select("ticker", "k", F.col("yhat_s").alias("loaded"))
+    return a.join(b, ["ticker", "k"]).agg(F.count("*").alias("n"), F.count_if(F.col("saved") != F.col("loaded")).alias("differ"))
 
 
-def _gbt(spark, sf_dir, early_stop=False):
+def _gbt(spark, sf_dir, patience=0):
     from candela.operators.features import sequence_samples, three_way_split
-    from candela.operators.forecast import fit_gbt
+    from candela.operators.forecast import fit_gbt, fit_gbt_patience
     d = scaled_orders(spark, sf_dir)
     s = three_way_split(sequence_samples(d, L), 0.7, 0.15)
-    if early_stop:
-        fit_on = s.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "valid")
-        return d, s, fit_gbt(fit_on, epochs=50, validation="is_val", tol=0.01)
-    return d, s, fit_gbt(s.where(F.col("split") == "train"), epochs=10)
+    train, valid = (s.where(F.col("split") == x) for x in ("train", "valid"))
+    if patience:
+        return d, s, fit_gbt_patience(train, valid, epochs=12, patience=patience)[0]
+    return d, s, fit_gbt(train, epochs=10)
+
+
+@query("gbt_beats_persistence")
+def q_gbt_beats_persistence(spark, sf_dir):
+    """Per ticker: the trees' test error is below that of repeating the last close."""
+    from candela.operators.forecast import predict
+    _, s, model = _gbt(spark, sf_dir)
+    pred = predict(model, s.where(F.col("split") == "test"))
+    square = lambda c: F.avg((F.col("y") - c) * (F.col("y") - c))
+    return pred.groupBy("ticker").agg((square(F.col("yhat_s")) < square(F.element_at("x", -1))).alias("better"))
 
 
 @query("forecast_gbt")
@@ -621,8 +652,8 @@ def q_forecast_gbt(spark, sf_dir):
 def q_gbt_early_stop(spark, sf_dir):
     from candela.operators.features import inverse_scale_expr
     from candela.operators.forecast import predict
-    d, s, model = _gbt(spark, sf_dir, early_stop=True)
-    st = d.groupBy("ticker").agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+    d, s, model = _gbt(spark, sf_dir, patience=3)
+    st = d.where(F.col("pos") == F.col("n")).select("ticker", "lo", "hi")
     pred = predict(model, s.where(F.col("split") == "test")).join(st, "ticker")
     out = agg.rmse(pred.select("ticker", inverse_scale_expr("y").alias("actual"),
                                inverse_scale_expr("yhat_s").alias("predicted")))
