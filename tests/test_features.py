@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from candela.operators import features as fe
@@ -71,10 +72,11 @@ def test_rsi_halo_matches_plain(spark):
     assert max(abs(got[k] - exp[k]) for k in exp) < 1e-9
 
 
-def test_macd_matches_recursion(spark):
+@pytest.mark.parametrize("spans, chunk", [((12, 26, 9), 64), ((50, 200, 9), 64), ((400, 2000, 1), 100)])
+def test_macd_matches_recursion(spark, spans, chunk):
     closes = [100 + ((i * 37) % 23) - 0.5 * (i % 7) for i in range(2000)]
-    out = sorted(macd(series(spark, closes), halo=700, chunk=700).collect(), key=lambda r: r.bar_date)
-    a12, a26, a9 = 2 / 13, 2 / 27, 2 / 10
+    out = sorted(macd(series(spark, closes), *spans, chunk=chunk).collect(), key=lambda r: r.bar_date)
+    a12, a26, a9 = (2 / (n + 1) for n in spans)
     e12 = e26 = closes[0]
     sig = 0.0
     for i, x in enumerate(closes):
@@ -102,3 +104,29 @@ def test_seed_window_modes(spark):
     ref = fe.seed_window(d, 3, "reference").collect()[0]
     assert [round(v * 10) for v in latest.seed] == [8, 9, 10]
     assert [round(v * 10) for v in ref.seed] == [7, 8, 9]
+
+
+def test_missing_close_keeps_its_place(spark):
+    """A window with a NULL or NaN is left out; the lags of the others stay aligned."""
+    closes = [float(i) for i in range(12)]
+    closes[3] = float("nan")
+    d = series(spark, closes).withColumn("s", F.col("close")).union(
+        series(spark, range(12), "B").withColumn("s", F.when(F.col("close") != 7, F.col("close"))))
+    got = {(r.ticker, r.k): (r.x, r.y) for r in fe.sequence_samples(d, L=3).collect()}
+    assert all(y == k + 2.0 and x == [k - 1.0, float(k), k + 1.0] for (_, k), (x, y) in got.items())
+    assert sorted(k for t, k in got if t == "A") == [5, 6, 7, 8, 9]
+    assert sorted(k for t, k in got if t == "B") == [1, 2, 3, 4, 9]
+
+
+def test_scaled_series_carries_what_the_splits_need(spark):
+    d = fe.scaled_series(series(spark, range(20)))
+    first = d.orderBy("pos").first()
+    assert (first.n, first.lo, first.hi, first.last_close, first.s) == (20, 0.0, 19.0, 19.0, 0.0)
+    s = fe.chrono_split(fe.sequence_samples(d, L=5), 0.8)
+    assert s.where("split = 'train'").count() == 12 and "n" not in s.columns
+
+
+def test_training_status_reports_short_series(spark):
+    bars = series(spark, range(5)).union(series(spark, range(6), "B")).union(series(spark, range(30), "C"))
+    got = {r.ticker: (r.n_samples, r.n_train, r.status) for r in fe.training_status(bars, L=5, min_train=2).collect()}
+    assert got == {"A": (0, 0, "insufficient_history"), "B": (1, 0, "insufficient_history"), "C": (25, 20, "ok")}

@@ -87,6 +87,32 @@ def test_pooled_linear_model_learns_linear_rule(spark):
         x0, x1 = float(i % 7), float((i * 3) % 5)
         rows.append(("A", D0 + dt.timedelta(days=i), i + 1, [x0, x1], 0.2 + 0.3 * x0 + 0.7 * x1))
     s = spark.createDataFrame(rows, "ticker string, bar_date date, k int, x array<double>, y double")
-    m = fc.fit_linear(s)
+    m = fc.fit_linear(s, solver="normal")
     assert abs(m.intercept - 0.2) < 1e-6
     assert abs(m.coefficients[0] - 0.3) < 1e-6 and abs(m.coefficients[1] - 0.7) < 1e-6
+    # the iterative solver is as good as its epochs
+    error = [abs(fc.fit_linear(s, epochs=n).coefficients[1] - 0.7) for n in (1, 50)]
+    assert error[0] > 1e-3 > error[1]
+
+
+def test_one_sample_and_nothing_to_train_on_forecasts_persistence(spark):
+    _, _, coefs, f = _forecast(spark, [1.0, 2.0, 3.0, 4.0, 5.0, 7.0], L=5)
+    assert coefs.count() == 0
+    assert {round(r.yhat, 9) for r in f.collect()} == {7.0}
+
+
+def test_stop_after_patience():
+    assert fc.stop_after([5, 4, 3, 3.5, 3.6, 1], 2) == (5, 3)
+    assert fc.stop_after([5, 4, 3, 3.5, 2, 1], 2) == (6, 6)
+    assert fc.stop_after([1.0], 1) == (1, 1)
+
+
+def test_patience_keeps_the_best_round_and_models_are_saved(spark, tmp_path):
+    from candela.sinks.models import load_model, save_model, saved_metric
+    rows = [("A", D0, i, [float(i % 7), float((i * 3) % 5)], float(i % 7 > 3)) for i in range(80)]
+    s = spark.createDataFrame(rows, "ticker string, bar_date date, k int, x array<double>, y double")
+    model, stopped, best = fc.fit_gbt_patience(s.where("k < 60"), s.where("k >= 60"), epochs=6, patience=1)
+    assert len(model.trees) == best <= stopped <= 6
+    path = str(tmp_path / "m")
+    assert save_model(model, path, 0.5) and not save_model(model, path, 0.7) and saved_metric(spark, path) == 0.5
+    assert [r.yhat_s for r in fc.predict(load_model(spark, path), s).collect()] == [r.yhat_s for r in fc.predict(model, s).collect()]
