@@ -100,7 +100,7 @@ def signature(found: np.ndarray) -> int:
 
 
 def prefix(found: np.ndarray, heavy: tuple[np.ndarray, np.ndarray], shift: int, percent: int):
-    """Shingles of the chosen prefix in order, their counts (0: not frequent)."""
+    """Shingles of the chosen prefix in order, their counts (0: not frequent), and the frequent ones of the whole set."""
     n = len(found)
     buckets, counts = heavy
     count = np.zeros(n, np.int64)
@@ -116,7 +116,7 @@ def prefix(found: np.ndarray, heavy: tuple[np.ndarray, np.ndarray], shift: int,
     cost = [(lists[p - 1] + VERIFY * (lists[p - 1] - p) / extra, p)
             for extra in EXTRA if (p := min(shortest + extra - 1, longest))]
     p = min(cost)[1]
-    return found[:p], count[:p]
+    return found[:p], count[:p], int(np.count_nonzero(count))
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str, words: int, shift: int) -> tuple[DataFrame, DataFrame]:
@@ -218,26 +218,27 @@ def _prefixes(docs: DataFrame, text: str, words: int, percent: int, shift: int,
                     if len(seen) >= 1_000_000:
                         seen.clear()
                     seen.add(node)
-                    first, count = prefix(found, known, shift, percent)
+                    first, count, often = prefix(found, known, shift, percent)
                     first = (first ^ _SIGN).view(np.int64)
-                    parts.append((first, count, node, len(found)))
+                    parts.append((first, count, node, len(found), 1000 * often // len(found)))
                 if not parts:
                     continue
                 sizes = [len(x[0]) for x in parts]
                 of = lambda i: np.array([x[i] for x in parts], np.int64)
-                nodes, n = of(2), of(3)
+                nodes, n, centre = of(2), of(3), of(4)
                 ends = [pa.array([int(x[0][-1]) for x in parts], pa.int64()), pa.array([int(x[1][-1]) for x in parts], pa.int64())]
-                names = ["shingle", "count", "node", "n", "p", "last"]
+                names = ["shingle", "count", "node", "n", "centre", "p", "last"]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([x[0] for x in parts])), pa.array(np.concatenate([x[1] for x in parts])),
-                     pa.array(np.repeat(nodes, sizes)), pa.array(np.repeat(n, sizes)),
+                     pa.array(np.repeat(nodes, sizes)), pa.array(np.repeat(n, sizes)), pa.array(np.repeat(centre, sizes)),
                      pa.nulls(sum(sizes), pa.int64()), pa.nulls(sum(sizes), pa.int64())], names=names)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(parts), pa.int64()), ends[1], pa.array(nodes), pa.array(n), pa.array(sizes, pa.int64()), ends[0]],
+                    [pa.nulls(len(parts), pa.int64()), ends[1], pa.array(nodes), pa.array(n), pa.array(centre),
+                     pa.array(sizes, pa.int64()), ends[0]],
                     names=names)
 
     return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(
-        run, "shingle long, count long, node long, n long, p long, last long")
+        run, "shingle long, count long, node long, n long, centre long, p long, last long")
 
 
 def _similar_sizes(x: Column, y: Column, percent: int) -> Column:
@@ -319,35 +320,50 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     rare = parts.where("count = 0").select("shingle", "node", "n", F.min("node").over(whole).alias("lo"), F.max("node").over(whole).alias("hi"))
     lists = materialize(rare.where("lo <> hi").select("shingle", "node", "n").union(
         parts.where("count > 0").select("shingle", "node", "n")).distinct(), "lists")
-    frequent = materialize(parts.where("count > 0").select("shingle", "node", "n").distinct(), "frequent")
-
-    # Round 1: frequent shingles, each node against a few hubs of its lists.
-    hubs = frequent.groupBy("shingle", F.pmod("node", F.lit(HUBS)).alias("slot")).agg(F.min("node").alias("hub")).select("shingle", "hub")
-    star = frequent.join(hubs, "shingle").where("node <> hub").groupBy("hub", "node").agg(F.count("*").alias("c"))
-    best = Window.partitionBy("node").orderBy(F.col("c").desc(), "hub")
+    frequent = materialize(parts.where("count > 0").select("shingle", "node", "n", "centre").distinct(), "frequent")
+
+    # Round 1: frequent shingles, each node against the hubs of its lists.  The set that consists most of frequent
+    # shingles is the hub: among near copies that is the text they were made from, or the one least changed.
+    hubs = frequent.groupBy("shingle", F.pmod("node", F.lit(HUBS)).alias("slot")).agg(
+        F.max_by("node", "centre").alias("hub"), F.max("centre").alias("centre")).drop("slot")
+    star = frequent.drop("centre").join(hubs, "shingle").where("node <> hub").groupBy("hub", "node").agg(
+        F.count("*").alias("c"), F.max("centre").alias("centre"))
+    best = Window.partitionBy("node").orderBy(F.col("centre").desc(), F.col("c").desc(), "hub")
     star = star.withColumn("nr", F.row_number().over(best)).where(F.col("nr") <= BEST_HUBS).select(
         F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-    of = {x: nodes.select(*(F.col(c).alias(f"{c}_{x}") for c in nodes.columns)).withColumnRenamed(f"node_{x}", x) for x in "ab"}
-    star = star.join(of["a"], "a").join(of["b"], "b").where(_similar_sizes(F.col("n_a"), F.col("n_b"), percent))
+    sizes = {x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab"}
+    star = star.join(sizes["a"], "a").join(sizes["b"], "b").where(_similar_sizes(F.col("n_a"), F.col("n_b"), percent))
     star = materialize(star.select("a", "b"), "star")
     groups = components(_verified(star, _texts(star, docs, sets, doc_id, text, words), words, percent))
 
     # Round 2: all pairs of a list that are not in one component yet.
     labelled = lists.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = materialize(labelled, "labelled")
-    mixed = labelled.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
-    open_lists = materialize(labelled.join(mixed, "shingle", "left_semi"), "open_lists")
-    side = {x: open_lists.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "component"))) for x in "ab"}
-    pairs = side["a"].join(side["b"], "shingle").where(
-        (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-        & _similar_sizes(F.col("n_a"), F.col("n_b"), percent))
-    pairs = pairs.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count("*").alias("c"))
-    pairs = pairs.join(of["a"], "a").join(of["b"], "b")
+    mixed = labelled.groupBy("shingle").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k")).where("lo <> hi").select("shingle", "k")
+    # ``own`` shingles of a set are in these lists: all that it can share with one of another component.  Of two sets
+    # that share ``needed`` of them, the first that they share, short lists first, is followed by the others in both.
+    place = Window.partitionBy("node").orderBy("k", "shingle")
+    left = labelled.join(mixed, "shingle").withColumn("place", F.row_number().over(place))
+    left = materialize(left, "open_lists")
+    facts = nodes.join(left.groupBy("node").agg(F.collect_list("shingle").alias("held")), "node").select(
+        "node", "n", "last_count", "last", (F.col("n") - F.col("p")).alias("rest"), F.size("held").cast("long").alias("own"), "held")
+    facts = materialize(facts, "open_sets")
+    left = left.drop("k").join(facts.drop("n", "held"), "node")
+    side = {x: left.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in left.columns if c != "shingle")) for x in "ab"}
     overlap = F.expr(f"((n_a + n_b) * {percent} + {99 + percent}) div {100 + percent}")
     a_ends = (F.col("last_count_a") < F.col("last_count_b")) | (
         (F.col("last_count_a") == F.col("last_count_b")) & (F.col("last_a") <= F.col("last_b")))
-    rest = F.when(a_ends, F.col("n_a") - F.col("p_a")).otherwise(F.col("n_b") - F.col("p_b"))
-    pairs = pairs.withColumn("over", F.col("c") - (overlap - rest)).where("over >= 0").select("a", "b", "over")
+    needed = overlap - F.when(a_ends, F.col("rest_a")).otherwise(F.col("rest_b"))
+    early = [(F.col(f"place_{x}") <= F.col(f"own_{x}") - needed + 1) & (F.col(f"own_{x}") + F.col(f"rest_{x}") >= overlap) for x in "ab"]
+    pairs = side["a"].join(side["b"], "shingle").where(
+        (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+        & _similar_sizes(F.col("n_a"), F.col("n_b"), percent) & early[0] & early[1])
+    pairs = pairs.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.first(needed).alias("needed"))
+    held = {x: facts.select(F.col("node").alias(x), F.col("held").alias(f"held_{x}")) for x in "ab"}
+    pairs = pairs.join(held["a"], "a").join(held["b"], "b")
+    shared = F.size(F.array_intersect("held_a", "held_b"))
+    pairs = pairs.withColumn("over", shared - F.col("needed")).where("over >= 0").select("a", "b", "over")
     pairs = materialize(pairs, "candidates")
     texts = _texts(pairs, docs, sets, doc_id, text, words)
     # First the pairs that share most: a node that joins a group by one of them needs no other of the group.

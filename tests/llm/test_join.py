@@ -40,7 +40,7 @@ def test_prefixes_share_what_they_must():
             continue
         some = np.unique(np.concatenate([x, y]))[::3]
         heavy = (some, rng.integers(16, 500, len(some)))
-        (a, ca), (b, cb) = (jaccard.prefix(s, heavy, 0, 85) for s in (x, y))
+        (a, ca, _), (b, cb, _) = (jaccard.prefix(s, heavy, 0, 85) for s in (x, y))
         overlap = ((len(x) + len(y)) * 85 + 184) // 185
         first = (len(x), len(a)) if (ca[-1], a[-1]) <= (cb[-1], b[-1]) else (len(y), len(b))
         assert len(np.intersect1d(a, b)) >= overlap - (first[0] - first[1])
