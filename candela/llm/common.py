@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.plans.materialize import materialize
+from candela.session import scratch_path
 
-__all__ = ["WORD", "materialize", "map_rows", "slices", "spare_name", "tokenizer_path"]
+__all__ = ["Scratch", "WORD", "materialize", "map_rows", "slices", "spare_name", "tokenizer_path"]
 
 #: Words of the mixing, quality and join operators: runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,6 +27,27 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class Scratch:
+    """Tables in the shared folder that one operator needs until its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """Writes the table and reads it back."""
+        self.paths.append(scratch_path(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def drop(self) -> None:
+        """Deletes all tables put here; nothing may read them any more."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        self.paths = []
+
+
 def spare_name(taken, wanted: str) -> str:
     """``wanted``, lengthened by underscores until no column in ``taken`` clashes (case ignored)."""
     have = {c.lower() for c in taken}

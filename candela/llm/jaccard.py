@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candela.llm.common import materialize, slices, spare_name
+from candela.llm.common import Scratch, materialize, slices, spare_name
 from candela.llm.components import components
 
 WORDS, PERCENT = 4, 85
@@ -32,16 +32,17 @@ FREQUENT = 16
 #: Entries of the table of frequent shingles (it only sets the order; the join is exact with any).
 MOST_FREQUENT = 1 << 20
 #: Shingles that a task counts before it passes the counts on; buckets of one range of counts.
-COUNTED, RANGE = 4_000_000, 1 << 20
+COUNTED, RANGE = 2_000_000, 1 << 20
 #: Lengthenings of the prefix to choose from, and the cost of verifying a candidate in list entries.
 EXTRA, VERIFY = (1, 2, 4, 8, 16), 8
+#: Bytes of text that a task turns into shingles at once.
+PIECE_BYTES = 1 << 20
 #: Residue classes of the nodes; each gives a list of a frequent shingle one hub.
 HUBS = 6
 #: Hubs that a node is verified against (those that share most).
 BEST_HUBS = 4
 #: Candidates of each node that a round verifies; the last round verifies all that are left.
 ROUNDS = (2, 8, None)
-CACHE_WORDS = 400_000
 #: Shingles of verified sets that a task keeps.
 HELD = 3_000_000
 #: Up to this size the ids of the documents to verify go to every executor; more are joined in a shuffle.
@@ -51,42 +52,68 @@ _SIGN = np.uint64(1 << 63)
 _K = tuple(np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
 
-class _Words(dict):
-    """Word to 64-bit hash; forgets all when full."""
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_rng = np.random.default_rng(64)
+#: A random number for each byte (upper-case letters as lower-case ones, white space nothing) and for each place.
+_BYTE = _rng.integers(1, 1 << 63, 256, np.uint64)
+_BYTE[65:91] = _BYTE[97:123]
+_BYTE[_SPACE] = 0
+_PLACE = _rng.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
 
+def _mix(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(32)
+    h *= _K[0]
+    h ^= h >> np.uint64(29)
+    return h
 
-_WORDS = _Words()
 
+def _joined(hashes: list[np.ndarray], words: int) -> np.ndarray:
+    """Hashes of word sequences: ``hashes`` has the first words of all, then the second ones, and so on."""
+    out = hashes[0] * _K[0] + np.uint64(words)
+    for h in hashes[1:]:
+        out ^= out >> np.uint64(29)
+        out *= _K[1]
+        out ^= h * _K[2] + _K[3]
+    return _mix(out)
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles; a shorter text is one shingle, an empty one none.
 
-    ``bytes.lower`` and ``bytes.split`` are the contract's lower-casing and white space.
+def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its word shingles.
+
+    A text of fewer words is one shingle, an empty one none.  The words of all texts are hashed
+    at once: a word's hash is the sum of its bytes' numbers times its places' numbers.
     """
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    if len(found) < words:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(found), seed=len(found))], np.uint64)
-    hashes = np.fromiter(map(_WORDS.__getitem__, found), np.uint64, len(found))
-    n = len(found) - words + 1
-    out = hashes[:n] * _K[0]
-    for i in range(1, words):
-        out ^= out >> np.uint64(29)
-        out *= _K[1]
-        out ^= hashes[i:i + n] * _K[2] + _K[3]
-    out ^= out >> np.uint64(32)
-    out *= _K[0]
-    out ^= out >> np.uint64(29)
-    return np.unique(out)
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join(raw), np.uint8)
+    none = np.empty(0, np.uint64)
+    space = _SPACE[data]
+    first = np.flatnonzero(~space & np.concatenate([[True], space])[:-1])
+    if not len(first):
+        return [none] * len(texts)
+    last = np.flatnonzero(~space & np.concatenate([space, [True]])[1:]) + 1
+    place = np.arange(first[0], len(data)) - np.repeat(first, np.diff(first, append=len(data)))
+    hashes = np.add.reduceat(_BYTE[data[first[0]:]] * _PLACE[place & 255], first - first[0])
+    hashes = _mix(hashes + (last - first).astype(np.uint64) * _K[1])
+    for i in np.flatnonzero(last - first > 256).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(data[first[i]:last[i]].tobytes().lower())
+    starts = np.cumsum([0, *(len(x) + 1 for x in raw)])
+    cuts = np.searchsorted(first, starts).tolist()
+    n = len(hashes) - words + 1
+    whole = _joined([hashes[i:i + n] for i in range(words)], words) if n > 0 else none
+    out = []
+    for a, b in zip(cuts, cuts[1:]):
+        if b - a >= words:
+            out.append(np.unique(whole[a:b - words + 1]))
+        else:
+            out.append(_joined([hashes[i:i + 1] for i in range(a, b)], b - a) if b > a else none)
+    return out
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The shingle hashes of one text."""
+    return shingle_sets([text], words)[0]
 
 
 def least_shared(n: int, percent: int) -> int:
@@ -146,10 +173,9 @@ def _documents(docs: DataFrame, doc_id: str, text: str, words: int, shift: int)
                 yield batch_of(none, none, none, [x[0] for x in part], [x[1] for x in part])
 
         for batch in batches:
-            for piece in slices(batch, 1):
+            for piece in slices(batch, 1, PIECE_BYTES):
                 n, nodes = [], []
-                for t in piece.column(1).to_pylist():
-                    found = shingles(t, words)
+                for found in shingle_sets(piece.column(1).to_pylist(), words):
                     n.append(len(found))
                     nodes.append(signature(found) if len(found) else None)
                     if len(found) and nodes[-1] not in seen:
@@ -206,10 +232,9 @@ def _prefixes(docs: DataFrame, text: str, words: int, percent: int, shift: int,
         known = table.value
         seen: set[int] = set()
         for batch in batches:
-            for piece in slices(batch, 0):
+            for piece in slices(batch, 0, PIECE_BYTES):
                 parts = []
-                for t in piece.column(0).to_pylist():
-                    found = shingles(t, words)
+                for found in shingle_sets(piece.column(0).to_pylist(), words):
                     if len(found) < least:
                         continue
                     node = signature(found)
@@ -245,10 +270,10 @@ def _similar_sizes(x: Column, y: Column, percent: int) -> Column:
     return (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
 
 
-def _texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+def _texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text: str, words: int, tables: Scratch) -> DataFrame:
     """``node`` and ``text`` of the nodes in ``pairs``, written once for all rounds that verify them."""
     involved = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = materialize(sets.join(involved, "node").groupBy("node").agg(F.min("id").alias("id")), "to_verify")
+    chosen = tables.put(sets.join(involved, "node").groupBy("node").agg(F.min("id").alias("id")), "to_verify")
     small = chosen.count() * 16 <= BROADCAST_BYTES
     # Repeated ids may bring other texts along: the node is computed again from the text that came.
     found = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).join(
@@ -256,15 +281,16 @@ def _texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text
 
     def checked(batches):
         for batch in batches:
-            for piece in slices(batch, 1):
-                same = [signature(shingles(t, words)) == node for t, node in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist())]
+            for piece in slices(batch, 1, PIECE_BYTES):
+                same = [signature(found) == node for found, node in zip(
+                    shingle_sets(piece.column(1).to_pylist(), words), piece.column(2).to_pylist())]
                 yield piece.filter(pa.array(same, pa.bool_())).select([2, 1])
 
     texts = found.select("id", "text", "node").mapInArrow(checked, "node long, text string")
-    return materialize(texts.dropDuplicates(["node"]), "verify_texts")
+    return tables.put(texts.dropDuplicates(["node"]), "verify_texts")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, tables: Scratch) -> DataFrame:
     """The pairs of nodes (``a``, ``b``) whose texts are similar, counted shingle by shingle."""
     joined = pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
@@ -292,7 +318,26 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-    return materialize(joined.mapInArrow(run, "a long, b long"), "links")
+    return tables.put(joined.mapInArrow(run, "a long, b long"), "links")
+
+
+def _labelled(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``pairs`` with the components ``ca`` and ``cb`` of their ends (a node without one is its own)."""
+    label = {x: groups.select(F.col("node").alias(x), F.col("component").alias(f"_{x}")) for x in "ab"}
+    return pairs.join(label["a"], "a", "left").join(label["b"], "b", "left").withColumns(
+        {"ca": F.coalesce("_a", "a"), "cb": F.coalesce("_b", "b")}).drop("_a", "_b")
+
+
+def _merged(groups: DataFrame, links: DataFrame, tables: Scratch) -> DataFrame:
+    """``groups`` after new links: only the components that these join are contracted."""
+    new = tables.put(_labelled(links, groups).where("ca <> cb").select("a", "b", "ca", "cb"), "new_links")
+    if new.isEmpty():
+        return groups
+    top = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")), tables.put)
+    ends = new.select(F.col("a").alias("node")).union(new.select(F.col("b").alias("node"))).distinct()
+    known = groups.union(ends.join(groups, "node", "left_anti").select("node", F.col("node").alias("component")))
+    return tables.put(known.join(top.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select(
+        "node", F.coalesce("top", "component").alias("component")), "groups")
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -309,18 +354,19 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     letters = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`"))).alias("n")).first()["n"] or 0
     bits = max(20, min(48, int(letters // 5).bit_length()))
     shift = 64 - bits
+    tables = Scratch(docs.sparkSession)
     sets, counts = _documents(docs, doc_id, text, words, shift)
     heavy = _frequent(counts, max(1, min((1 << bits) // RANGE, 4096)))
 
-    rows = materialize(_prefixes(docs, text, words, percent, shift, heavy), "prefixes")
-    nodes = materialize(rows.where("shingle is null").select("node", "n", "p", F.col("count").alias("last_count"), "last").distinct(), "nodes")
+    rows = tables.put(_prefixes(docs, text, words, percent, shift, heavy), "prefixes")
+    nodes = tables.put(rows.where("shingle is null").select("node", "n", "p", F.col("count").alias("last_count"), "last").distinct(), "nodes")
     parts = rows.where("shingle is not null")
     # A shingle that is not frequent has a short list: a window finds the lists of two nodes or more.
     whole = Window.partitionBy("shingle")
     rare = parts.where("count = 0").select("shingle", "node", "n", F.min("node").over(whole).alias("lo"), F.max("node").over(whole).alias("hi"))
-    lists = materialize(rare.where("lo <> hi").select("shingle", "node", "n").union(
+    lists = tables.put(rare.where("lo <> hi").select("shingle", "node", "n").union(
         parts.where("count > 0").select("shingle", "node", "n")).distinct(), "lists")
-    frequent = materialize(parts.where("count > 0").select("shingle", "node", "n", "centre").distinct(), "frequent")
+    frequent = tables.put(parts.where("count > 0").select("shingle", "node", "n", "centre").distinct(), "frequent")
 
     # Round 1: frequent shingles, each node against the hubs of its lists.  The set that consists most of frequent
     # shingles is the hub: among near copies that is the text they were made from, or the one least changed.
@@ -333,22 +379,23 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
         F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     sizes = {x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab"}
     star = star.join(sizes["a"], "a").join(sizes["b"], "b").where(_similar_sizes(F.col("n_a"), F.col("n_b"), percent))
-    star = materialize(star.select("a", "b"), "star")
-    groups = components(_verified(star, _texts(star, docs, sets, doc_id, text, words), words, percent))
+    star = tables.put(star.select("a", "b"), "star")
+    groups = components(
+        _verified(star, _texts(star, docs, sets, doc_id, text, words, tables), words, percent, tables), tables.put)
 
     # Round 2: all pairs of a list that are not in one component yet.
     labelled = lists.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = materialize(labelled, "labelled")
+    labelled = tables.put(labelled, "labelled")
     mixed = labelled.groupBy("shingle").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k")).where("lo <> hi").select("shingle", "k")
     # ``own`` shingles of a set are in these lists: all that it can share with one of another component.  Of two sets
     # that share ``needed`` of them, the first that they share, short lists first, is followed by the others in both.
     place = Window.partitionBy("node").orderBy("k", "shingle")
     left = labelled.join(mixed, "shingle").withColumn("place", F.row_number().over(place))
-    left = materialize(left, "open_lists")
+    left = tables.put(left, "open_lists")
     facts = nodes.join(left.groupBy("node").agg(F.collect_list("shingle").alias("held")), "node").select(
         "node", "n", "last_count", "last", (F.col("n") - F.col("p")).alias("rest"), F.size("held").cast("long").alias("own"), "held")
-    facts = materialize(facts, "open_sets")
+    facts = tables.put(facts, "open_sets")
     left = left.drop("k").join(facts.drop("n", "held"), "node")
     side = {x: left.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in left.columns if c != "shingle")) for x in "ab"}
     overlap = F.expr(f"((n_a + n_b) * {percent} + {99 + percent}) div {100 + percent}")
@@ -364,26 +411,28 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     pairs = pairs.join(held["a"], "a").join(held["b"], "b")
     shared = F.size(F.array_intersect("held_a", "held_b"))
     pairs = pairs.withColumn("over", shared - F.col("needed")).where("over >= 0").select("a", "b", "over")
-    pairs = materialize(pairs, "candidates")
-    texts = _texts(pairs, docs, sets, doc_id, text, words)
+    pairs = tables.put(pairs, "candidates")
+    texts = _texts(pairs, docs, sets, doc_id, text, words, tables)
     # First the pairs that share most: a node that joins a group by one of them needs no other of the group.
     for most in ROUNDS:
-        nearest = [F.row_number().over(Window.partitionBy(x).orderBy(F.col("over").desc(), *"ab")) for x in "ab"]
-        ranked = pairs.withColumn("nr", F.least(*nearest)) if most else pairs.withColumn("nr", F.lit(0))
-        ranked = materialize(ranked, "ranked")
-        picked = ranked.where(F.col("nr") <= (most or 0))
-        edges = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        groups = components(edges.union(_verified(picked, texts, words, percent)))
+        if pairs.isEmpty():
+            break
+        picked, rest = pairs, None
         if most:
-            label = {x: groups.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab"}
-            left = ranked.where(F.col("nr") > most).join(label["a"], "a", "left").join(label["b"], "b", "left")
-            pairs = materialize(left.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b", "over"), "candidates")
+            nearest = [F.row_number().over(Window.partitionBy(x).orderBy(F.col("over").desc(), *"ab")) for x in "ab"]
+            ranked = tables.put(pairs.withColumn("nr", F.least(*nearest)), "ranked")
+            picked, rest = ranked.where(F.col("nr") <= most), ranked.where(F.col("nr") > most)
+        groups = _merged(groups, _verified(picked, texts, words, percent, tables), tables)
+        if rest is None:
+            break
+        pairs = tables.put(_labelled(rest, groups).where("ca <> cb").select("a", "b", "over"), "candidates")
 
     smallest = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("id")).join(groups, "node", "left")
     smallest = smallest.withColumn("component", F.coalesce("component", "node"))
-    smallest = materialize(smallest, "classes")
+    smallest = tables.put(smallest, "nodes_of_components")
     least = smallest.groupBy("component").agg(F.min("id").alias("component_id"))
-    classes = smallest.join(least, "component").select("node", "component_id")
+    classes = materialize(smallest.join(least, "component").select("node", "component_id"), "classes")
+    tables.drop()
     found = sets.join(classes, "node", "left").select("id", "n", F.coalesce("component_id", "id").alias("component_id"))
     taken = [doc_id]
     names = [taken.append(spare_name(taken, c)) or taken[-1] for c in ("n_shingles", "component_id")]
