@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from candela.llm.common import map_rows
 
 #: Words that a Python worker remembers; the memory is emptied when it is full.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 #: Longer words are encoded each time, so that the memory stays small.
 CACHE_WORD_CHARS = 64
 #: Texts without characters from here on (all of Latin comes before) take the quicker pattern.

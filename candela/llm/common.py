@@ -18,7 +18,7 @@ __all__ = ["Scratch", "WORD", "materialize", "map_rows", "slices", "spare_name",
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: UTF-8 bytes of text that a Python task holds at once (one longer text still passes whole).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def tokenizer_path(name: str) -> str:
@@ -60,6 +60,9 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iter
     """Cuts a batch so that the texts of ``column`` in each piece stay near ``limit`` bytes."""
     import numpy as np
     import pyarrow.compute as pc
+    if pa.default_memory_pool().backend_name != "system":
+        # Arrow's own allocators keep what a task has freed; a worker that waits would hold it.
+        pa.set_memory_pool(pa.system_memory_pool())
     if batch.num_rows == 0:
         return
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

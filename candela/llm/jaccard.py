@@ -36,7 +36,7 @@ COUNTED, RANGE = 2_000_000, 1 << 20
 #: Lengthenings of the prefix to choose from, and the cost of verifying a candidate in list entries.
 EXTRA, VERIFY = (1, 2, 4, 8, 16), 8
 #: Bytes of text that a task turns into shingles at once.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: Residue classes of the nodes; each gives a list of a frequent shingle one hub.
 HUBS = 6
 #: Hubs that a node is verified against (those that share most).

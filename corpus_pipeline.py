@@ -16,12 +16,22 @@ from candela.sources.tables import read_table
 NO_ID = 1 << 62
 
 
+#: Rows of a batch that Spark hands to Python.  All stages share the executors, whose heap the SQL stages
+#: fill, so the Python side gets batches of a few megabytes instead of up to 64.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def _columns(df: DataFrame, names) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in names))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the classifier scores at its threshold or above."""
+    _small_batches(spark)
     scored = classifier.score(docs, read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
     score = spare_name(docs.columns, "score")
     return _columns(scored.where(F.col(score) >= classifier.THRESHOLD), docs.columns)
@@ -38,6 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document without an id gets one from its text for the join.
     """
+    _small_batches(spark)
     key = spare_name(docs.columns, "key")
     named = docs.withColumn(key, F.coalesce(F.col("doc_id"), F.lit(NO_ID) + F.pmod(F.xxhash64("text"), F.lit(NO_ID))))
     joined = jaccard.join(named.select(F.col(key).alias("doc_id"), "text"))
@@ -54,6 +65,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as tokens: count and digests of the ids and of the text that they decode to."""
+    _small_batches(spark)
     named = docs.select("doc_id", "text", "source")
     return bpe.encode_decode(named, tokenizer_path("word_bpe_49k.json")).select(
         "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
