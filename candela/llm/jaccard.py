@@ -146,8 +146,14 @@ def prefix(found: np.ndarray, heavy: tuple[np.ndarray, np.ndarray], shift: int,
     return found[:p], count[:p], int(np.count_nonzero(count))
 
 
+def _named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``id``, ``alias`` and ``text``: a row without an id is found again by ``alias``, a hash of its text."""
+    named = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+    return named.select("id", F.when(F.col("id").isNull(), F.xxhash64("text")).alias("alias"), "text")
+
+
 def _documents(docs: DataFrame, doc_id: str, text: str, words: int, shift: int) -> tuple[DataFrame, DataFrame]:
-    """Every document's (id, n, node), and the counts of shingle buckets in packed ranges."""
+    """Every document's (id, alias, n, node), and the counts of shingle buckets in packed ranges."""
     def run(batches):
         held, size, seen = [], 0, set()
 
@@ -160,22 +166,22 @@ def _documents(docs: DataFrame, doc_id: str, text: str, words: int, shift: int)
                 steps = np.diff(part - np.uint64(first * RANGE), prepend=np.uint64(0)).astype("<u4")
                 yield first, zlib.compress(steps.tobytes() + np.minimum(many, 2 ** 32 - 1).astype("<u4").tobytes(), 1)
 
-        def batch_of(ids, n, nodes, ranges, data):
+        def batch_of(ids, aliases, n, nodes, ranges, data):
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.array(ranges, pa.int64()), pa.array(data, pa.binary())], names=["id", "n", "node", "range", "data"])
+                [pa.array(ids, pa.int64()), pa.array(aliases, pa.int64()), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()),
+                 pa.array(ranges, pa.int64()), pa.array(data, pa.binary())], names=["id", "alias", "n", "node", "range", "data"])
 
         def flush():
             some = list(packed()) if held else []
             for i in range(0, len(some), 64):
                 part = some[i:i + 64]
                 none = [None] * len(part)
-                yield batch_of(none, none, none, [x[0] for x in part], [x[1] for x in part])
+                yield batch_of(none, none, none, none, [x[0] for x in part], [x[1] for x in part])
 
         for batch in batches:
-            for piece in slices(batch, 1, PIECE_BYTES):
+            for piece in slices(batch, 2, PIECE_BYTES):
                 n, nodes = [], []
-                for found in shingle_sets(piece.column(1).to_pylist(), words):
+                for found in shingle_sets(piece.column(2).to_pylist(), words):
                     n.append(len(found))
                     nodes.append(signature(found) if len(found) else None)
                     if len(found) and nodes[-1] not in seen:
@@ -184,15 +190,15 @@ def _documents(docs: DataFrame, doc_id: str, text: str, words: int, shift: int)
                         held.append(found >> np.uint64(shift))
                         size += len(found)
                 none = [None] * len(n)
-                yield batch_of(piece.column(0).to_pylist(), n, nodes, none, none)
+                yield batch_of(piece.column(0).to_pylist(), piece.column(1).to_pylist(), n, nodes, none, none)
                 if size >= COUNTED:
                     yield from flush()
                     held, size, seen = [], 0, set()
         yield from flush()
 
-    rows = materialize(docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(
-        run, "id long, n long, node long, range long, data binary"), "shingle_sets")
-    return rows.where("range is null").select("id", "n", "node"), rows.where("range is not null").select("range", "data")
+    rows = materialize(_named(docs, doc_id, text).mapInArrow(
+        run, "id long, alias long, n long, node long, range long, data binary"), "shingle_sets")
+    return rows.where("range is null").select("id", "alias", "n", "node"), rows.where("range is not null").select("range", "data")
 
 
 def _frequent(counts: DataFrame, ranges: int) -> tuple[np.ndarray, np.ndarray]:
@@ -273,11 +279,12 @@ def _similar_sizes(x: Column, y: Column, percent: int) -> Column:
 def _texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text: str, words: int, tables: Scratch) -> DataFrame:
     """``node`` and ``text`` of the nodes in ``pairs``, written once for all rounds that verify them."""
     involved = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = tables.put(sets.join(involved, "node").groupBy("node").agg(F.min("id").alias("id")), "to_verify")
+    chosen = tables.put(sets.join(involved, "node").groupBy("node").agg(
+        F.coalesce(F.min("id"), F.min("alias")).alias("key")), "to_verify")
     small = chosen.count() * 16 <= BROADCAST_BYTES
-    # Repeated ids may bring other texts along: the node is computed again from the text that came.
-    found = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).join(
-        F.broadcast(chosen) if small else chosen, "id")
+    # Repeated keys may bring other texts along: the node is computed again from the text that came.
+    found = _named(docs, doc_id, text).select(F.coalesce("id", "alias").alias("key"), "text").join(
+        F.broadcast(chosen) if small else chosen, "key")
 
     def checked(batches):
         for batch in batches:
@@ -286,7 +293,7 @@ def _texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text
                     shingle_sets(piece.column(1).to_pylist(), words), piece.column(2).to_pylist())]
                 yield piece.filter(pa.array(same, pa.bool_())).select([2, 1])
 
-    texts = found.select("id", "text", "node").mapInArrow(checked, "node long, text string")
+    texts = found.select("key", "text", "node").mapInArrow(checked, "node long, text string")
     return tables.put(texts.dropDuplicates(["node"]), "verify_texts")
 
 

@@ -55,6 +55,17 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert jaccard.join(docs.limit(0)).collect() == []
 
 
+def test_near_copy_without_an_id_is_a_bridge(spark):
+    words = [f"w{i}" for i in range(300)]
+    edit = lambda places: " ".join("edit" + w if i in places else w for i, w in enumerate(words))
+    texts = [edit({20, 50, 80, 110}), edit(set()), edit({140, 170, 200, 230}), edit({140, 170, 200, 230, 260, 280})]
+    assert [c for _, c in brute_components(texts)] == [0] * 4 and brute_components([texts[0], texts[2]])[1][1] == 1
+    rows = [(10, texts[0]), (None, texts[1]), (30, texts[2]), (None, texts[3]), (None, "alone in this wide world of words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in jaccard.join(docs).collect())
+    assert got == [(0, 0), (0, 10), (0, 10), (10, 10), (30, 10)]
+
+
 @pytest.mark.parametrize("links, want", [
     ([], {}),
     ([(1, 1)], {}),
