@@ -12,10 +12,6 @@ from candela.llm import bpe, classifier, jaccard, mix, rules
 from candela.llm.common import materialize, spare_name, tokenizer_path
 from candela.sources.tables import read_table
 
-#: Stand-ins for null ids come after all real ids, so that a document with an id is preferred.
-NO_ID = 1 << 62
-
-
 #: Rows of a batch that Spark hands to Python.  All stages share the executors, whose heap the SQL stages
 #: fill, so the Python side gets batches of a few megabytes instead of up to 64.
 BATCH_ROWS = 1000
@@ -46,13 +42,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group that the Jaccard join links.
 
-    A document without an id gets one from its text for the join.
+    The join knows a row by its id and text, so that different texts with one id are judged apart; a document
+    without an id is kept only where its group has none with an id.
     """
     _small_batches(spark)
-    key = spare_name(docs.columns, "key")
-    named = docs.withColumn(key, F.coalesce(F.col("doc_id"), F.lit(NO_ID) + F.pmod(F.xxhash64("text"), F.lit(NO_ID))))
+    key, group = spare_name(docs.columns, "key"), spare_name(docs.columns, "group")
+    named = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     joined = jaccard.join(named.select(F.col(key).alias("doc_id"), "text"))
-    first = joined.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(key)).distinct()
+    joined = joined.select(F.col("doc_id").alias(key), F.col("component_id").alias(group)).distinct()
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(key).alias("key"))
+    first = named.select(key, "doc_id").distinct().join(joined, key).groupBy(group).agg(F.min(order).alias("first"))
+    first = first.select(F.col("first.key").alias(key))
     return _columns(named.join(first, key, "left_semi").dropDuplicates([key]), docs.columns)
 
 

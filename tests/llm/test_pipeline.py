@@ -54,6 +54,15 @@ def test_join_stage(stages):
     assert sorted(r["doc_id"] for r in after.collect()) == sorted(want)
 
 
+def test_join_stage_judges_texts_with_one_id_apart(spark):
+    one, two, three, four = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, one), (5, one), (5, two), (5, two), (7, two + " more"), (9, three), (9, four), (None, three), (None, four + " more"),
+            (None, "only this text has no id at all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF01).collect()}
+    assert got == {(1, one), (5, two), (9, three), (9, four), (None, "only this text has no id at all")}
+
+
 def test_mix_and_encoding_stages(stages):
     before, after = stages[3]
     known = {r["doc_id"]: r for r in before.collect()}
