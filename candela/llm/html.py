@@ -32,14 +32,16 @@ _NAME = re.compile(r"[a-z0-9]+")
 
 # Fixed values of HTML: inline elements, elements without an end, elements with raw text, implied ends.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span "
-                   "strike strong sub sup time tt u var".split())
+                   "strike strong sub sup time tt u var math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded menclose "
+                   "msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp svg math template".split())
+RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp svg template annotation annotation-xml".split())
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"})}
-#: Elements that are never part of an article, and words of a class, id or role that say so.
-OUTSIDE = frozenset("nav footer aside form head button select dialog menu object canvas audio video fieldset".split())
+#: Elements that are never part of an article, those that are none outside of one, and words of a class, id or role that say so.
+OUTSIDE = frozenset("nav footer aside form head select dialog menu canvas audio video".split())
+OUTSIDE_ARTICLE = frozenset("header button object fieldset".split())
 OUTSIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent "
     "contentinfo cookie cookies disqus footer form menu modal nav navbar navigation newsletter notice notices notification popup "
@@ -47,40 +49,66 @@ OUTSIDE_NAMES = frozenset(
     "widget".split())
 #: These say so only outside an article.
 HEADER_NAMES = frozenset("header masthead topbar".split())
+#: A hyphenated name says so if all its other words are of these (``ad-box``, ``site-footer``, but not ``no-sidebar``).
+NEUTRAL_NAMES = frozenset(
+    "area bar block bottom box buttons column container content group inner item items left links list main outer page panel primary "
+    "right row secondary section site slot top unit wrap wrapper".split())
+#: No name drops these, and no id a heading, whose id is made from its text.
+PAGE_PARTS = frozenset("html body main article".split())
+_HEADINGS = frozenset(f"h{i}" for i in range(1, 7))
 
 
 class _Open:
-    __slots__ = ("tag", "start", "parts", "drop", "article")
+    __slots__ = ("tag", "start", "parts", "drop", "article", "chain")
+
+    def __init__(self, tag, start, drop, article, chain):
+        self.tag, self.start, self.parts, self.drop, self.article, self.chain = tag, start, [], drop, article, chain
+
 
-    def __init__(self, tag, start, drop, article):
-        self.tag, self.start, self.parts, self.drop, self.article = tag, start, [], drop, article
+def _named(value: str, names: frozenset) -> bool:
+    """Whether a class, id or role of ``value`` is one of ``names``, alone or with neutral words."""
+    for token in value.split():
+        words = set(_NAME.findall(token))
+        if words & names and words <= names | NEUTRAL_NAMES:
+            return True
+    return False
+
+
+def _hidden(attributes: str) -> bool:
+    if "hidden" not in attributes.lower() and "=" not in attributes:
+        return False
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
+            return True
+    return False
 
 
 def _outside(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in OUTSIDE or tag == "header" and not in_article:
+    if tag in OUTSIDE or tag in OUTSIDE_ARTICLE and not in_article:
         return True
-    if "=" not in attributes and "hidden" not in attributes.lower():
+    if tag in PAGE_PARTS or "=" not in attributes:
         return False
+    names = OUTSIDE_NAMES if in_article else OUTSIDE_NAMES | HEADER_NAMES
     for m in _ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id", "role"):
-            words = set(_NAME.findall(value))
-            if words & OUTSIDE_NAMES or not in_article and words & HEADER_NAMES:
+        name = m[1].lower()
+        if name in ("class", "role") or name == "id" and tag not in _HEADINGS:
+            if _named((m[2] or m[3] or m[4] or "").lower(), names):
                 return True
-        elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
     return False
 
 
-def read_page(html: str, templates=frozenset()) -> tuple[list[str], list[int], bool]:
+def read_page(html: str, templates=frozenset(), holders=frozenset()) -> tuple[list[str], list[int], bool]:
     """Text blocks of a page without ``templates``; the hashes of its block subtrees; whether an article was found.
 
-    With an ``article`` (or else a ``main``) only the blocks inside count.
+    An element that holds the ``article`` or ``main`` with most of the page's text is kept whatever its tag or
+    name (``holders``: the places of its tag and those around it, once they are known).
     """
     blocks: list[str] = []
-    marks: list[int] = []  # for each block 2 inside an article, 1 inside main, else 0
+    marks: list[int] = []  # for each block the sum of 1 inside main, 2 inside an article, 4 for a first-level heading
     hashes: list[int] = []
-    stack = [_Open("", 0, False, 0)]
+    stack = [_Open("", 0, False, 0, ())]
+    held: dict[tuple, int] = {}  # letters of articles in elements that are dropped, by the places of these
     buffer: list[str] = []
 
     def flush() -> None:
@@ -89,7 +117,7 @@ def read_page(html: str, templates=frozenset()) -> tuple[list[str], list[int], b
             buffer.clear()
             if text:
                 blocks.append(text)
-                marks.append(stack[-1].article)
+                marks.append(stack[-1].article + 4 * (stack[-1].tag == "h1"))
                 stack[-1].parts.append(text)
 
     def close() -> None:
@@ -108,8 +136,11 @@ def read_page(html: str, templates=frozenset()) -> tuple[list[str], list[int], b
     while at < n:
         m = search(html, at)
         end = m.start() if m else n
-        if end > at and not stack[-1].drop:
-            buffer.append(html[at:end])
+        if end > at:
+            if not stack[-1].drop:
+                buffer.append(html[at:end])
+            elif stack[-1].article and stack[-1].chain:
+                held[stack[-1].chain] = held.get(stack[-1].chain, 0) + len(html[at:end].strip())
         if not m:
             break
         at = m.end()
@@ -151,16 +182,35 @@ def read_page(html: str, templates=frozenset()) -> tuple[list[str], list[int], b
                         close()
                     break
         top = stack[-1]
-        drop = top.drop or _outside(tag, m[3] or m[6] or "", top.article == 2)
-        stack.append(_Open(tag, len(blocks), drop, max(top.article, 2 if tag == "article" else tag == "main")))
+        attributes = m[3] or m[6] or ""
+        own = 2 if tag == "article" else int(tag == "main")
+        inside, drop, chain = top.article | own, top.drop, top.chain
+        if drop and not chain:
+            pass  # nothing in it can be the page's article
+        elif _hidden(attributes):
+            drop, chain = True, ()
+        elif m.start() not in holders and _outside(tag, attributes, top.article > 0):
+            drop = True
+            if top.article & 2 or tag in OUTSIDE and tag != "form":
+                chain = ()
+            else:
+                inside, chain = own, (*chain, m.start())
+        stack.append(_Open(tag, len(blocks), drop, inside, chain))
     while len(stack) > 1:
         close()
     flush()
-    most = max(marks, default=0)
-    return [b for b, k in zip(blocks, marks) if k == most], hashes, most > 0
-
-
-_HEADINGS = frozenset(f"h{i}" for i in range(1, 7))
+    found = any(k & 3 for k in marks)
+    if held and not found and not holders:
+        chain = max(held, key=held.get)
+        if held[chain] > sum(map(len, blocks)):
+            return read_page(html, templates, frozenset(chain))
+    return _region(blocks, marks), hashes, found
+
+
+def _region(blocks: list[str], marks: list[int]) -> list[str]:
+    """The blocks inside an ``article``, or else a ``main``, or else all."""
+    most = max((min(k & 3, 2) for k in marks), default=0)
+    return [b for b, k in zip(blocks, marks) if min(k & 3, 2) == most]
 
 
 def page_hashes(html: str | None) -> list[int]:

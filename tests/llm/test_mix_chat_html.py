@@ -107,6 +107,22 @@ def test_page_text(page, want):
     assert "\n".join(html.read_page(page or "")[0]) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<body class="no-sidebar"><main class="with-sidebar"><h1>T</h1><p>text</p></main></body>', "T\ntext"),
+    ('<html id=form><body class="has-banner"><article class="post comments-open"><p>text</p></article></body></html>', "text"),
+    ('<article><section id="related-work"><h2 id="social-history">A</h2><p>b</p></section><div id="share-prices">c</div>'
+     '<h2 id="comments">D</h2></article>', "A\nb\nc\nD"),
+    ('<article><h2><button>Part</button></h2><fieldset><p>x is <math><mi>y</mi><mo>+</mo><mn>1</mn></math></p></fieldset></article>',
+     "Part\nx is y+1"),
+    ('<div class="widget"><article><p>the text of this page</p><div class="share">no</div></article></div><p>tail</p>', "the text of this page"),
+    ('<form id=aspnet><nav>m</nav><main><p>the text</p></main></form>', "the text"),
+    ('<div class="site-footer">no</div><div id="main-nav">no</div><div role="search">no</div><p>text</p>', "text"),
+    ('<article><p>short</p></article><div class="related"><article><p>a much longer teaser</p></article></div>', "short"),
+])
+def test_names_drop_only_what_they_say(page, want):
+    assert "\n".join(html.read_page(page)[0]) == want
+
+
 def test_site_templates_go_and_shared_passages_stay(spark):
     rng = random.Random(6)
     passage = prose(rng, 20)
