@@ -208,9 +208,22 @@ def read_page(html: str, templates=frozenset(), holders=frozenset()) -> tuple[li
 
 
 def _region(blocks: list[str], marks: list[int]) -> list[str]:
-    """The blocks inside an ``article``, or else a ``main``, or else all."""
-    most = max((min(k & 3, 2) for k in marks), default=0)
-    return [b for b, k in zip(blocks, marks) if min(k & 3, 2) == most]
+    """The blocks of the part that holds most of the text, by their ``marks``.
+
+    A ``main`` is kept with all it contains; articles outside of it join it only if they are larger.  Without a
+    ``main`` the articles are the text if they hold half of it, with a title and lead before them where they
+    have no title of their own; or else all blocks are.
+    """
+    size = lambda of: sum(len(b) for b, k in zip(blocks, marks) if k & 3 in of)
+    main, articles = size((1, 3)), size((2,))
+    if main >= articles > 0 or main and not articles:
+        return [b for b, k in zip(blocks, marks) if k & 1]
+    if not articles or not main and size((0,)) > articles:
+        return blocks
+    first = next(i for i, k in enumerate(marks) if k & 2)
+    titles = [i for i, k in enumerate(marks[:first]) if k == 4]
+    start = titles[-1] if titles and not any(k > 4 for k in marks) else first
+    return [b for i, (b, k) in enumerate(zip(blocks, marks)) if k & 3 or start <= i < first]
 
 
 def page_hashes(html: str | None) -> list[int]:

@@ -123,6 +123,17 @@ def test_names_drop_only_what_they_say(page, want):
     assert "\n".join(html.read_page(page)[0]) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<main><h1>Title</h1><p>the long text of the page</p></main><article class="card"><p>teaser</p></article>', "Title\nthe long text of the page"),
+    ('<main><header><h1>Title</h1></header><p>lead</p><article><p>text</p></article><p>end</p></main>', "Title\nlead\ntext\nend"),
+    ('<div><p>the long text of a page without main</p></div><article><p>teaser</p></article>', "the long text of a page without main\nteaser"),
+    ('<p>out</p><h1>T</h1><p>lead</p><article><p>the long text of the article</p></article><p>out</p>', "T\nlead\nthe long text of the article"),
+    ('<p>out</p><article><h1>T</h1><p>the text</p></article><p>out</p>', "T\nthe text"),
+])
+def test_text_is_where_most_of_it_stands(page, want):
+    assert "\n".join(html.read_page(page)[0]) == want
+
+
 def test_site_templates_go_and_shared_passages_stay(spark):
     rng = random.Random(6)
     passage = prose(rng, 20)
