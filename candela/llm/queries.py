@@ -79,6 +79,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.align import align
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_top_k": op2_top_k,
@@ -90,4 +96,5 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_html_text": op10_html_text,
+    "op11_token_alignment": op11_token_alignment,
 }
