@@ -103,9 +103,51 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)"""
 
 
+#: CRC-32 of the decimal digits of conv_id, a bit at a time.
+CRC32 = """xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+      range(1, length(conv_id::VARCHAR) + 1), lambda i: list_concat([1000 + ascii(substr(conv_id::VARCHAR, i, 1))], [0, 0, 0, 0, 0, 0, 0, 0])))),
+    lambda a, x: CASE WHEN x >= 1000 THEN xor(a, x - 1000) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))"""
+
+#: Every node joined to all its ancestors, without bitmaps.
+TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {CRC32} % 9 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+parts AS (
+  SELECT c.conv_id, 0 AS side, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base WHERE t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN turns t USING (conv_id) WHERE t.pos > c.h),
+rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY side, pos) AS depth, strlen(text) AS bytes,
+         md5(length(role) || ':' || role || text) AS turn FROM parts
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+paths AS (
+  SELECT conv_id, depth, bytes, md5(string_agg(turn, ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS node,
+         max(depth) OVER (PARTITION BY conv_id) AS n FROM rebuilt),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM paths GROUP BY node, depth),
+above AS (
+  SELECT u.node, u.conv_id, u.depth, u.n_convs, u.bytes, p.node AS parent
+  FROM nodes u LEFT JOIN paths p ON p.conv_id = u.conv_id AND p.depth = u.depth - 1),
+children AS (SELECT parent AS node, count(*) AS n_children FROM above WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT p.node, sum((u.n_convs - 1) * u.bytes) AS saved_tokens, count(*) FILTER (c.node IS NULL) AS n_leaves
+  FROM above u JOIN paths p ON p.conv_id = u.conv_id AND p.depth <= u.depth LEFT JOIN children c ON c.node = u.node
+  GROUP BY p.node)
+SELECT n.conv_id, n.depth::BIGINT AS depth, q.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(c.n_children, 0)::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens,
+       n.ends_sha256
+FROM nodes n JOIN above a ON a.node = n.node LEFT JOIN nodes q ON q.node = a.parent
+     JOIN below b ON b.node = n.node LEFT JOIN children c ON c.node = n.node"""
+
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan(),
     "op2_top_k": TOP_K,
     "op5_source_mix": source_mix(),
     "op6_jaccard_join": JACCARD,
+    "op12_prefix_trie": TRIE,
 }

@@ -85,6 +85,17 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.trie import conversation_trie
+    return conversation_trie(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+
+
+def op13_rans_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candela.llm.rans import ids_round_trip
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return ids_round_trip(docs, tokenizer_path("word_bpe_49k.json")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_top_k": op2_top_k,
@@ -97,4 +108,6 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_html_text": op10_html_text,
     "op11_token_alignment": op11_token_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_rans_ids": op13_rans_ids,
 }
