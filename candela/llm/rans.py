@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +25,9 @@ from candela.llm.common import materialize, slices
 from candela.llm.remember import Remembered
 from candela.session import scratch_path
 
-LANES = 32
-#: Rounds of all lanes between two checkpoints: 8,192 ids.
-STEPS = 256
+LANES = 256
+#: Rounds of all lanes between two checkpoints: 16,384 ids.
+STEPS = 64
 #: A block ends with the document that brings it to this many ids.
 BLOCK_IDS = 1 << 16
 #: Blocks that are coded at once have about this many ids.
@@ -37,17 +36,27 @@ BATCH_IDS = 1 << 20
 SCALE_BITS = 20
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
+#: Bytes of text that are encoded at once (one longer text still passes whole).
+TEXT_BYTES = 1 << 22
 #: The id that ends a document.
 END_ID = 1
 FAR = re.compile("[ɐ-\U0010ffff]")
 
 
 # ---------------------------------------------------------------- ids
+def id_kind(path: str, end_id: int = END_ID) -> np.dtype:
+    """The smallest little-endian unsigned kind that holds every id of a vocabulary file."""
+    import json
+    spec = json.load(open(path, encoding="utf-8"))
+    return np.dtype("<u2" if max(end_id, *spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])) < 1 << 16 else "<u4")
+
+
 class Encoder:
-    """Ids of the ``tokenizers`` library, remembered for pieces between spaces and for words.
+    """Ids of the ``tokenizers`` library, remembered for words.
 
-    No token crosses a space.  Pieces of letters whose classes are the same in every Unicode
-    release are cut into words with the file's own pattern, and only words not yet known go to the library.
+    Texts of letters whose classes are the same in every Unicode release are cut into words with the file's own
+    pattern, and only words not yet known go to the library, many in one text.  No token crosses a space, so
+    other texts are cut at spaces, and their pieces with other letters go to the library as they are.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -58,49 +67,58 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         spec = json.load(open(path, encoding="utf-8"))
+        self.kind, suffix = id_kind(path, end_id), spec["model"].get("end_of_word_suffix")
+        vocab = spec["model"]["vocab"]
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
         self.near = re.compile(near_pattern(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])).findall
         self.words, self.pieces = Remembered(self._words), Remembered(self._pieces)
-        self.end = array("I", [end_id]).tobytes()
+        self.end = np.array([end_id], self.kind).tobytes()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", x.ids).tobytes() for x in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(x.ids, self.kind).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words: all in one text, cut where the library says that a word ends."""
+        """Ids of words: many in one text, cut after the tokens that end a word."""
         out = []
-        for i in range(0, len(words), 5000):
-            some = words[i:i + 5000]
-            found = self.library.encode(" ".join(some), add_special_tokens=False)
-            number, ids = np.array(found.word_ids, np.int64), np.array(found.ids, "<u4")
-            if len(number) and number[-1] == len(some) - 1:
-                cuts = np.searchsorted(number, np.arange(len(some) + 1))
-                out += [ids[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        for i in range(0, len(words), 1000):
+            some = words[i:i + 1000]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) == len(some):
+                out += [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
             else:
                 out += self._ids(some)
         return out
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        split = [None if FAR.search(p) else self.near(p.lower()) for p in pieces]
+        split = [None if FAR.search(low := p.lower()) else self.near(low) for p in pieces]
         known = self.words.table(set().union(*(w for w in split if w))).__getitem__
         far = iter(self._ids([p for p, w in zip(pieces, split) if w is None]))
         return [next(far) if w is None else b"".join(map(known, w)) for w in split]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text as little-endian unsigned 32-bit integers, the end id last."""
-        split = []
-        for t in texts:
-            if not t:
-                split.append([])
-            elif self.special.search(t):
-                split.append(None)
-            else:
-                if not FAR.search(t):
-                    t = t.lower()
-                split.append(t.replace("\n", " ").split(" "))
-        known = self.pieces.table(set().union(*(x for x in split if x))).__getitem__
-        whole = iter(self._ids([t for t, x in zip(texts, split) if x is None]))
-        return [(next(whole) if x is None else b"".join(map(known, x))) + self.end for x in split]
+        """Ids of every text as little-endian unsigned integers of ``kind``, the end id last."""
+        near: dict[int, list[str]] = {}
+        far: dict[int, list[str]] = {}
+        whole = []
+        for i, t in enumerate(texts):
+            if t and self.special.search(t):
+                whole.append(i)
+            elif t and FAR.search(low := t.lower()):
+                far[i] = t.replace("\n", " ").split(" ")
+            elif t:
+                near[i] = self.near(low)
+        out = [b""] * len(texts)
+        for of, table in ((far, self.pieces), (near, self.words)):
+            known = table.table(set().union(*of.values())).__getitem__
+            for i, parts in of.items():
+                out[i] = b"".join(map(known, parts))
+        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
+            out[i] = ids
+        return [ids + self.end for ids in out]
 
 
 _LOADED: dict[tuple[str, int], Encoder] = {}
@@ -116,16 +134,19 @@ def load(path: str, end_id: int) -> Encoder:
 
 
 def token_ids(docs: DataFrame, path: str, end_id: int = END_ID, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id`` and ``ids`` (binary, little-endian unsigned 32-bit, the end id last) of every row."""
+    """``doc_id``, ``ids`` (binary, little-endian unsigned of the vocabulary's kind, the end id last) and ``crc`` (of
+    these bytes) of every row."""
     def run(batches):
         encode = load(path, end_id)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, TEXT_BYTES):
+                ids = encode(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(encode(part.column(1).to_pylist()), type=pa.binary())], names=["doc_id", "ids"])
+                    [part.column(0), pa.array(ids, type=pa.binary()), pa.array(map(zlib.crc32, ids), type=pa.int64())],
+                    names=["doc_id", "ids", "crc"])
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, ids binary, crc long")
 
 
 # ---------------------------------------------------------------- the shared table
@@ -164,17 +185,18 @@ class Table:
     def slots(self) -> np.ndarray:
         """Symbol number of each slot."""
         if self.slot is None:
-            self.slot = np.repeat(np.arange(len(self.symbols), dtype=np.uint32), self.freq.astype(np.int64))
+            kind = np.uint16 if len(self.symbols) <= 1 << 16 else np.uint32
+            self.slot = np.repeat(np.arange(len(self.symbols), dtype=kind), self.freq.astype(np.int64))
         return self.slot
 
 
-def frequencies(tokens: DataFrame) -> DataFrame:
+def frequencies(tokens: DataFrame, kind: np.dtype) -> DataFrame:
     """``id`` and ``n`` over all rows: counted in each task first."""
     def run(batches):
         counts = np.zeros(0, np.int64)
         for batch in batches:
             for part in slices(batch, 0):
-                ids = np.frombuffer(b"".join(part.column(0).to_pylist()), "<u4")
+                ids = np.frombuffer(b"".join(part.column(0).to_pylist()), kind)
                 if len(ids):
                     more = np.bincount(ids, minlength=len(counts))
                     more[:len(counts)] += counts
@@ -215,8 +237,8 @@ def encode_blocks(blocks: list[np.ndarray], table: Table) -> list[tuple[bytes, b
         words.append((x[over] & np.uint64(0xFFFFFFFF)).astype("<u4"))
         taken[t, :n] = over.sum(axis=1)
         x = np.where(over, x >> WORD, x)
-        share, rest = np.divmod(x, freq)
-        state[:n] = np.where(active, (share << bits) + rest + table.start[s], x)
+        share = x // freq
+        state[:n] = np.where(active, (share << bits) + (x - share * freq) + table.start[s], x)
         if t % STEPS == 0:
             marks.append((t, state[:n].copy()))
     stream = np.concatenate([*words[::-1], np.zeros(0, "<u4")])
@@ -248,8 +270,8 @@ def decode_blocks(blocks: list[tuple[int, bytes, bytes]], table: Table) -> list[
     # longest stretches first: those still running are always a prefix
     order = np.argsort(-size, kind="stable")
     place, state, size = place[order], state[order].copy(), size[order]
-    found = np.zeros((len(size), STEPS, LANES), np.uint32)
     slots, bits = table.slots(), np.uint64(table.bits)
+    found = np.zeros((len(size), STEPS, LANES), slots.dtype)
     mask, lane = np.uint64((1 << table.bits) - 1), np.arange(LANES)
     for t in range(-(-int(size[0]) // LANES)):
         n = int(np.searchsorted(-size, -t * LANES, "left"))
@@ -279,7 +301,7 @@ def decode_blocks(blocks: list[tuple[int, bytes, bytes]], table: Table) -> list[
 BLOCK = ("part long, first_id long, n_ids long, doc_ids array<long>, lengths array<long>, words binary, checkpoints binary, crc32 long")
 
 
-def _blocks(ordered: DataFrame, table: Table) -> DataFrame:
+def _blocks(ordered: DataFrame, table: Table, kind: np.dtype) -> DataFrame:
     """Rows of ``doc_id`` and ``ids``, in their order, as blocks."""
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64()]
 
@@ -289,16 +311,17 @@ def _blocks(ordered: DataFrame, table: Table) -> DataFrame:
 
         def block():
             nonlocal docs, held
-            ready.append(([d for d, _ in docs], [len(x) // 4 for _, x in docs], b"".join(x for _, x in docs)))
+            ids = np.frombuffer(b"".join(x for _, x in docs), kind)
+            ready.append(([d for d, _ in docs], [len(x) // kind.itemsize for _, x in docs], ids))
             docs, held = [], 0
 
         def written():
             nonlocal first, ready
-            made = encode_blocks([np.frombuffer(raw, "<u4") for _, _, raw in ready], table)
+            made = encode_blocks([ids for _, _, ids in ready], table)
             rows = []
-            for (names, lengths, raw), (words, marks) in zip(ready, made):
-                rows.append((part, first, len(raw) // 4, names, lengths, words, marks, zlib.crc32(raw)))
-                first += len(raw) // 4
+            for (names, lengths, ids), (words, marks) in zip(ready, made):
+                rows.append((part, first, len(ids), names, lengths, words, marks, zlib.crc32(ids.astype("<u4"))))
+                first += len(ids)
             ready = []
             return pa.RecordBatch.from_arrays([pa.array(v, type=k) for v, k in zip(zip(*rows), kinds)], names=names_)
 
@@ -308,7 +331,7 @@ def _blocks(ordered: DataFrame, table: Table) -> DataFrame:
             for name, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = raw.as_py()
                 docs.append((name, raw))
-                held += len(raw) // 4
+                held += len(raw) // kind.itemsize
                 if held >= BLOCK_IDS:
                     waiting += held
                     block()
@@ -328,19 +351,19 @@ def write_ids(docs: DataFrame, path: str, folder: str, end_id: int = END_ID, tex
 
     ``folder/table`` is the shared frequency table, ``folder/blocks`` the blocks, in files whose names are
     in order, and ``folder/parts`` the ids before each file.  Rows without a key come first; rows with
-    the same key stand in the order of their ids' hash.  Null and empty texts have the end id alone.  Texts of any
+    the same key stand in the order of their ids' checksum.  Null and empty texts have the end id alone.  Texts of any
     length are encoded whole; a document is never divided between blocks.  An empty table gives an
     empty folder of blocks.
     """
     spark = docs.sparkSession
+    kind = id_kind(path, end_id)
     tokens = materialize(token_ids(docs, path, end_id, text, key), "ids")
-    counted = frequencies(tokens)
-    counted.write.parquet(f"{folder}/table")
+    frequencies(tokens, kind).write.parquet(f"{folder}/table")
     table = read_frequencies(spark, folder)
     # the row's number comes last, so that rows that are alike can go to different tasks
-    ordered = tokens.withColumn("alike", F.xxhash64("ids")).withColumn("row", F.monotonically_increasing_id())
-    order = [F.asc_nulls_first("doc_id"), "alike", "row"]
-    _blocks(ordered.repartitionByRange(*order).sortWithinPartitions(*order), table).write.parquet(f"{folder}/blocks")
+    ordered = tokens.withColumn("row", F.monotonically_increasing_id())
+    order = [F.asc_nulls_first("doc_id"), "crc", "row"]
+    _blocks(ordered.repartitionByRange(*order).sortWithinPartitions(*order), table, kind).write.parquet(f"{folder}/blocks")
     parts = spark.read.parquet(f"{folder}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)       # one row for each file
     parts.select("part", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("ids_before")).write.parquet(f"{folder}/parts")

@@ -64,7 +64,7 @@ def test_size_is_near_the_entropy_and_blocks_are_independent():
     assert np.array_equal(rans.decode_blocks([(50_000, w, m)], table)[0], blocks[2])
     # one stretch alone, from its own checkpoint
     span, width = rans.LANES * rans.STEPS, 8 * (rans.LANES + 1)
-    assert np.array_equal(rans.decode_blocks([(span, w, m[3 * width:4 * width])], table)[0], blocks[2][3 * span:4 * span])
+    assert np.array_equal(rans.decode_blocks([(span, w, m[width:2 * width])], table)[0], blocks[2][span:2 * span])
 
 
 def test_scaled_frequencies_with_a_hot_symbol():
@@ -77,13 +77,14 @@ def test_encoder_equals_the_library():
     signs = [*"aB éÉ日🙂\n\t'1,<İΣς", "  ", " the", "\nThe", "TION", "'LL", "\x85", "\xa0", "́", " ", "|>", "<|endoftext|>"]
     texts = ODD + ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(400)]
     encode = rans.Encoder(PATH)
-    assert encode(texts) == library(texts) and encode(texts) == library(texts)
+    for _ in range(2):
+        assert [np.frombuffer(x, encode.kind).astype("<u4").tobytes() for x in encode(texts)] == library(texts)
 
 
 def test_every_sign_between_spaces_and_letters():
     # signs that the file's pattern decides go through the cut; all others are the library's own
     texts = ["".join(f"a{chr(c)}1 {chr(c)} " for c in range(lo, lo + 16)) for lo in range(0, 0x300, 16)]
-    assert rans.Encoder(PATH)(texts) == library(texts)
+    assert [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in rans.Encoder(PATH)(texts)] == library(texts)
 
 
 def expected(rows):
