@@ -32,7 +32,7 @@ SHARD = 1024
 #: Turns of a conversation that a shard holds.
 BLOCK = 128
 #: Nodes with more children are joined to their children apart from the others.
-MANY_CHILDREN = 4096
+MANY_CHILDREN = 64
 
 
 def ordered_turns(conversations: DataFrame) -> DataFrame:
