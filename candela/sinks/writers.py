@@ -73,6 +73,26 @@ def append_quote_log(df: DataFrame, path: str, batch_id: int | None = None) -> N
         df.write.mode("overwrite").json(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
+def enter_rows(spark: SparkSession, log_path: str, batch_id: int, total: int) -> None:
+    """Enters in the log's ledger how many records the log has up to and with a batch (one small file for each batch)."""
+    fs, p = _fs(spark, f"{log_path.rstrip('/')}-ledger/{batch_id}")
+    out = fs.create(p, True)
+    out.write(bytearray(str(total).encode()))
+    out.close()
+
+
+def ledger_rows(spark: SparkSession, log_path: str, but_batch: int | None = None) -> int | None:
+    """Records of the log by its ledger, without ``but_batch`` and what came after it; None without a ledger."""
+    fs, p = _fs(spark, f"{log_path.rstrip('/')}-ledger")
+    if not fs.exists(p):
+        return None
+    batches = [int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit()]
+    batches = [n for n in batches if but_batch is None or n < but_batch]
+    if not batches:
+        return 0
+    return int(spark.read.text(f"{log_path.rstrip('/')}-ledger/{max(batches)}").first()[0])
+
+
 def write_feed(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
     """K3: a chart feed as a table (the drawing itself is not built)."""
     w = df.write.mode("overwrite").format(fmt)

@@ -8,12 +8,16 @@ fraction digits and a ``Z``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candela.functions.expr import iso_utc, py_isoformat, valid_price
 from candela.schemas import QUOTE
 
+_D38 = "decimal(38,0)"
+
 
 def latest_quote(ticks: DataFrame) -> DataFrame:
     """Last tick per ticker by ``(ts, tick_id)`` — ``max_by``, no sort.
@@ -88,12 +92,22 @@ def dedup_quotes(log: DataFrame) -> DataFrame:
 
 
 def snapshot_latest(records: DataFrame) -> DataFrame:
-    """K1 content: latest record per ticker by exchange time, then poll time."""
-    cols = list(records.columns)
-    return (records.groupBy("ticker")
-            .agg(F.max_by(F.struct(*cols), F.struct(quote_instant().alias("i"),
-                                                   F.col("fetched_at"))).alias("r"))
-            .select("r.*"))
+    """K1 content: latest record per ticker by exchange time, then poll time (then price and source, so that
+    any order of merging gives the same).
+
+    Both instants go into one fixed-width key, so the pass over all records is a hash aggregate; the other
+    fields are only compared among the records that carry their ticker's key.
+    """
+    polled = F.coalesce(F.unix_micros(F.try_to_timestamp("fetched_at")), F.lit(-1)).cast(_D38)
+    traded = F.coalesce(F.unix_micros(quote_instant()), F.lit(-1)).cast(_D38)
+    keyed = records.withColumn("_key", (traded * F.lit(Decimal(10 ** 18)).cast(_D38) + polled).cast(_D38))
+    last = keyed.groupBy(F.col("ticker").alias("_t")).agg(F.max("_key").alias("_last"))
+    top = keyed.join(last, F.col("ticker").eqNullSafe(F.col("_t")) & (F.col("_key") == F.col("_last"))) \
+        .select(*records.columns).distinct()
+    fields = [c for c in records.columns if c != "ticker"]
+    order = [c for c in ("fetched_at", "price", "source", "timestamp") if c in fields]
+    nr = F.row_number().over(Window.partitionBy("ticker").orderBy(*(F.col(c).desc() for c in order)))
+    return top.withColumn("_nr", nr).where("_nr = 1").select(*records.columns)
 
 
 def event_quote_log(events: DataFrame, source: str = "events") -> DataFrame:

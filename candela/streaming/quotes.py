@@ -5,11 +5,11 @@ handled by ``foreachBatch``:
 
 1. drop missing quotes (P6),
 2. append the batch to the log in its own ``batch_id=<id>`` folder with
-   overwrite mode — a replayed batch rewrites the same folder (K2),
-3. merge the previous snapshot with the batch, keep the latest record per
-   ticker and write it as snapshot version ``v=<id>`` (K1).  The previous
-   version is read as "highest complete version below <id>", so a replay is
-   idempotent.
+   overwrite mode — a replayed batch rewrites the same folder (K2) — and enter
+   its records in the log's ledger,
+3. amend the snapshot with the batch's latest record per ticker (K1), a
+   :class:`candela.sinks.merged.MergedTable`: a batch writes what it brings and
+   rewrites nothing.
 
 Offsets and progress live in the checkpoint folder: a restart resumes where
 it stopped.
@@ -22,14 +22,24 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from candela.schemas import QUOTE
-from candela.sinks.writers import append_quote_log, list_dirs, read_snapshot, write_snapshot
-from candela.sources.quotes import malformed, quote_instant, snapshot_latest, valid_quotes, well_formed
+from candela.sinks.merged import MergedTable
+from candela.sinks.writers import append_quote_log, enter_rows, ledger_rows, list_dirs
+from candela.sources.quotes import dedup_quotes, malformed, quote_instant, snapshot_latest, valid_quotes, well_formed
 from candela.sources.scans import ticker_filter
 
 
+def latest_table(spark: SparkSession, path: str) -> MergedTable:
+    """The latest record of each ticker."""
+    return MergedTable(spark, path, QUOTE, ["ticker"], snapshot_latest)
+
+
+def first_polls_table(spark: SparkSession, path: str) -> MergedTable:
+    """T5: the earliest poll of each ``(ticker, timestamp)``."""
+    return MergedTable(spark, path, QUOTE, ["ticker", "timestamp"], dedup_quotes)
+
+
 def quote_stream(spark: SparkSession, src: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """S6 streaming: the quote log folder as an unbounded table (fixed schema)."""
     r = spark.readStream.schema(QUOTE)
@@ -55,7 +65,11 @@ LOG_ORDER = ("fetched_at", "ticker", "timestamp", "source", "price")
 
 
 def logged_rows(spark: SparkSession, log_path: str, but_batch: int | None = None) -> int:
-    """Records in the log, without the batch that is about to be written (again)."""
+    """Records in the log, without the batch that is about to be written (again): the ledger's last entry,
+    or a count of the log where it has none."""
+    known = ledger_rows(spark, log_path, but_batch)
+    if known is not None:
+        return known
     if not list_dirs(spark, log_path):
         return 0
     log = spark.read.schema(T.StructType([*QUOTE.fields, T.StructField("batch_id", T.LongType())])).json(log_path)
@@ -77,9 +91,10 @@ def run_quote_stream(spark: SparkSession, src: str, log_path: str, snapshot_path
     loop to these names.
     """
     state = {"before": None, "written": 0}
+    snapshot = latest_table(spark, snapshot_path)
 
     def handle(batch: DataFrame, batch_id: int):
-        if max_rows and state["before"] is None:
+        if state["before"] is None:
             state["before"] = logged_rows(spark, log_path, batch_id)
         left = max_rows - state["before"] - state["written"] if max_rows else None
         if left is not None and left <= 0:
@@ -87,17 +102,16 @@ def run_quote_stream(spark: SparkSession, src: str, log_path: str, snapshot_path
         valid = ticker_filter(valid_quotes(batch), tickers).persist()
         try:
             good, bad = well_formed(valid), malformed(valid)
-            n = good.count()
-            if n < valid.count():
+            n, wrong = valid.agg(F.count_if(quote_instant().isNotNull()), F.count_if(quote_instant().isNull())).first()
+            if wrong:
                 append_quote_log(bad, f"{log_path.rstrip('/')}-rejects", batch_id)
             cut = left is not None and n > left
             if cut:
                 good, n = good.orderBy(*LOG_ORDER).limit(left), left
             if n:
                 append_quote_log(good, log_path, batch_id)
-                prev = read_snapshot(spark, snapshot_path, QUOTE, before=batch_id)
-                merged = snapshot_latest(good if prev is None else prev.unionByName(good))
-                write_snapshot(merged, snapshot_path, version=batch_id)
+                enter_rows(spark, log_path, batch_id, state["before"] + state["written"] + n)
+                snapshot.amend(good, batch_id)
                 state["written"] += n
             if cut:
                 raise RowLimit(LIMIT_REACHED)
@@ -123,62 +137,29 @@ def run_quote_stream(spark: SparkSession, src: str, log_path: str, snapshot_path
     return state["written"]
 
 
-def live_latest(stream: DataFrame) -> DataFrame:
-    """Streaming latest record per ticker (state = one row per ticker)."""
-    cols = [c for c in stream.columns]
-    return (stream.where(F.col("price").isNotNull() & ~F.isnan("price"))
-            .groupBy("ticker")
-            .agg(F.max_by(F.struct(*cols), F.struct(quote_instant().alias("i"),
-                                                   F.col("fetched_at"))).alias("r"))
-            .select("r.*"))
+def _run_amending(stream: DataFrame, table: MergedTable, checkpoint: str, available_now: bool, interval_s: int) -> None:
+    w = stream.writeStream.foreachBatch(table.amend).option("checkpointLocation", checkpoint)
+    _trigger(w, interval_s, available_now).start().awaitTermination()
 
 
 def run_live_latest(spark: SparkSession, src: str, out_path: str, checkpoint: str,
                     max_files_per_trigger: int | None = None, available_now: bool = True,
                     interval_s: int = 5) -> None:
-    """T3 driver: complete-mode aggregate, each trigger rewrites a snapshot version."""
-    def handle(batch: DataFrame, batch_id: int):
-        write_snapshot(batch, out_path, version=batch_id)
-
-    w = (live_latest(quote_stream(spark, src, max_files_per_trigger)).writeStream
-         .outputMode("complete").foreachBatch(handle).option("checkpointLocation", checkpoint))
-    q = _trigger(w, interval_s, available_now).start()
-    q.awaitTermination()
+    """T3 driver: each trigger amends the tickers that it brings; read it with ``latest_table(...).read()``."""
+    _run_amending(valid_quotes(quote_stream(spark, src, max_files_per_trigger)), latest_table(spark, out_path),
+                  checkpoint, available_now, interval_s)
 
 
-def stream_dedup(stream: DataFrame, delay_s: int = 86_400) -> DataFrame:
-    """T5 streaming: one record per ``(ticker, timestamp)``, the earliest poll of its batch.
+def run_dedup(spark: SparkSession, src: str, out_path: str, checkpoint: str, max_files_per_trigger: int | None = None,
+              available_now: bool = True, interval_s: int = 5) -> None:
+    """T5 streaming: one record per ``(ticker, timestamp)``, the earliest poll of all batches.
 
-    The state belongs to the ticker: the exchange timestamps that it has shown
-    within ``delay_s`` of its own latest one.  A ticker that appears late, or
-    trades rarely, is therefore never measured against another ticker's
-    clock; only a quote that is older than its own ticker's latest by more
-    than ``delay_s`` counts as a repeat.
+    A batch is reduced by a hash aggregate and amends the table of first polls.  No quote is late: one that is
+    older than all others gets its record, and an earlier poll that arrives later replaces the one before.
+    Read it with ``first_polls_table(...).read()``: the same as the batch form :func:`dedup_quotes`.
     """
-    columns = stream.columns
-    keyed = stream.withColumn("_us", F.coalesce(F.unix_micros(quote_instant()), F.lit(0)))
-
-    def first_polls(key, frames, state):
-        import pandas as pd
-        seen = dict(zip(*state.get)) if state.exists else {}
-        oldest = max(seen.values()) - delay_s * 1_000_000 if seen else None
-        found: dict = {}
-        for frame in frames:
-            for r in frame.itertuples(index=False, name=None):
-                r = dict(zip([*columns, "_us"], r))
-                known = found.get(r["timestamp"])
-                if known is None or r["fetched_at"] < known["fetched_at"]:
-                    found[r["timestamp"]] = r
-        fresh = [r for t, r in found.items() if t not in seen and (oldest is None or r["_us"] >= oldest)]
-        seen.update((t, int(r["_us"])) for t, r in found.items())
-        newest = max(seen.values())
-        seen = {t: us for t, us in seen.items() if us >= newest - delay_s * 1_000_000}
-        state.update((list(seen), list(seen.values())))
-        if fresh:
-            yield pd.DataFrame([[r[c] for c in columns] for r in fresh], columns=columns)
-
-    return keyed.groupBy("ticker").applyInPandasWithState(
-        first_polls, stream.schema, "texts array<string>, micros array<long>", "append", GroupStateTimeout.NoTimeout)
+    _run_amending(quote_stream(spark, src, max_files_per_trigger), first_polls_table(spark, out_path),
+                  checkpoint, available_now, interval_s)
 
 
 def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
