@@ -87,6 +87,25 @@ def minmax_scale(bars: DataFrame, fit: str = "all", L: int = 60, frac: float = 0
     return bars.join(st, "ticker").withColumn(out, scale_expr(value))
 
 
+def series_chunks(scaled: DataFrame, halo: int, value: str = "s", chunk: int = DEFAULT_CHUNK, extra: tuple = (),
+                  label: str | None = None) -> DataFrame:
+    """One row per chunk of a series: its values in order, with the last ``halo`` values of the chunk before.
+
+    Output ``(ticker, first_pos, own_pos, values array<double>)`` — ``values`` begins at position ``first_pos`` and the chunk's own at
+    ``own_pos`` — with the columns ``extra`` (constant in a ticker) and, if asked for, ``labels``, the column ``label`` of each value.
+    A value travels once, and twice at a chunk's end; windows are cut out of the row.
+    """
+    d = scaled if "pos" in scaled.columns else with_position(scaled)
+    h = with_halo(d.select("ticker", "pos", nan_to_null(value).alias("_v"), *([label] if label else []), *extra), halo=halo, chunk=max(chunk, halo))
+    item = F.struct("pos", "_v", *([label] if label else []))
+    rows = h.groupBy("ticker", "_chunk").agg(
+        F.sort_array(F.collect_list(item)).alias("_c"), F.min(F.when(F.col("_own"), F.col("pos"))).alias("own_pos"),
+        *(F.first(c).alias(c) for c in extra))
+    rows = rows.where("own_pos is not null")         # a halo without a chunk after it
+    return rows.select("ticker", F.col("_c")[0]["pos"].alias("first_pos"), "own_pos", F.col("_c")["_v"].alias("values"),
+                       *([F.col("_c")[label].alias("labels")] if label else []), *extra)
+
+
 def sequence_samples(scaled: DataFrame, L: int = 60, value: str = "s",
                      chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """x = the L previous values, y = the current one; max(0, n - L) per ticker.
@@ -94,19 +113,18 @@ def sequence_samples(scaled: DataFrame, L: int = 60, value: str = "s",
     Output ``(ticker, bar_date, k, x array<double>, y)``, k = 1..n-L, and ``n``
     (the ticker's samples) where the input knows its series length.  A missing
     value keeps its place; a sample that contains one, or lacks ``y``, is left out.
+    The series travels as chunks of values; a sample's x is a slice of its chunk, cut where it is used.
     """
     d = scaled if "pos" in scaled.columns else with_position(scaled)
-    known = ["n"] if "n" in d.columns else []
-    v = nan_to_null(value)
-    h = with_halo(d.select("ticker", "bar_date", "pos", v.alias("_v"), *known), halo=L, chunk=max(chunk, L))
-    w = chunk_window().rowsBetween(-L, -1)
-    # structs are collected with their NULLs, which bare values would drop and so shift the lags
-    h = owned(h.withColumn("_x", F.collect_list(F.struct("_v")).over(w)))
-    whole = F.col("_v").isNotNull() & ~F.exists("_x", lambda e: e["_v"].isNull())
-    return (h.where((F.col("pos") > L) & whole)
-            .select("ticker", "bar_date", (F.col("pos") - L).alias("k"),
-                    F.transform("_x", lambda e: e["_v"]).alias("x"), F.col("_v").alias("y"),
-                    *((F.greatest(F.col(c) - L, F.lit(0))).alias(c) for c in known)))
+    known = ("n",) if "n" in d.columns else ()
+    c = series_chunks(d, L, value, chunk, known, label="bar_date")
+    start = F.greatest(F.col("own_pos") - F.col("first_pos"), F.lit(L) - F.col("first_pos") + 1)      # place of the first target
+    places = F.when(start < F.size("values"), F.sequence(start, F.size("values").cast("long") - 1))
+    s = c.withColumn("_at", F.explode(places.cast("array<int>")))
+    s = s.select("ticker", F.col("labels")[F.col("_at")].alias("bar_date"), (F.col("first_pos") + F.col("_at") - L).alias("k"),
+                 F.slice("values", F.col("_at") - L + 1, F.lit(L)).alias("x"), F.col("values")[F.col("_at")].alias("y"),
+                 *(F.greatest(F.col(x) - L, F.lit(0)).alias(x) for x in known))
+    return s.where(F.col("y").isNotNull() & ~F.exists("x", lambda e: e.isNull()))
 
 
 def sequence_samples_plain(scaled: DataFrame, L: int = 60, value: str = "s") -> DataFrame:

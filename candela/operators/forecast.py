@@ -6,15 +6,15 @@ models are Spark ones:
 * ``ar1`` — per-ticker AR(1) on the scaled series, fitted with the
   ``regr_slope``/``regr_intercept`` aggregates (a partial aggregate per
   ticker, nothing gathered).
-* ``lr`` — one pooled ``LinearRegression`` on the L lagged values of all
-  tickers (normal-equation solver: one distributed pass building an L×L Gram
-  matrix).
-* ``gbt`` — a pooled ``GBTRegressor`` for the non-linear case.
-
-Only model coefficients (≤ L + 1 numbers) reach the driver.  A linear
-roll-out is a higher-order ``aggregate`` over ``sequence(1, days)`` on one
-row per ticker; a non-linear one is ``days`` successive ``transform`` calls
-on that one-row-per-ticker table, with a reliable checkpoint every few steps.
+* ``lr`` — one pooled linear model on the L lagged values of all tickers: from
+  the sums of lagged products (:mod:`candela.operators.gram`) or, by epochs,
+  ``LinearRegression``.
+* ``gbt`` — pooled boosted trees for the non-linear case: ``GBTRegressor``, or
+  trees grown until the validation loss stops falling (:mod:`candela.operators.trees`).
+
+Only model coefficients and thresholds reach the driver.  A roll-out is a
+higher-order ``aggregate`` over ``sequence(1, days)`` on one row per ticker,
+with the model as a column expression.
 """
 
 from __future__ import annotations
@@ -195,56 +195,40 @@ def fit_gbt(train: DataFrame, epochs: int = 20, depth: int = 3, validation: str
     return GBTRegressor(**kw).fit(with_features(train))
 
 
-def stop_after(losses, patience: int) -> tuple[int, int]:
-    """Rounds trained until ``patience`` rounds bring no better loss, and the best round (both from 1)."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return i + 1, best + 1
-    return len(losses), best + 1
-
-
 def fit_gbt_patience(train: DataFrame, valid: DataFrame, epochs: int = 20, patience: int = 3, depth: int = 3,
                      seed: int = 7):
-    """M4: boosting that stops when ``patience`` rounds in a row have not improved the
-    validation loss, and keeps the best round's model.
+    """M4: boosting that ends when ``patience`` rounds in a row have not improved the
+    validation loss, and keeps the best round's trees.
 
-    Returns the model, the rounds until the stop and the best round.  Trees
-    are grown one after the other from a fixed seed, so the model of the best
-    round is the beginning of the longer one.
+    Returns the model, the rounds grown and the best round (both from 1).
     """
-    full = fit_gbt(train, epochs, depth, seed=seed)
-    losses = full.evaluateEachIteration(with_features(valid), "squared")
-    stopped, best = stop_after(losses, max(1, patience))
-    model = full if best == len(losses) else fit_gbt(train, best, depth, seed=seed)
-    return model, stopped, best
+    from candela.operators.trees import grow_until
+    model, losses = grow_until(train, valid, epochs, patience, depth, seed=seed)
+    return model, len(losses), len(model.trees)
 
 
 def predict(model, samples: DataFrame) -> DataFrame:
-    """M2: ``model.transform`` of the samples, prediction in ``yhat_s``."""
+    """M2: the model's prediction of the samples in ``yhat_s``."""
+    if hasattr(model, "save_to"):
+        return model.transform(samples)
+    if not hasattr(model, "transform"):
+        weights = F.array(*(F.lit(float(w)) for w in model.coefficients))
+        dot = F.aggregate(F.zip_with("x", weights, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+        return samples.withColumn("yhat_s", F.lit(float(model.intercept)) + dot)
     return model.transform(with_features(samples)).drop("features")
 
 
-def rollout_model(model, seeds: DataFrame, days: int = 30, L: int = 60,
-                  checkpoint_every: int = 3) -> DataFrame:
-    """F5 for any fitted model: ``days`` transforms of one row per ticker.
+def rollout_model(model, seeds: DataFrame, days: int = 30, L: int = 60) -> DataFrame:
+    """F5 for a model of trees: predict, drop the oldest value, append, repeat.
 
-    The table has one row per ticker, so each step is small.  Each step
-    reads the window column twice, so collapsed projections would double in
-    size per step; a reliable ``checkpoint`` to the shared folder every few
-    steps keeps both the plan and the generated code small.
+    The trees are one column expression over the last L values, folded over the days on one row per
+    ticker: no loop in the driver, no table between two days.  Adds ``path array<double>`` of ``days`` values.
     """
-    from pyspark.ml.functions import array_to_vector
-    cur = seeds.withColumn("_w", F.col("seed").cast("array<double>")) \
-        .withColumn("path", F.array().cast("array<double>"))
-    for i in range(1, days + 1):
-        feats = cur.withColumn("features", array_to_vector(F.slice("_w", -L, L)))
-        pred = model.transform(feats)
-        cur = pred.select(*[c for c in cur.columns if c not in ("_w", "path")],
-                          F.concat("_w", F.array("yhat_s")).alias("_w"),
-                          F.concat("path", F.array("yhat_s")).alias("path"))
-        if checkpoint_every and i % checkpoint_every == 0 and i < days:
-            cur = cur.checkpoint(eager=True)
-    return cur.drop("_w")
+    from candela.operators.trees import model_column
+
+    def step(acc, _day):
+        return F.concat(acc, F.array(model_column(model, lambda i: F.element_at(acc, i - L))))
+
+    start = F.slice(F.col("seed").cast("array<double>"), -L, L)
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(days)), start, step)
+    return seeds.withColumn("path", F.slice(path, -days, days))

@@ -295,6 +295,42 @@ ORACLE["training_status"] = with_(LINE_TICKS, BRAND_BARS) + f"""
 SELECT ticker, n, n_samples, {cut('n_samples', 0.8)} AS n_train,
        CASE WHEN {cut('n_samples', 0.8)} >= 100 THEN 'ok' ELSE 'insufficient_history' END AS status FROM t"""
 
+# the normal equations of all train windows, solved by elimination: f holds the L values, 1 and the target
+LINEAR = f"""train AS (
+  SELECT list_concat(x, [1.0::DOUBLE, y]) AS f FROM (SELECT *, {_NS} AS ns FROM samples WHERE k > 0) WHERE k <= {cut('ns', 0.8)}),
+gram AS (
+  SELECT i, list(g ORDER BY j) AS g FROM (
+    SELECT i, j, sum(f[i] * f[j]) AS g FROM train, range(1, {L + 2}) r(i), range(1, {L + 3}) c(j) GROUP BY i, j) GROUP BY i),
+gauss(k, m) AS (
+  SELECT 0::BIGINT, list(g ORDER BY i) FROM gram
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda r, nr: CASE WHEN nr = k + 1 THEN p ELSE list_transform(r, lambda v, c: v - r[k + 1] * p[c]) END)
+  FROM (SELECT k, m, list_transform(m[k + 1], lambda v: v / m[k + 1][k + 1]) AS p FROM gauss WHERE k < {L + 1})),
+weights AS (SELECT list_transform(m, lambda r: r[{L + 2}]) AS w FROM gauss WHERE k = {L + 1})"""
+_LINEAR = "WITH RECURSIVE " + ",\n".join((*BASE, SAMPLES, LINEAR))
+_DOT = f"(list_dot_product(x, w[1:{L}]) + w[{L + 1}])"
+ORACLE["lr_fit"] = _LINEAR + f"""
+SELECT CASE WHEN i > {L} THEN 0 ELSE {L + 1} - i END::INTEGER AS lag, round(w[i], 6) AS weight FROM weights, range(1, {L + 2}) r(i)"""
+ORACLE["forecast_lr"] = _LINEAR + f""",
+seeds AS (SELECT ticker, list(s ORDER BY pos) AS x, any_value(lo) AS lo, any_value(hi) AS hi, max(bar_date) AS last_date
+          FROM scaled WHERE n > {L} AND pos > n - {L} GROUP BY ticker),
+roll(ticker, step, x, lo, hi, last_date) AS (
+  SELECT ticker, 0, x, lo, hi, last_date FROM seeds
+  UNION ALL
+  SELECT ticker, step + 1, list_append(x[2:], {_DOT}), lo, hi, last_date FROM roll, weights WHERE step < 30)
+SELECT ticker, step::INTEGER AS step, last_date + step::INTEGER AS target_date, round(x[{L}] * {RNG} + lo, 2) AS yhat FROM roll WHERE step > 0"""
+ORACLE["rmse_lr"] = _LINEAR + f""",
+test AS (
+  SELECT s.ticker, s.y * {RNG} + lo AS actual, {_DOT} * {RNG} + lo AS predicted
+  FROM (SELECT *, {_NS} AS ns FROM samples WHERE k > 0) s JOIN scaled p ON p.ticker = s.ticker AND p.pos = s.pos, weights
+  WHERE k > {cut('ns', 0.8)})
+SELECT ticker, round(sqrt(avg((actual - predicted) * (actual - predicted))), 2) AS rmse, count(*) AS n FROM test GROUP BY ticker"""
+ORACLE["loss_curve"] = "SELECT true AS falls, true AS ends_at_least_squares"
+ORACLE["gbt_early_stop"] = "SELECT true AS stopped_in_time, true AS kept_best, true AS loss_is_that_round"
+ORACLE["gbt_rollout_check"] = with_(ORDER_TICKS, ORDER_BARS) + f"""
+SELECT ticker, step::INTEGER AS step, true AS agrees
+FROM (SELECT ticker FROM order_bars GROUP BY ticker HAVING count(*) > {L}), range(1, 31) r(step)"""
+
 # least squares: no lag is left in the residuals; a saved model predicts the same; trees beat the last close
 ORACLE["lr_normal_equations"] = f"SELECT lag::INTEGER AS lag, 0.0::DOUBLE AS product FROM range({L + 1}) r(lag)"
 ORACLE["model_roundtrip"] = with_(*BASE, SAMPLES) + f"""
@@ -403,16 +439,12 @@ ORACLE["grid_feed"] = with_(ORDER_TICKS, ORDER_BARS, ORDER_LATEST) + f"""
 ORACLE["stream_quote_log"] = ORACLE["poll_log"]
 ORACLE["stream_snapshot"] = ORACLE["quote_snapshot"]
 ORACLE["stream_latest"] = ORACLE["quote_snapshot"]
-ORACLE["stream_dedup"] = with_(QUOTE_LOG) + """
-SELECT DISTINCT ticker, "timestamp" FROM plog"""
+ORACLE["stream_dedup"] = ORACLE["dedup_quotes"]
 ORACLE["stream_resume"] = ORACLE["poll_log"]
 ORACLE["stream_max_rows"] = with_(QUOTE_LOG) + """
 SELECT * FROM plog ORDER BY fetched_at, ticker, "timestamp", source, price LIMIT 1000"""
 
-# append mode emits a window once the final watermark (max event time - 1 hour) passed its end
-ORACLE["stream_bars"] = with_(EVENT_TICKS, EVENT_BARS_H) + f"""
-SELECT ticker, bar_ts, {ROUND_BARS}, volume, n_ticks FROM event_bars
-WHERE bar_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM event_ticks) - INTERVAL 1 HOUR"""
+ORACLE["stream_bars"] = ORACLE["bars_hourly"]
 
 # ---------------------------------------------------------------- exports
 ORACLE["feed_export"] = ORACLE["candle_feed"]

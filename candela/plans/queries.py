@@ -477,10 +477,9 @@ def q_stream_quote_log(spark, sf_dir):
 
 @query("stream_snapshot")
 def q_stream_snapshot(spark, sf_dir):
-    from candela.schemas import QUOTE
-    from candela.sinks.writers import read_snapshot
+    from candela.streaming.quotes import latest_table
     _, snap = _run_quote_stream(spark, sf_dir, max_files_per_trigger=2)
-    return read_snapshot(spark, snap, QUOTE)
+    return latest_table(spark, snap).read()
 
 
 MAX_ROWS = 1000   # rows after which the limited stream stops (the limit is the feature)
@@ -507,34 +506,35 @@ def q_stream_resume(spark, sf_dir):
 
 @query("stream_latest")
 def q_stream_latest(spark, sf_dir):
-    from candela.schemas import QUOTE
     from candela.session import scratch_path
-    from candela.sinks.writers import read_snapshot
-    from candela.streaming.quotes import run_live_latest
+    from candela.streaming.quotes import latest_table, run_live_latest
     src = _quote_files(spark, sf_dir)
     base = scratch_path(spark, "live-latest")
     run_live_latest(spark, src, f"{base}/out", f"{base}/_checkpoint", max_files_per_trigger=3)
-    return read_snapshot(spark, f"{base}/out", QUOTE)
+    return latest_table(spark, f"{base}/out").read()
 
 
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     from candela.session import scratch_path
-    from candela.streaming.quotes import quote_stream, run_to_parquet, stream_dedup
+    from candela.streaming.quotes import first_polls_table, run_dedup
     src = _quote_files(spark, sf_dir)
     base = scratch_path(spark, "dedup")
-    run_to_parquet(stream_dedup(quote_stream(spark, src, max_files_per_trigger=2)), f"{base}/out", f"{base}/_checkpoint")
-    return spark.read.parquet(f"{base}/out").select("ticker", "timestamp")
+    run_dedup(spark, src, f"{base}/out", f"{base}/_checkpoint", max_files_per_trigger=2)
+    return first_polls_table(spark, f"{base}/out").read()
 
 
 @query("stream_bars")
 def q_stream_bars(spark, sf_dir):
     from candela.session import scratch_path
-    from candela.streaming.bars import event_bar_stream
+    from candela.sources.ticks import event_ticks
+    from candela.streaming.bars import event_stream, read_bars, run_bars
+    from candela.sources.tables import read_table
     base = scratch_path(spark, "stream-bars")
-    from candela.streaming.quotes import run_to_parquet
-    run_to_parquet(event_bar_stream(spark, sf_dir), f"{base}/out", f"{base}/_checkpoint")
-    return spark.read.parquet(f"{base}/out")
+    # files in no order of time: every batch brings ticks of windows that earlier ones have filled
+    read_table(spark, sf_dir, "events").repartition("event_id").write.parquet(f"{base}/in/events.parquet")
+    run_bars(event_ticks(event_stream(spark, f"{base}/in", max_files_per_trigger=4)), f"{base}/out", f"{base}/_checkpoint")
+    return read_bars(spark, f"{base}/out")
 
 
 # ---------------------------------------------------------------- Spark ML models
@@ -546,10 +546,15 @@ def _ml_parts(spark, sf_dir):
 
 
 def _lr(spark, sf_dir):
-    from candela.operators.forecast import fit_linear
-    d, samples = _ml_parts(spark, sf_dir)
-    model = fit_linear(samples.where(F.col("split") == "train"), solver="normal")
-    return d, samples, model
+    """The scaled series and the pooled linear model of its train samples, from lagged products."""
+    from candela.operators.gram import fit_linear_gram
+    d = scaled_orders(spark, sf_dir)
+    return d, fit_linear_gram(d, L, FRAC)
+
+
+def _split_samples(d):
+    from candela.operators.features import chrono_split, sequence_samples
+    return chrono_split(sequence_samples(d, L), FRAC)
 
 
 def _model_forecast(d, seeds_path_df, days=DAYS):
@@ -560,34 +565,45 @@ def _model_forecast(d, seeds_path_df, days=DAYS):
     return out.select("ticker", "step", "target_date", inverse_scale_expr("yhat_s").alias("yhat"))
 
 
+@query("lr_fit")
+def q_lr_fit(spark, sf_dir):
+    """M1: the weight of each lag (0: the constant)."""
+    _, fit = _lr(spark, sf_dir)
+    rows = [(0, fit.intercept), *((L - i, w) for i, w in enumerate(fit.coefficients))]
+    return rounded(spark.createDataFrame(rows, "lag int, weight double"))
+
+
 @query("forecast_lr")
 def q_forecast_lr(spark, sf_dir):
     from candela.operators.features import seed_window
     from candela.operators.forecast import rollout_linear
-    d, _, model = _lr(spark, sf_dir)
-    seeds = seed_window(d, L, "latest")
-    rolled = rollout_linear(seeds, [float(v) for v in model.coefficients], float(model.intercept), DAYS)
-    return _model_forecast(d, rolled.select("ticker", "path"))
+    d, fit = _lr(spark, sf_dir)
+    rolled = rollout_linear(seed_window(d, L, "latest"), fit.coefficients, fit.intercept, DAYS)
+    return rounded(_model_forecast(d, rolled.select("ticker", "path")), 2)
 
 
 @query("rmse_lr")
 def q_rmse_lr(spark, sf_dir):
     from candela.operators.features import inverse_scale_expr
     from candela.operators.forecast import predict
-    d, samples, model = _lr(spark, sf_dir)
+    d, fit = _lr(spark, sf_dir)
     st = d.where(F.col("pos") == F.col("n")).select("ticker", "lo", "hi")
-    pred = predict(model, samples.where(F.col("split") == "test")).join(st, "ticker")
-    return agg.rmse(pred.select("ticker", inverse_scale_expr("y").alias("actual"),
-                                inverse_scale_expr("yhat_s").alias("predicted")))
+    pred = predict(fit, _split_samples(d).where(F.col("split") == "test")).join(st, "ticker")
+    return rounded(agg.rmse(pred.select("ticker", inverse_scale_expr("y").alias("actual"),
+                                        inverse_scale_expr("yhat_s").alias("predicted"))), 2)
 
 
 @query("loss_curve")
 def q_loss_curve(spark, sf_dir):
-    from candela.operators.forecast import fit_linear
-    _, samples = _ml_parts(spark, sf_dir)
-    model = fit_linear(samples.where(F.col("split") == "train"), epochs=20, solver="l-bfgs")
-    hist = list(model.summary.objectiveHistory)          # at most maxIter + 1 numbers
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iter int, loss double")
+    """M3: every pass of the iterative solver lowers the loss, and the last is that of the least-squares fit."""
+    from candela.operators.forecast import fit_linear, predict
+    d, fit = _lr(spark, sf_dir)
+    train = _split_samples(d).where(F.col("split") == "train")
+    model = fit_linear(train, epochs=200, solver="l-bfgs", tol=1e-12)
+    hist = [float(v) for v in model.summary.objectiveHistory]          # at most maxIter + 1 numbers
+    falls = all(b <= a for a, b in zip(hist, hist[1:])) and hist[-1] < hist[0]
+    loss = predict(model, train).agg(F.avg((F.col("y") - F.col("yhat_s")) ** 2).alias("loss"))
+    return loss.select(F.lit(falls).alias("falls"), (F.abs(F.col("loss") / F.lit(fit.loss) - 1) < 1e-6).alias("ends_at_least_squares"))
 
 
 @query("lr_normal_equations")
@@ -595,8 +611,8 @@ def q_lr_normal_equations(spark, sf_dir):
     """The fit in one row for each lag (0: the constant): least squares leaves residuals
     that are orthogonal to every lag, so each mean product is 0."""
     from candela.operators.forecast import predict
-    _, samples, model = _lr(spark, sf_dir)
-    r = predict(model, samples.where(F.col("split") == "train")).withColumn("e", F.col("y") - F.col("yhat_s"))
+    d, fit = _lr(spark, sf_dir)
+    r = predict(fit, _split_samples(d).where(F.col("split") == "train")).withColumn("e", F.col("y") - F.col("yhat_s"))
     sums = r.agg(F.avg("e").alias("m0"), *(F.avg(F.col("e") * F.element_at("x", i + 1)).alias(f"m{i + 1}") for i in range(L)))
     lags = F.array(*(F.struct(F.lit(i).alias("lag"), F.abs(F.round(F.col(f"m{i}"), 6)).alias("product")) for i in range(L + 1)))
     return sums.select(F.explode(lags).alias("l")).select("l.lag", "l.product")
@@ -605,10 +621,11 @@ def q_lr_normal_equations(spark, sf_dir):
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     """K4: test predictions of the saved and the loaded model, and how many differ."""
-    from candela.operators.forecast import predict
+    from candela.operators.forecast import fit_linear, predict
     from candela.session import scratch_path
     from candela.sinks.models import load_model, save_model
-    _, samples, model = _lr(spark, sf_dir)
+    _, samples = _ml_parts(spark, sf_dir)
+    model = fit_linear(samples.where(F.col("split") == "train"), solver="normal")
     path = scratch_path(spark, "model")
     save_model(model, path)
     test = samples.where(F.col("split") == "test")
@@ -617,15 +634,21 @@ def q_model_roundtrip(spark, sf_dir):
     return a.join(b, ["ticker", "k"]).agg(F.count("*").alias("n"), F.count_if(F.col("saved") != F.col("loaded")).alias("differ"))
 
 
-def _gbt(spark, sf_dir, patience=0):
+EPOCHS, PATIENCE = 12, 3
+
+
+def _gbt_samples(spark, sf_dir):
+    """The scaled series, and its samples in three parts, written once: every tree reads them."""
     from candela.operators.features import sequence_samples, three_way_split
-    from candela.operators.forecast import fit_gbt, fit_gbt_patience
+    from candela.plans.materialize import materialize
     d = scaled_orders(spark, sf_dir)
-    s = three_way_split(sequence_samples(d, L), 0.7, 0.15)
-    train, valid = (s.where(F.col("split") == x) for x in ("train", "valid"))
-    if patience:
-        return d, s, fit_gbt_patience(train, valid, epochs=12, patience=patience)[0]
-    return d, s, fit_gbt(train, epochs=10)
+    return d, materialize(three_way_split(sequence_samples(d, L), 0.7, 0.15), "samples")
+
+
+def _gbt(spark, sf_dir):
+    from candela.operators.forecast import fit_gbt
+    d, s = _gbt_samples(spark, sf_dir)
+    return d, s, fit_gbt(s.where(F.col("split") == "train"), epochs=10)
 
 
 @query("gbt_beats_persistence")
@@ -638,26 +661,61 @@ def q_gbt_beats_persistence(spark, sf_dir):
     return pred.groupBy("ticker").agg((square(F.col("yhat_s")) < square(F.element_at("x", -1))).alias("better"))
 
 
-@query("forecast_gbt")
-def q_forecast_gbt(spark, sf_dir):
+def _gbt_rollout(spark, sf_dir):
     from candela.operators.features import seed_window
     from candela.operators.forecast import rollout_model
     d, _, model = _gbt(spark, sf_dir)
-    seeds = seed_window(d, L, "latest").select("ticker", "seed")
-    rolled = rollout_model(model, seeds, DAYS, L)
+    return d, model, rollout_model(model, seed_window(d, L, "latest").select("ticker", "seed"), DAYS, L)
+
+
+@query("forecast_gbt")
+def q_forecast_gbt(spark, sf_dir):
+    d, _, rolled = _gbt_rollout(spark, sf_dir)
     return _model_forecast(d, rolled.select("ticker", "path"))
 
 
+@query("gbt_rollout_check")
+def q_gbt_rollout_check(spark, sf_dir):
+    """every day of the folded roll-out is what the fitted model itself predicts from the L values before."""
+    from candela.operators.forecast import explode_path, predict
+    d, model, rolled = _gbt_rollout(spark, sf_dir)
+    whole = F.concat(F.col("seed").cast("array<double>"), F.col("path"))
+    days = explode_path(rolled.withColumn("whole", whole), out="folded")
+    windows = days.withColumn("x", F.slice("whole", F.size("whole") - DAYS + F.col("step") - L, F.lit(L)))
+    pred = predict(model, windows.select("ticker", "step", "x", "folded"))
+    return pred.select("ticker", "step", (F.abs(F.col("yhat_s") - F.col("folded")) < 1e-9).alias("agrees"))
+
+
+def _gbt_patience(spark, sf_dir):
+    from candela.operators.trees import grow_until
+    d, s = _gbt_samples(spark, sf_dir)
+    train, valid = (s.where(F.col("split") == x) for x in ("train", "valid"))
+    return d, s, valid, *grow_until(train, valid, EPOCHS, PATIENCE)
+
+
 @query("gbt_early_stop")
 def q_gbt_early_stop(spark, sf_dir):
+    """M4: the rounds grown after the best one are the patience (unless the epochs end first), and the trees kept
+    have the lowest validation loss of all rounds, measured anew on the validation samples."""
+    from candela.operators.forecast import predict
+    _, _, valid, model, losses = _gbt_patience(spark, sf_dir)
+    grown, best = len(losses), len(model.trees)
+    error = predict(model, valid).agg(F.avg((F.col("y") - F.col("yhat_s")) ** 2).alias("loss"))
+    return error.select(F.lit(grown - best == PATIENCE or grown == EPOCHS).alias("stopped_in_time"),
+                        F.lit(losses[best - 1] == min(losses)).alias("kept_best"),
+                        (F.abs(F.col("loss") - F.lit(losses[best - 1])) < 1e-12).alias("loss_is_that_round"))
+
+
+@query("gbt_early_stop_rmse")
+def q_gbt_early_stop_rmse(spark, sf_dir):
     from candela.operators.features import inverse_scale_expr
     from candela.operators.forecast import predict
-    d, s, model = _gbt(spark, sf_dir, patience=3)
+    d, s, _, model, losses = _gbt_patience(spark, sf_dir)
     st = d.where(F.col("pos") == F.col("n")).select("ticker", "lo", "hi")
     pred = predict(model, s.where(F.col("split") == "test")).join(st, "ticker")
     out = agg.rmse(pred.select("ticker", inverse_scale_expr("y").alias("actual"),
                                inverse_scale_expr("yhat_s").alias("predicted")))
-    return out.withColumn("n_trees", F.lit(len(model.trees)))
+    return out.withColumn("n_trees", F.lit(len(model.trees))).withColumn("n_grown", F.lit(len(losses)))
 
 
 # ---------------------------------------------------------------- exports

@@ -19,7 +19,10 @@ def save_model(model, path: str, metric: float | None = None) -> bool:
         old = saved_metric(spark, path)
         if old is not None and old <= metric:
             return False
-    model.write().overwrite().save(f"{path}/model")
+    if hasattr(model, "save_to"):
+        model.save_to(f"{path}/model")
+    else:
+        model.write().overwrite().save(f"{path}/model")
     spark.createDataFrame([(json.dumps({"class": type(model).__name__, "metric": metric}),)], "value string") \
         .write.mode("overwrite").text(f"{path}/about")
     return True
@@ -38,7 +41,11 @@ def saved_metric(spark: SparkSession, path: str) -> float | None:
 def load_model(spark: SparkSession, path: str):
     """The model that :func:`save_model` wrote."""
     from pyspark.ml import regression
+
+    from candela.operators.trees import BoostedTrees
     about = _about(spark, path)
     if about is None:
         raise FileNotFoundError(f"no saved model at {path}")
+    if about["class"] == BoostedTrees.__name__:
+        return BoostedTrees.load_from(spark, f"{path.rstrip('/')}/model")
     return getattr(regression, about["class"]).load(f"{path.rstrip('/')}/model")

@@ -101,10 +101,82 @@ def test_one_sample_and_nothing_to_train_on_forecasts_persistence(spark):
     assert {round(r.yhat, 9) for r in f.collect()} == {7.0}
 
 
-def test_stop_after_patience():
-    assert fc.stop_after([5, 4, 3, 3.5, 3.6, 1], 2) == (5, 3)
-    assert fc.stop_after([5, 4, 3, 3.5, 2, 1], 2) == (6, 6)
-    assert fc.stop_after([1.0], 1) == (1, 1)
+def _samples(spark, n=160, noise=0.0):
+    import random
+    rng = random.Random(3)
+    rows = [("A", D0 + dt.timedelta(days=i), i, [float(i % 7), float((i * 3) % 5)], float(i % 7 > 3) + noise * rng.random()) for i in range(n)]
+    return spark.createDataFrame(rows, "ticker string, bar_date date, k int, x array<double>, y double")
+
+
+def test_boosting_stops_where_it_should(spark, monkeypatch):
+    """Trees are counted as they are fitted: the best round, and the patience after it, no more."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from candela.operators.trees import grow_until
+    fits = []
+    fit = DecisionTreeRegressor.fit
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    s = _samples(spark, noise=3.0)
+    for patience in (1, 3):
+        fits.clear()
+        model, losses = grow_until(s.where("k < 110"), s.where("k >= 110"), epochs=40, patience=patience)
+        best = losses.index(min(losses)) + 1
+        assert len(fits) == len(losses) == best + patience < 40 and len(model.trees) == best
+    fits.clear()
+    _, losses = grow_until(s.where("k < 110"), s.where("k >= 110"), epochs=2, patience=9)
+    assert len(fits) == len(losses) == 2
+
+
+def test_trees_as_columns_predict_what_the_models_predict(spark):
+    from candela.operators.trees import grow_until, model_column
+    s = _samples(spark, noise=1.0)
+    gbt = fc.fit_gbt(s, epochs=5)
+    at = lambda i: F.element_at("x", i + 1)
+    both = fc.predict(gbt, s).withColumn("column", model_column(gbt, at))
+    assert both.where(F.abs(F.col("column") - F.col("yhat_s")) > 1e-12).count() == 0
+    grown, losses = grow_until(s, s, epochs=4, patience=4)
+    assert losses == sorted(losses, reverse=True)          # on its own training rows boosting only gets better
+    error = fc.predict(grown, s).agg(F.avg((F.col("y") - F.col("yhat_s")) ** 2)).first()[0]
+    assert abs(error - losses[-1]) < 1e-12
+
+
+def test_tree_rollout_feeds_predictions_back(spark):
+    s = _samples(spark, noise=1.0)
+    gbt = fc.fit_gbt(s, epochs=4)
+    seeds = spark.createDataFrame([("A", [9.0, 3.0, 1.0]), ("B", [0.0, 4.0, 4.5])], "ticker string, seed array<double>")
+    paths = {r.ticker: r.path for r in fc.rollout_model(gbt, seeds, days=6, L=2).collect()}
+    for ticker, window in (("A", [3.0, 1.0]), ("B", [4.0, 4.5])):
+        for value in paths[ticker]:
+            one = spark.createDataFrame([(window,)], "x array<double>")
+            assert abs(fc.predict(gbt, one).first().yhat_s - value) < 1e-12
+            window = [window[1], value]
+
+
+def test_gram_matrix_equals_the_windows(spark):
+    import numpy as np
+    from candela.operators.features import chrono_split, scaled_series, sequence_samples
+    from candela.operators.gram import fit_linear_gram, gram_matrix, solve, window_products
+    rng = np.random.default_rng(2)
+    v = rng.random(50)
+    for a, b in ((4, 49), (4, 4), (10, 30), (5, 4)):
+        w = np.array([[*v[t - 4:t + 1][::-1], 1.0] for t in range(a, b + 1)]).reshape(-1, 6)
+        assert np.allclose(window_products(v, a, b, 4), w.T @ w, atol=1e-12)
+    rows = [(t, D0 + dt.timedelta(days=i), float(p)) for t, n in (("A", 200), ("B", 90), ("C", 7), ("D", 5)) for i, p in enumerate(rng.random(n))]
+    rows += [("E", D0 + dt.timedelta(days=i), None if i in (20, 41) else float(p)) for i, p in enumerate(rng.random(70))]
+    scaled = scaled_series(spark.createDataFrame(rows, "ticker string, bar_date date, close double"))
+    train = chrono_split(sequence_samples(scaled, 6), 0.8).where("split = 'train'")
+    x = np.array([[r.y, *r.x[::-1], 1.0] for r in train.collect()])
+    for chunk in (16, 4096):
+        g = gram_matrix(scaled, 6, 0.8, chunk=chunk)
+        assert np.allclose(g, x.T @ x, atol=1e-10)
+    fit, ml = fit_linear_gram(scaled, 6), fc.fit_linear(train, solver="normal")
+    assert np.allclose(fit.coefficients, ml.coefficients, atol=1e-9) and abs(fit.intercept - ml.intercept) < 1e-9
+    pred = fc.predict(fit, train).agg(F.avg((F.col("y") - F.col("yhat_s")) ** 2)).first()[0]
+    assert abs(pred - fit.loss) < 1e-12 and fit.n == len(x)
+    assert [r.path for r in fc.rollout_linear(spark.createDataFrame([("A", [0.5] * 6)], "ticker string, seed array<double>"),
+                                              fit.coefficients, fit.intercept, 2).collect()]
+    import pytest
+    with pytest.raises(ValueError, match="no sample"):
+        solve(np.zeros((8, 8)))
 
 
 def test_patience_keeps_the_best_round_and_models_are_saved(spark, tmp_path):
