@@ -42,7 +42,8 @@ def build_bars(ticks: DataFrame, period: str = "day", last_ts: bool = False) ->
     (:func:`candela.sources.quotes.latest_from_bars`) without a second pass
     over the ticks."""
     pcol, pname = period_column(period)
-    order = tick_order(ticks)
+    # ticks that know their order within a day need no time in the key of daily bars
+    order = F.col("day_seq") if period == "day" and "day_seq" in ticks.columns else tick_order(ticks)
     return (ticks
             .select("ticker", pcol, "price", "qty", "ts", order.alias("_o"))
             .groupBy("ticker", pname)

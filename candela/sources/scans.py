@@ -115,10 +115,17 @@ def tickers_without_data(bars: DataFrame, tickers, start=None, end=None) -> Data
 
 
 def head_rows(stocks: DataFrame, tickers, n: int = 5) -> DataFrame:
-    """G1: first n rows in union order (ticker list order, then date)."""
+    """G1: first n rows in union order (ticker list order, then date).
+
+    Which rows these are is settled on tickers and dates alone, so that of bars only the keys are
+    grouped; Catalyst then pushes the semi-join with the n keys (their bound is n, so they are broadcast) below
+    the union and the aggregates of the bars, which read the ticks of n bars and no others.
+    """
     req = requested(stocks.sparkSession, tickers, col="Ticker")
     # the request reaches the scans as a filter; the join only adds the list order
-    return (ticker_filter(stocks, tickers, "Ticker").join(req, "Ticker")
+    asked = ticker_filter(stocks, tickers, "Ticker")
+    first = asked.select("Ticker", "Date").join(req, "Ticker").orderBy("pos", "Date").limit(n).select("Ticker", "Date")
+    return (asked.join(F.broadcast(first.distinct()), ["Ticker", "Date"], "left_semi").join(req, "Ticker")
             .orderBy("pos", "Date").limit(n)
             .select("Date", "Close", "Ticker"))
 

@@ -32,6 +32,19 @@ def seq_key(ts: str = "ts", tick_id: str = "tick_id") -> Column:
             + F.coalesce(F.col(tick_id).cast(_D38), F.lit(Decimal(-1)).cast(_D38))).cast(_D38)
 
 
+def packed_key(parts: list[tuple[str, int]]) -> Column:
+    """One ``decimal(38,0)`` that orders like the tuple of whole numbers ``parts`` (name, digits; NULL first).
+
+    A number that does not fit its digits is an error, not another order.
+    """
+    key, fits = F.lit(Decimal(0)).cast(_D38), F.lit(True)
+    for name, digits in parts:
+        value = F.coalesce(F.col(name).cast("long") + 1, F.lit(0))
+        fits = fits & ((F.col(name).isNull()) | ((F.col(name) >= 0) & (value < 10 ** digits)))
+        key = (key * F.lit(Decimal(10 ** digits)).cast(_D38) + value.cast(_D38)).cast(_D38)
+    return F.when(fits, key).otherwise(F.raise_error(F.lit(f"a key of {', '.join(n for n, _ in parts)} is out of its range")).cast(_D38))
+
+
 def with_seq(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("seq", seq_key())
 
@@ -52,20 +65,22 @@ def lineitem_ticks(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """lineitem ⨝ part → trades: ticker = brand, price = unit price, qty = quantity.
 
     ``(l_orderkey, l_linenumber)`` is not unique, so the tie-break id is the
-    struct of the four line keys.  Four keys do not fit one 38-digit key at
-    the target scale, so these ticks carry no ``seq`` and their bars use a
-    sort-based aggregate.  The join is left to the planner: AQE turns
+    struct of the four line keys.  A ship date is a day (its time of day, if any, is cut off), so the
+    four keys alone order the ticks of a day: ``day_seq`` packs them into one 38-digit key, and daily bars stay in
+    a hash aggregate.  The join is left to the planner: AQE turns
     it into a broadcast only when the measured part side is small.
     """
+    keys = [("l_orderkey", 13), ("l_linenumber", 3), ("l_partkey", 12), ("l_suppkey", 10)]
+    kind = lineitem.schema["l_shipdate"].dataType
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                          "l_quantity", "l_extendedprice", "l_shipdate")
     p = part.select("p_partkey", "p_brand")
     return (li.join(p, li.l_partkey == p.p_partkey)
             .select(F.col("p_brand").alias("ticker"),
-                    F.col("l_shipdate").alias("ts"),
+                    F.date_trunc("day", F.col("l_shipdate")).cast(kind).alias("ts"),
                     F.try_divide("l_extendedprice", "l_quantity").alias("price"),
                     F.col("l_quantity").alias("qty"),
-                    F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("tick_id"))
+                    F.struct(*(k for k, _ in keys)).alias("tick_id"), packed_key(keys).alias("day_seq"))
             .where(F.col("ticker").isNotNull() & valid_price("price")))
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from candela.functions.expr import split_tickers
 from candela.operators import aggregates as agg
 from candela.sources import scans
 from candela.sources.bars import build_bars
+from tests.conftest import SF001
 
 TS = dt.datetime(2024, 1, 2, 9, 30)
 
@@ -94,6 +96,17 @@ def test_head_rows_keeps_request_order(spark):
     assert got == [("B", 1), ("B", 2), ("B", 3), ("A", 1)]
 
 
+def test_head_rows_builds_only_the_bars_it_shows(spark):
+    from candela.plans.queries import PICK, union_stocks
+    stocks = union_stocks(spark, SF001)
+    head = scans.head_rows(stocks, PICK, 5)
+    want = [r for t in PICK for r in sorted(stocks.where(F.col("Ticker") == t).collect(), key=lambda r: r.Date)][:5]
+    assert [tuple(r) for r in head.collect()] == [(r.Date, r.Close, r.Ticker) for r in want]
+    plan = head._jdf.queryExecution().optimizedPlan().toString()
+    prices = plan.index("max_by")          # the aggregate of the closes: the semi-join lies below it, over the ticks
+    assert "Join LeftSemi" in plan[prices:]
+
+
 def test_cli_end_to_end(spark, tmp_path):
     from candela.cli import parse, run
     out = str(tmp_path / "out")
@@ -106,6 +119,49 @@ def test_cli_end_to_end(spark, tmp_path):
         {"ohlc", "volume", "forecast_ohlc", "predicted", "realtime"}
 
 
+@pytest.mark.parametrize("feed", [[], ["--candlestick", "--include-volume", "--forecast-candles", "5"]])
+def test_cli_without_training_calls_no_model(spark, tmp_path, monkeypatch, feed):
+    """M5: nothing is fitted, loaded or forecast; history and feed are written as they are with training."""
+    from candela.cli import parse, run
+    from candela.operators import forecast
+
+    def called(*a, **k):
+        raise AssertionError("a model was called")
+
+    for name in ("ar1_fit", "fit_linear", "fit_gbt", "fit_gbt_patience", "rollout_linear", "rollout_model", "predict", "forecast_candles"):
+        monkeypatch.setattr(forecast, name, called)
+    out = str(tmp_path / "out")
+    s = run(parse(["--sf-dir", SF001, "--out", out, "--no-train", "--model", "gbt", "--checkpoint", f"{out}/model", *feed]))
+    assert s["history_rows"] > 60 and set(s) == {"history_rows"}
+    assert not os.path.exists(f"{out}/forecast") and not os.path.exists(f"{out}/model")
+    traces = {r.trace for r in spark.read.parquet(f"{out}/feed").select("trace").distinct().collect()}
+    assert traces == ({"ohlc", "volume", "realtime"} if feed else {"history", "realtime"})
+    with pytest.raises(AssertionError, match="a model was called"):
+        run(parse(["--sf-dir", SF001, "--out", f"{out}2", "--model", "gbt"]))
+
+
+def test_daily_bars_of_lines_need_no_sort(spark):
+    """Ticks of one day in the order of their packed keys; the plan has hash aggregates alone."""
+    import random
+    from candela.sources.bars import build_bars
+    from candela.sources.ticks import lineitem_ticks, packed_key
+    rng = random.Random(2)
+    big = [10**13 - 2, 998, 10**12 - 2, 10**10 - 2]
+    rows = [[rng.choice([1, 7, big[0], None]), rng.choice([1, 2, big[1]]), rng.choice([1, 2, 3, big[2]]), rng.choice([1, 2, big[3], None]),
+             1.0, float(rng.randrange(100)), dt.datetime(2024, 1, 1 + rng.randrange(3))] for _ in range(400)]
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"
+    lines = spark.createDataFrame(rows, schema).dropDuplicates(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"])
+    part = spark.createDataFrame([(k, "B") for k in (1, 2, 3, big[2])], "p_partkey long, p_brand string")
+    ticks = lineitem_ticks(lines, part)
+    want = sorted(map(tuple, build_bars(ticks.drop("day_seq"), "day").collect()))
+    bars = build_bars(ticks, "day")
+    assert sorted(map(tuple, bars.collect())) == want and len(want) == 3
+    plan = bars._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    with pytest.raises(Exception, match="out of its range"):
+        spark.range(2000).select(packed_key([("id", 3)])).collect()
+
+
 def test_tidy_single_level_header(spark):
     wide = spark.createDataFrame([(dt.date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5, 7)],
                                  "Date date, Open double, High double, Low double, Close double, Volume bigint")
