@@ -3,7 +3,8 @@
 One pass over a page's tags keeps a stack of its open blocks.  The first Spark pass hashes the
 subtree of every block and counts, per host, the different pages that hold it; the second
 deletes the subtrees that recur across many pages of the host, and the parts that are no
-article by their tag or class, and returns the text of the rest.
+article by their tag or class, and returns the text of the rest.  What lies in an ``article`` or ``main`` is
+never template: passages and headings that articles share stay.
 """
 
 from __future__ import annotations
@@ -53,25 +54,47 @@ HEADER_NAMES = frozenset("header masthead topbar".split())
 NEUTRAL_NAMES = frozenset(
     "area bar block bottom box buttons column container content group inner item items left links list main outer page panel primary "
     "right row secondary section site slot top unit wrap wrapper".split())
+#: A hyphenated name that begins or ends with one of these says so whatever its other words (``reader-comments``,
+#: ``gdpr-banner``, ``newsletter-signup``), unless one of them tells of a state (``comments-open``, ``no-comments``).
+TELLING_NAMES = frozenset("advert advertisement advertising comment comments commentlist consent cookie cookies disqus gdpr "
+                          "newsletter replies sponsored".split())
+#: In an id, which may be made from a heading, only these, and in at most three words.
+TELLING_IDS = frozenset("comment comments commentlist disqus gdpr".split())
+STATES = frozenset("allowed closed count disabled enabled for free has hide no none off on open with without".split())
+#: ``related`` with one of these is a list of other pages (but ``related-work`` is a part of an article).
+OTHER_PAGES = frozenset("articles content entries items links list news pages posts reading stories topics videos".split())
+#: These drop a part of an article only where it is no prose, that is under so many words.
+UNSURE_NAMES = frozenset("banner form menu nav notice notices promo promotion search share sharing social toolbar widget".split())
+PROSE_WORDS = 40
 #: No name drops these, and no id a heading, whose id is made from its text.
 PAGE_PARTS = frozenset("html body main article".split())
 _HEADINGS = frozenset(f"h{i}" for i in range(1, 7))
 
 
 class _Open:
-    __slots__ = ("tag", "start", "parts", "drop", "article", "chain")
+    __slots__ = ("tag", "start", "parts", "drop", "article", "chain", "unsure")
 
-    def __init__(self, tag, start, drop, article, chain):
+    def __init__(self, tag, start, drop, article, chain, unsure=False):
         self.tag, self.start, self.parts, self.drop, self.article, self.chain = tag, start, [], drop, article, chain
+        self.unsure = unsure
 
 
-def _named(value: str, names: frozenset) -> bool:
-    """Whether a class, id or role of ``value`` is one of ``names``, alone or with neutral words."""
+def _named(value: str, names: frozenset, telling: frozenset = TELLING_NAMES, most: int = 99) -> str | None:
+    """The word of ``names`` that a class, id or role of ``value`` is, alone or with words that change nothing, or of
+    ``telling`` at the start or end of up to ``most`` words."""
     for token in value.split():
-        words = set(_NAME.findall(token))
-        if words & names and words <= names | NEUTRAL_NAMES:
-            return True
-    return False
+        words = _NAME.findall(token)
+        if not words:
+            continue
+        if found := next((w for w in words if w in names), None):
+            if all(w in names or w in NEUTRAL_NAMES for w in words):
+                return next((w for w in words if w in names and w not in UNSURE_NAMES), found)
+            if found == "related" and all(w in names or w in OTHER_PAGES for w in words):
+                return found
+        ends = [w for w in (words[0], words[-1]) if w in telling]
+        if ends and len(words) <= most and STATES.isdisjoint(words):
+            return ends[0]
+    return None
 
 
 def _hidden(attributes: str) -> bool:
@@ -84,17 +107,31 @@ def _hidden(attributes: str) -> bool:
     return False
 
 
-def _outside(tag: str, attributes: str, in_article: bool) -> bool:
+def _outside(tag: str, attributes: str, in_article: bool) -> str | None:
+    """What says that an element is no part of the text: its tag, or a word of its names."""
     if tag in OUTSIDE or tag in OUTSIDE_ARTICLE and not in_article:
-        return True
+        return tag
     if tag in PAGE_PARTS or "=" not in attributes:
-        return False
+        return None
     names = OUTSIDE_NAMES if in_article else OUTSIDE_NAMES | HEADER_NAMES
+    unsure = None
     for m in _ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         if name in ("class", "role") or name == "id" and tag not in _HEADINGS:
-            if _named((m[2] or m[3] or m[4] or "").lower(), names):
-                return True
+            value = (m[2] or m[3] or m[4] or "").lower()
+            if found := _named(value, names, TELLING_IDS, 3) if name == "id" else _named(value, names):
+                if found not in UNSURE_NAMES:
+                    return found
+                unsure = found
+    return unsure
+
+
+def _prose(blocks: list[str], start: int) -> bool:
+    words = 0
+    for i in range(start, len(blocks)):
+        words += len(blocks[i].split())
+        if words >= PROSE_WORDS:
+            return True
     return False
 
 
@@ -110,6 +147,8 @@ def read_page(html: str, templates=frozenset(), holders=frozenset()) -> tuple[li
     stack = [_Open("", 0, False, 0, ())]
     held: dict[tuple, int] = {}  # letters of articles in elements that are dropped, by the places of these
     buffer: list[str] = []
+    opened: dict[str, list[int]] = {}  # places of the open elements of a tag in the stack, so that nothing is searched
+    nearest = lambda tags: max((opened[t][-1] for t in tags if opened.get(t)), default=0)
 
     def flush() -> None:
         if buffer:
@@ -123,10 +162,14 @@ def read_page(html: str, templates=frozenset(), holders=frozenset()) -> tuple[li
     def close() -> None:
         flush()
         top = stack.pop()
+        opened[top.tag].pop()
+        if top.unsure and not _prose(blocks, top.start):
+            del blocks[top.start:], marks[top.start:]
+            return
         if top.drop or not top.parts:
             return
         h = xxhash.xxh3_64_intdigest(f"{top.tag}\x00{chr(1).join(top.parts)}".encode("utf-8", "surrogatepass")) - (1 << 63)
-        if h in templates:
+        if h in templates and not top.article:
             del blocks[top.start:], marks[top.start:]
             return
         hashes.append(h)
@@ -149,13 +192,11 @@ def read_page(html: str, templates=frozenset(), holders=frozenset()) -> tuple[li
             continue
         tag = tag.lower()
         if m[1] or m[4]:
-            if tag in INLINE or tag in VOID:
+            if not opened.get(tag):
                 continue
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    while len(stack) > depth:
-                        close()
-                    break
+            while stack[-1].tag != tag:
+                close()
+            close()
             continue
         if tag in RAW:
             found = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(html, at)
@@ -174,28 +215,28 @@ def read_page(html: str, templates=frozenset(), holders=frozenset()) -> tuple[li
             close()
         if tag in ENDS:
             ended, border = ENDS[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in border:
-                    break
-                if stack[depth].tag in ended:
-                    while len(stack) > depth:
-                        close()
-                    break
+            if (depth := nearest(ended)) > nearest(border):
+                while len(stack) > depth:
+                    close()
         top = stack[-1]
         attributes = m[3] or m[6] or ""
         own = 2 if tag == "article" else int(tag == "main")
-        inside, drop, chain = top.article | own, top.drop, top.chain
+        inside, drop, chain, unsure = top.article | own, top.drop, top.chain, False
         if drop and not chain:
             pass  # nothing in it can be the page's article
         elif _hidden(attributes):
             drop, chain = True, ()
-        elif m.start() not in holders and _outside(tag, attributes, top.article > 0):
-            drop = True
-            if top.article & 2 or tag in OUTSIDE and tag != "form":
-                chain = ()
+        elif m.start() not in holders and (said := _outside(tag, attributes, top.article > 0)):
+            if top.article and said != tag and said in UNSURE_NAMES and not drop:
+                unsure = True
             else:
-                inside, chain = own, (*chain, m.start())
-        stack.append(_Open(tag, len(blocks), drop, inside, chain))
+                drop = True
+                if top.article & 2 or tag in OUTSIDE and tag != "form":
+                    chain = ()
+                else:
+                    inside, chain = own, (*chain, m.start())
+        stack.append(_Open(tag, len(blocks), drop, inside, chain, unsure))
+        opened.setdefault(tag, []).append(len(stack) - 1)
     while len(stack) > 1:
         close()
     flush()
