@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
 
 import numpy as np
@@ -23,6 +24,19 @@ CACHE_WORDS = 250_000
 CACHE_WORD_CHARS = 64
 #: Texts without characters from here on (all of Latin comes before) take the quicker pattern.
 NEAR = 0x250
+#: Signs that Unicode 3.2 does not know: what they are, how they compose and which case they have depends on the release that a
+#: library holds.  Texts with such a sign are normalised and cut into words by the tokenizers library itself.
+def _unsure() -> re.Pattern:
+    known = unicodedata.ucd_3_2_0.category
+    new = [c for c in range(NEAR, sys.maxunicode + 1) if known(chr(c)) in ("Cn", "Cs")]
+    ranges, start = [], new[0]
+    for a, b in zip(new, [*new[1:], -1]):
+        if b != a + 1:
+            ranges.append(f"\\U{start:08x}-\\U{a:08x}")
+            start = b
+    return re.compile(f"[{''.join(ranges)}]")
+
+
 _NONE = 1 << 62
 _PLACE = 32
 
@@ -55,6 +69,7 @@ class WordBpe:
 
     def __init__(self, path: str):
         import regex
+        from tokenizers import Tokenizer
         spec = json.load(open(path, encoding="utf-8"))
         model, vocab = spec["model"], spec["model"]["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
@@ -75,6 +90,9 @@ class WordBpe:
         self.words = regex.compile(pattern).findall
         self.near = re.compile(near_pattern(pattern)).findall
         self.far = re.compile(f"[{chr(NEAR)}-{chr(0x10FFFF)}]").search
+        self.unsure = _unsure().search
+        self.library = Tokenizer.from_file(path)
+        self.letters = {c: i for i, c in enumerate(letters)}
         self.cache: dict[str, bytes] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
@@ -127,11 +145,13 @@ class WordBpe:
                 put(h, _NONE if rank is None else rank << _PLACE | h)
         return [x for x in ids if x >= 0]
 
-    def word(self, word: str) -> bytes:
-        raw = word.encode()
+    def _merged(self, raw: bytes) -> bytes:
         ids = [self.inner[b] for b in raw]
         ids[-1] = self.last[raw[-1]]
-        out = np.array(self.merge(ids), "<u4").tobytes()
+        return np.array(self.merge(ids), "<u4").tobytes()
+
+    def word(self, word: str) -> bytes:
+        out = self._merged(word.encode())
         if len(word) <= CACHE_WORD_CHARS:
             if len(self.cache) >= CACHE_WORDS:
                 self.cache.clear()
@@ -139,6 +159,9 @@ class WordBpe:
         return out
 
     def plain(self, text: str) -> bytes:
+        if self.far(text) and self.unsure(text):
+            cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return b"".join(self._merged(bytes(map(self.letters.__getitem__, piece))) for piece, _ in cut)
         if not text.isascii():
             # Lower-casing goes letter by letter: no special form of sigma at a word's end.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")

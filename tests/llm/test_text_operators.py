@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 
 import numpy as np
 import pytest
@@ -38,6 +39,16 @@ def test_bpe_equals_the_library(spark, tokenizer):
         assert got[i]["ids"] == "clash"
 
 
+def test_bpe_equals_the_library_for_every_code_point(tokenizer):
+    model = bpe.load(tokenizer_path("word_bpe_49k.json"))
+    signs = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    sure, unsure = [x for x in signs if not model.unsure(x)], [x for x in signs if model.unsure(x)]
+    assert len(sure) > 90_000            # Python's own rules decide these, the library the others
+    texts = [" ".join(f"a{x}1 {x}" for x in part[i:i + 256]) for part in (sure, unsure) for i in range(0, len(part), 256)]
+    for text, want in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(model.encode(text), "<u4").tolist() == want.ids, hex(ord(text[1]))
+
+
 def test_bpe_query_on_documents(spark, tokenizer):
     from candela.llm.queries import op4_bpe
     texts = {r["doc_id"]: r["text"] for r in read_table(spark, SF001, "documents").collect()}
