@@ -21,6 +21,8 @@ BAND_DOCS = 4096
 MOST_EPOCHS = 3
 #: Weights of the sources in their order, repeating.
 WEIGHTS = (1, 2, 3)
+#: Quality falls with the symbols to this; grades of quality that the key bands tell apart.
+LEAST_QUALITY, QUALITIES = 0.25, 8
 SYMBOLS = r"[^#*$%&|<>!]+"
 
 
@@ -72,20 +74,30 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     kept = [c for c in columns if keep_text or c != text]
     small = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"),
-        words.alias("_size"), symbols.alias("_symbols"), F.col(f"`{source}`").alias("_source"), F.col(f"`{doc_id}`").alias("_id"))
-    quality = F.greatest(F.lit(0.25), F.lit(1.0) - F.col("_symbols") / F.greatest(F.col("_size"), F.lit(1)) / 4)
-    small = materialize(small.select("*", (-F.log(uniform(F.col("_id"), seed)) / quality).alias("_key")), "mix")
-
-    of = small.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"), F.count("*").alias("n"))
+        words.alias("_size"), symbols.alias("_symbols"), F.col(f"`{source}`").alias("_source"), F.col(f"`{doc_id}`").alias("_id"),
+        # documents without an id are told apart by their texts
+        F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.concat(F.lit("null "), F.xxhash64(body))).alias("_name"))
+    quality = F.greatest(F.lit(LEAST_QUALITY), F.lit(1.0) - F.col("_symbols") / F.greatest(F.col("_size"), F.lit(1)) / 4)
+    small = materialize(small.select("*", quality.alias("_quality"), (-F.log(uniform(F.col("_name"), seed)) / quality).alias("_key")).drop("_name"), "mix")
+
+    step = (1 - LEAST_QUALITY) / QUALITIES
+    grade = F.least(F.floor((F.col("_quality") - LEAST_QUALITY) / step), F.lit(QUALITIES - 1))
+    of = small.groupBy(F.col("_source").alias("source")).agg(
+        F.sum("_size").alias("source_size"), F.count("*").alias("n"),
+        F.array(*(F.count_if(grade == i) / F.count("*") for i in range(QUALITIES))).alias("grades"))
     aims = targets(of.select("source", "source_size"), weights).join(
-        of.select(F.col("source").alias("s2"), "n"), F.col("source").eqNullSafe(F.col("s2"))).select(
-        "source", "source_size", "target", "n",
+        of.select(F.col("source").alias("s2"), "n", "grades"), F.col("source").eqNullSafe(F.col("s2"))).select(
+        "source", "source_size", "target", "n", "grades",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).alias("epochs"))
     aims = materialize(aims.select("*", (F.col("target") - F.col("epochs") * F.col("source_size")).alias("rest"),
                                    F.greatest(F.lit(1), F.ceil(F.col("n") / BAND_DOCS)).alias("bands")), "mix_targets")
     # One row per source, as many as there are weights to give; Spark measures the written table before it broadcasts it.
+    # The share of a source's keys below a key, from the shares of its grades of quality: it rises with the key, so bands keep
+    # the order, and hold about as many documents each, however quality is spread.
+    below = sum((F.get("grades", F.lit(i)) * (F.lit(1.0) - F.exp(F.col("_key") * F.lit(-(LEAST_QUALITY + (i + 0.5) * step))))
+                 for i in range(QUALITIES)), F.lit(0.0))
     banded = small.join(aims, F.col("_source").eqNullSafe(F.col("source"))).withColumn(
-        "_band", F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * F.col("bands")))
+        "_band", F.floor(below * F.col("bands"))).drop("grades", "_quality")
     sums = banded.groupBy("_source", "_band").agg(F.sum("_size").alias("in_band"), F.first("rest").alias("rest"))
     upto = Window.partitionBy("_source").orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
     ends = sums.withColumn("before", F.coalesce(F.sum("in_band").over(upto), F.lit(0))).where(
@@ -102,6 +114,6 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         return df.select(*keep, (n * F.col("_size")).alias(taken), n.alias(copies))
 
     last = placed.where(inside).withColumn("_sum", F.col("_before") + F.coalesce(F.sum("_size").over(order), F.lit(0)))
-    at_end = told(last, F.col("_sum") + F.col("_size") / 2 <= F.col("rest"))
+    at_end = told(last, (F.col("rest") > 0) & (F.col("_sum") + F.col("_size") / 2 <= F.col("rest")))
     others = told(placed.where(~inside), (F.col("rest") > 0) & F.coalesce(F.col("_band") < F.col("_end"), F.lit(True)))
     return others.unionByName(at_end)

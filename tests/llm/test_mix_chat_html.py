@@ -56,6 +56,31 @@ def test_mix_prefers_documents_without_symbols(spark):
     assert taken[1] > 1.4 * taken[0]
 
 
+def test_mix_takes_no_document_more_often_than_the_epochs(spark):
+    rows = [(i, "w " * 10 if i else "", "small", 0) for i in range(4)] + [(10 + i, "w " * 1000, "big", 0) for i in range(4)]
+    got = mixed(spark, rows, weights=(1, 1)).collect()
+    assert {r["copies"] for r in got if r["source"] == "small"} == {3}          # the empty one, too
+
+
+def test_mix_bands_hold_about_as_many_documents(spark, monkeypatch):
+    """Two thirds without an id, half of quality 1/4: still no band far above the mean, and reruns agree."""
+    from candela.llm import mix
+    monkeypatch.setattr(mix, "BAND_DOCS", 50)
+    seen = []
+    put = mix.materialize
+    monkeypatch.setattr(mix, "materialize", lambda df, name: seen.append((name, put(df, name))) or seen[-1][1])
+    rows = [(i if i % 3 == 0 else None, f"{'w#$%&*|' if i % 2 else 'word'} number{i}", "s", 0) for i in range(4000)]
+    rows += [(5000 + i, "tiny", "t", 0) for i in range(3)]
+    got = [sorted(map(tuple, mixed(spark, rows[::d]).collect()), key=str) for d in (1, -1)]
+    assert got[0] == got[1]
+    small, aims = (next(df for name, df in seen if name == x) for x in ("mix", "mix_targets"))
+    keys = sorted(r["_key"] for r in small.where("_source = 's'").collect())
+    grades = aims.where("source = 's'").first()["grades"]
+    below = [sum(g * (1 - 2.718281828 ** (-k * (0.25 + (i + 0.5) * 0.75 / 8))) for i, g in enumerate(grades)) for k in keys]
+    bands = collections.Counter(int(b * 80) for b in below)
+    assert len(set(keys)) == 4000 and max(bands.values()) < 3 * 50
+
+
 CHAT = [
     (1, 0, "user", "Hello there.\nHow are you?\n\nSecond para here."),
     (1, 1, "assistant", "On Monday X wrote:\n> hello  THERE.\n> How are you?\nFine."),
@@ -75,13 +100,84 @@ def test_chat_threads(spark):
     assert got[1, 1]["text"] == "Fine." and got[1, 1]["reply_to"] == 0
     assert got[1, 2]["text"] == "Good > bad" and (got[1, 2]["reply_to"], got[1, 2]["thread"], got[1, 2]["depth"]) == (1, 0, 2)
     assert (got[1, 4]["reply_to"], got[1, 4]["thread"], got[1, 4]["depth"], got[1, 4]["n_linked"]) == (2, 0, 3, 2)
-    assert got[1, 5]["reply_to"] is None and got[1, 5]["n_quotes"] == 1 and got[1, 5]["text"] == "yes"
+    assert got[1, 5]["reply_to"] is None and got[1, 5]["n_quotes"] == 1 and got[1, 5]["text"] == "> nowhere\nyes"
     assert got[2, 1]["reply_to"] is None and got[2, 0]["text"] == "" and got[None, 1]["reply_to"] is None
     assert got[1, 4]["formatted"] == "<|x|>\nok\n"
     order = [(r["conv_id"], r["thread"], r["turn"]) for r in out.collect() if r["conv_id"] == 1]
     assert order == sorted(order)
 
 
+def test_chat_keeps_what_is_linked_with_nothing(spark):
+    rows = [(1, 0, "u", ">>> x = 1\n>>> print(x)\n1"), (1, 1, "u", "Ada wrote:\n> not in this conversation\nmy answer"),
+            (1, 2, "u", "\n\tReply\n"), (1, 3, "u", "Ada wrote:\n> my answer\nso be it\n> > nobody said this\n\nend "),
+            (1, 4, "u", "> 1\n" + "long line\n" * 20_000)]
+    got = {r["turn"]: r for r in chat.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[0]["text"] == rows[0][3] and got[0]["n_quotes"] == 1 and got[0]["n_linked"] == 0
+    assert got[1]["text"] == rows[1][3] and got[1]["reply_to"] is None
+    assert got[2]["text"] == "Reply"
+    assert got[3]["text"] == "so be it\n> > nobody said this\n\nend" and (got[3]["reply_to"], got[3]["n_linked"]) == (1, 1)
+    assert got[4]["reply_to"] == 0 and got[4]["text"] == ("long line\n" * 20_000).strip()
+
+
+def brute_threads(rows):
+    """Turn by turn: (conv, turn) to (text, reply, thread, depth, quotes, linked)."""
+    import re
+    norm = lambda t: re.sub(r"\s+", " ", t.lower()).strip()
+    units = lambda t: {norm(u) for u in [t, *re.split(r"\n\s*\n", t), *t.split("\n")]} - {""}
+    parsed, out = {}, {}
+    for conv, turn, _, text in rows:
+        parts = []
+        for line in (text or "").split("\n"):
+            m = re.match(r"((?:[ \t]*>)+)[ \t]?", line)
+            level = m[1].count(">") if m else 0
+            if not parts or parts[-1][0] != level:
+                parts.append((level, [], []))
+            parts[-1][1].append(line[m.end():] if m else line)
+            parts[-1][2].append(line)
+        parsed[conv, turn] = [(n, "\n".join(a), "\n".join(b)) for n, a, b in parts]
+    own = {k: "\n".join(t for n, t, _ in v if n == 0 and t.strip()).strip() for k, v in parsed.items()}
+    for (conv, turn), parts in sorted(parsed.items()):
+        links = {}
+        for i, (n, t, _) in enumerate(parts):
+            if n and t.strip():
+                first = [min((x for (c, x), o in own.items() if c == conv and u in units(o)), default=turn) for u in units(t)]
+                earlier = [x for x in first if x < turn]
+                if earlier:
+                    links[i] = (n, -max(earlier))
+        text = "\n".join(x for x in ("" if i in links else raw if n else t for i, (n, t, raw) in enumerate(parts)) if x.strip()).strip()
+        reply = -min(links.values())[1] if links else None
+        up = out.get((conv, reply))
+        out[conv, turn] = (text, reply, up[2] if up else turn, up[3] + 1 if up else 0, sum(n > 0 and t.strip() != "" for n, t, _ in parts), len(links))
+    return out
+
+
+def test_generated_threads_equal_those_built_turn_by_turn(spark):
+    rng = random.Random(12)
+    rows = []
+    for conv in range(12):
+        said = []
+        for turn in range(rng.randrange(1, 9)):
+            lines = []
+            for _ in range(rng.randrange(1, 4)):
+                kind = rng.random()
+                if said and kind < 0.5:
+                    some = rng.choice(said).split("\n")
+                    if rng.random() < 0.4:
+                        some = some[:1]
+                    lines += [("> " if rng.random() < 0.7 else ">> ") + x.replace(" ", "  ", 1) for x in some]
+                elif kind < 0.65:
+                    lines.append("> unheard " + prose(rng, 3))
+                else:
+                    lines.append(prose(rng, rng.randrange(1, 5)) if rng.random() < 0.8 else "ok")
+            rows.append((conv, turn, "u", "\n".join(lines)))
+            own = "\n".join(x for x in lines if not x.startswith(">"))
+            said += [own] if own else []
+    want = brute_threads(rows)
+    out = chat.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    got = {(r["conv_id"], r["turn"]): (r["text"], r["reply_to"], r["thread"], r["depth"], r["n_quotes"], r["n_linked"]) for r in out}
+    assert got == want and sum(v[5] for v in want.values()) > 20
+
+
 def test_chat_without_quotes_keeps_every_text(spark):
     from candela.sources.tables import read_table
     from tests.conftest import SF001
@@ -134,6 +230,57 @@ def test_text_is_where_most_of_it_stands(page, want):
     assert "\n".join(html.read_page(page)[0]) == want
 
 
+LONG = " ".join(f"prose{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("name", ["reader-comments", "user-comments", "post-comments", "comment-thread", "commentlist", "comments_area",
+                                  "related-articles", "gdpr-banner", "newsletter-signup", "cookie-notice", "ad-box", "comment"])
+def test_comments_and_notices_go_whatever_their_other_words(name):
+    for inside in (f'<div class="{name}"><p>{LONG}</p></div>', f'<section class="x {name}"><p>no</p></section>'):
+        assert "\n".join(html.read_page(f"<body><article><h1>T</h1><p>text</p>{inside}</article>{inside}</body>")[0]) == "T\ntext"
+
+
+@pytest.mark.parametrize("name", ["form", "notice", "share", "social", "widget", "banner"])
+def test_unsure_names_in_an_article_drop_no_prose(name):
+    page = f'<article><h1>T</h1><div class="{name}"><p>{LONG}</p></div><div class="{name}"><p>tweet this</p></div><p>end</p></article>'
+    assert "\n".join(html.read_page(page)[0]) == f"T\n{LONG}\nend"
+    assert "\n".join(html.read_page(f'<div class="{name}"><p>{LONG}</p></div><p>text</p>')[0]) == "text"
+
+
+@pytest.mark.parametrize("name", ["comments-open", "no-comments", "has-cookies", "related-work", "with-newsletter"])
+def test_states_are_no_parts(name):
+    assert "\n".join(html.read_page(f'<div class="{name}"><p>text</p></div>')[0]) == "text"
+    assert "\n".join(html.read_page('<article><section id="cookies-and-cream"><p>text</p></section></article>')[0]) == "text"
+
+
+@pytest.mark.parametrize("page", ["<div>" * 200_000, "</p>" * 250_000, "<b></i>" * 150_000, "<div><p>x</li>" * 70_000,
+                                  "<li><ul>" + "<div>" * 80_000 + "<li>x</li>" * 60_000, "<table>" + "<tr><td>" * 120_000,
+                                  '<article>' + '<div class="share">' * 40_000 + "word " * 100, '<a "' * 200_000, "<" * 500_000])
+def test_pages_of_stray_tags_take_time_in_proportion(page):
+    import time
+    t = time.process_time()
+    html.read_page(page)
+    assert time.process_time() - t < 5
+
+
+def test_generated_sites_lose_no_article_block(spark):
+    """Hosts of any size whose articles share headings, passages and whole paragraphs; menus and footers recur, too."""
+    rng = random.Random(8)
+    rows = []
+    for host, n, tag in (("a", 12, "article"), ("b", 9, "main"), ("c", 60, "article"), ("d", 1, "main"), ("e", 25, "article")):
+        quoted = prose(rng, 30)
+        for i in range(n):
+            own = [prose(rng, rng.randrange(5, 40)) for _ in range(rng.randrange(1, 4))]
+            blocks = [f"Title {host}{i}", *own, "Summary", quoted]
+            body = f"<h1>{blocks[0]}</h1>" + "".join(f"<p>{b}</p>" for b in own) + f"<h2>Summary</h2><blockquote><p>{quoted}</p></blockquote>"
+            site = f"<div class=x><p>Welcome to {host}, all rights reserved</p></div>"
+            rows.append((len(rows), f"https://{host}.example/{i}", f"<body>{site}<nav><p>menu</p></nav><{tag}>{body}</{tag}>{site}<footer>f</footer></body>",
+                         "\n".join(blocks)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, want string")
+    wrong = html.extract(pages).where("text <> want").collect()
+    assert not wrong, wrong[:1]
+
+
 def test_site_templates_go_and_shared_passages_stay(spark):
     rng = random.Random(6)
     passage = prose(rng, 20)
