@@ -42,9 +42,9 @@ def shingle_set(text, n=4):
     return frozenset(tuple(words[i:i + n]) for i in range(len(words) - n + 1)) or frozenset([tuple(words)])
 
 
-def brute_components(texts, percent=85):
+def brute_components(texts, percent=85, words=4):
     """Smallest reachable index of each text, from all pairs."""
-    sets = [shingle_set(t) for t in texts]
+    sets = [shingle_set(t, words) for t in texts]
     parent = list(range(len(texts)))
 
     def find(x):

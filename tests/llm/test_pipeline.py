@@ -50,7 +50,7 @@ def test_rules_stage(stages):
 def test_join_stage(stages):
     before, after = stages[2]
     rows = sorted(before.collect(), key=lambda r: r["doc_id"])
-    want = {rows[i]["doc_id"] for i, (_, first) in enumerate(brute_components([r["text"] for r in rows])) if i == first}
+    want = {rows[i]["doc_id"] for i, (_, first) in enumerate(brute_components([r["text"] for r in rows], 80, 5)) if i == first}
     assert sorted(r["doc_id"] for r in after.collect()) == sorted(want)
 
 
@@ -63,6 +63,57 @@ def test_join_stage_judges_texts_with_one_id_apart(spark):
     assert got == {(1, one), (5, two), (9, three), (9, four), (None, "only this text has no id at all")}
 
 
+def test_join_stage_takes_a_copy_with_a_fifth_added(spark):
+    base = [f"w{i}" for i in range(100)]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join([*base, *(f"new{i}" for i in range(20))])),
+                                  (3, " ".join([*base, *(f"other{i}" for i in range(40))]))], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF01).collect()) == [1, 3]
+
+
+def test_join_stage_keeps_one_of_rows_that_differ_elsewhere(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "b"), (1, text, "a"), (1, text, "a"), (2, text, "c"), (3, None, "d"), (3, None, "d"), (4, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs.repartition(n), SF01).collect()), key=str) for n in (1, 4)]
+    assert got[0] == got[1] and len(got[0]) == 3
+    assert [r[0] for r in got[0]] == [1, 3, 4] and got[0][0] in {(1, text, "a"), (1, text, "b")}
+
+
+CLASHES = "doc_id long, text string, lang string, source string, score double, kept string, key string, `group` string, row int, copy int, taken long"
+
+
+@pytest.mark.parametrize("nr", range(5))
+def test_stages_with_odd_rows(spark, nr):
+    """Nulls, empty and very long texts, repeated rows and columns with the names that stages use."""
+    good = read_table(spark, SF01, "documents").where("length(text) > 1500").limit(3).collect()
+    texts = [None, "", " ", "word", "#" * 5000, "long words in a row " * 40_000, *(r["text"] for r in good)]
+    rows = [(i, t, "en", None if i % 2 else "web", 0.5, "k", "key", "g", 1, 2, 3) for i, t in enumerate(texts)]
+    rows += [(None, t, *rows[0][2:]) for t in texts[-2:]] + rows[-2:]
+    docs = spark.createDataFrame(rows, CLASHES)
+    name, stage = corpus_pipeline.STAGES[nr]
+    out = stage(spark, docs, SF01)
+    found = out.collect()
+    empty = stage(spark, docs.where("doc_id > 99"), SF01)
+    assert empty.count() == 0 and empty.columns == out.columns
+    if nr == 4:
+        assert len(found) == len(rows) and {r["n_tokens"] for r in found if r["doc_id"] in (0, 1, 2)} == {0}
+        return
+    assert out.columns == docs.columns and {tuple(r) for r in found} <= set(rows)
+    if nr == 1:
+        assert not {r["doc_id"] for r in found} & {0, 1, 2, 3}
+    if nr == 2:
+        assert len(found) == len(set(found)) == len(texts)
+    if nr == 3:
+        assert max(found.count(r) for r in found) <= 3 * 2          # a row of a repeated pair stands for both
+
+
+def test_run_gives_the_batch_size_back(spark, monkeypatch):
+    before = spark.conf.get(corpus_pipeline._BATCH)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[4:])
+    assert corpus_pipeline.run(spark, SF01).count() == read_table(spark, SF01, "documents").count()
+    assert spark.conf.get(corpus_pipeline._BATCH) == before
+
+
 def test_mix_and_encoding_stages(stages):
     before, after = stages[3]
     known = {r["doc_id"]: r for r in before.collect()}
