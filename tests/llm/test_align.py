@@ -104,6 +104,21 @@ ODD = [None, "", " ", "  ", "\n", "a", " a", "a ", "a  b", "a\nb", "\na", "a\n\n
        "é ́x", "\x00 \x1c\x1d y", "it's we're 'll I'd", "1234567 12 3,4.5", "((([[[###", "x" * 300, "a b", "tie tie", "tie tie"]
 
 
+def test_every_sign_of_the_quick_path_as_the_libraries_cut_it():
+    import numpy as np
+    texts = ["".join(f"a{chr(c)}1 {chr(c)}b {chr(c)} " for c in range(lo, lo + 16)).strip() or "x" for lo in range(0, 0x300, 16)]
+    texts += [f"{a}{chr(c)}{b}" for c in range(0x300) for a, b in (("a", "b"), ("a ", "b"), ("a\n", " b"), ("1", "'s"))]
+    pair = align.Pair(A, B)
+    assert pair.quick is not None and pair.cuts
+    a_ids, b_ids = pair.encode(texts)
+    for t, x, y, want in zip(texts, a_ids, b_ids, pair.a.encode_batch([" " + t for t in texts], add_special_tokens=False)):
+        ids = pair.b.encode(t)
+        if b"".join(map(pair.b_bytes.__getitem__, ids)) == (" " + t).encode():
+            assert (np.frombuffer(x, "<u4").tolist(), np.frombuffer(y, "<u4").tolist()) == (want.ids, ids), t
+        else:
+            assert x == y == b""
+
+
 def test_odd_texts_and_the_joined_tail(spark):
     rng = random.Random(5)
     signs = [*"ab é日🙂\n\t ▁'1,<", "  ", " the", "\nThe", "tion", "᠎", " ", "s>"]

@@ -106,3 +106,14 @@ def test_learner_finds_a_conjunction(spark):
     found = rules.learn(spark.createDataFrame(rows, f"quality int, held boolean, {names}"))
     hit = spark.createDataFrame(rows, f"quality int, held boolean, {names}").withColumn("kept", rules.verdict(found)).collect()
     assert found and sum(r["kept"] == bool(r["quality"]) for r in hit) >= 0.97 * len(rows)
+
+
+def test_classifier_reads_a_very_long_text_whole(spark):
+    """The end of a long text counts: two texts that differ only there have other features; scores stay in (0, 1)."""
+    rng = random.Random(9)
+    docs = read_table(spark, SF01, "documents").select("doc_id", "text").where("doc_id < 200")
+    long = prose(rng, 150_000)
+    more = spark.createDataFrame([(10**6, long + " word" * 50_000), (10**6 + 1, long + " @@##" * 50_000)], docs.schema)
+    scored = classifier.score(docs.unionByName(more), read_table(spark, SF01, "labels", ["doc_id", "quality"]))
+    found = {r["doc_id"]: r["score"] for r in scored.where("doc_id >= 1000000").collect()}
+    assert all(0 < s < 1 for s in found.values()) and found[10**6] != found[10**6 + 1]

@@ -153,3 +153,14 @@ def test_licence_scan_against_every_place(spark):
 def test_licence_postings_take_the_rarest_key_word():
     t = license.Template("x", "some words cc by nc here", "cc by nc")
     assert license.postings([t], {"cc": 50, "by": 9000, "nc": 3}) == [("nc", 4)]
+
+
+def test_map_operators_on_empty_tables_and_clashing_names(spark):
+    rows = [(1, None, "n", 5), (2, "", "n", 5), (2, "", "n", 5), (3, "two words " * 50_000, "n", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words string, n_tokens int")
+    got = wordpiece.token_counts(docs, tokenizer_path("piece_bpe_32k.model"))
+    assert got.columns == ["doc_id", "text", "n_words", "n_tokens", "n_words_", "n_tokens_"]
+    assert sorted((r["doc_id"], r["n_words_"]) for r in got.collect()) == [(1, 0), (2, 0), (2, 0), (3, 100_000)]
+    for out in (wordpiece.token_counts(docs.limit(0), tokenizer_path("piece_bpe_32k.model")),
+                bpe.encode_decode(docs.limit(0), tokenizer_path("word_bpe_49k.json"))):
+        assert out.collect() == []
