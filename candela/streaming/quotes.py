@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from candela.schemas import QUOTE
 from candela.sinks.merged import MergedTable
-from candela.sinks.writers import append_quote_log, enter_rows, ledger_rows, list_dirs
+from candela.sinks.writers import append_quote_log, enter_rows, ledger_rows, list_dirs, write_snapshot
 from candela.sources.quotes import dedup_quotes, malformed, quote_instant, snapshot_latest, valid_quotes, well_formed
 from candela.sources.scans import ticker_filter
 
@@ -58,6 +58,8 @@ class RowLimit(Exception):
     """Ends a query whose log has all the rows asked for; its batch stays uncommitted."""
 
 
+#: Batches between two exports of the snapshot.
+EXPORT_EVERY = 8
 #: What the query's error must say to be a reached limit and no failure.
 LIMIT_REACHED = "row limit of the quote log reached"
 #: Order in which a limit takes the records of a batch.
@@ -79,9 +81,12 @@ def logged_rows(spark: SparkSession, log_path: str, but_batch: int | None = None
 def run_quote_stream(spark: SparkSession, src: str, log_path: str, snapshot_path: str,
                      checkpoint: str, interval_s: int = 60, available_now: bool = True,
                      max_rows: int = 0, max_files_per_trigger: int | None = None,
-                     timeout_s: float | None = None, tickers=None):
+                     timeout_s: float | None = None, tickers=None, export: str | None = None):
     """T1 + T2: run the poll loop; returns the number of records written by this run.
 
+    ``snapshot_path`` holds the latest record of each ticker as a :func:`latest_table`; ``export`` also
+    writes it as JSON lines (K1) every ``EXPORT_EVERY`` batches and when the run ends.
+
     ``max_rows`` > 0 stops once the log holds that many records, counted in the
     log itself, so that a restart goes on counting.  The batch that crosses
     the limit is cut in ``LOG_ORDER`` and ends the query before its offsets
@@ -113,6 +118,8 @@ def run_quote_stream(spark: SparkSession, src: str, log_path: str, snapshot_path
                 enter_rows(spark, log_path, batch_id, state["before"] + state["written"] + n)
                 snapshot.amend(good, batch_id)
                 state["written"] += n
+                if export and (batch_id + 1) % EXPORT_EVERY == 0:
+                    write_snapshot(snapshot.read(), export)
             if cut:
                 raise RowLimit(LIMIT_REACHED)
         finally:
@@ -134,6 +141,8 @@ def run_quote_stream(spark: SparkSession, src: str, log_path: str, snapshot_path
     except Exception as e:
         if LIMIT_REACHED not in str(e):
             raise
+    if export and state["written"]:
+        write_snapshot(snapshot.read(), export)
     return state["written"]
 
 

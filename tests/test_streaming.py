@@ -83,6 +83,18 @@ def test_stream_keeps_rejects_apart_and_binds_to_tickers(spark):
     assert [r.timestamp for r in rejects] == ["yesterday"]
 
 
+def test_the_snapshot_is_exported_as_json(spark, monkeypatch):
+    from candela.sinks.writers import read_snapshot, versions
+    from candela.streaming import quotes
+    monkeypatch.setattr(quotes, "EXPORT_EVERY", 2)
+    base = scratch_path(spark, "export").replace("file:", "")
+    _files(f"{base}/src", BATCHES)
+    run_quote_stream(spark, f"{base}/src", f"{base}/log", f"{base}/table", f"{base}/ck", max_files_per_trigger=1, export=f"{base}/snap")
+    assert versions(spark, f"{base}/snap") == [0, 1]             # after the second batch, and at the end
+    assert sorted(map(tuple, read_snapshot(spark, f"{base}/snap", QUOTE).collect())) == \
+        sorted(map(tuple, latest_table(spark, f"{base}/table").read().collect()))
+
+
 def test_dedup_takes_late_quotes_and_earlier_polls(spark):
     """A quote far behind its ticker's newest, and a poll that is earlier than one seen before: as in the batch form."""
     base = scratch_path(spark, "dedup").replace("file:", "")
