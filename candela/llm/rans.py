@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candela.llm.bpe import near_pattern
+from candela.llm.bpe import NEAR, near_pattern
 from candela.llm.common import materialize, slices
 from candela.llm.remember import Remembered
 from candela.session import scratch_path
@@ -41,6 +41,11 @@ TEXT_BYTES = 1 << 22
 #: The id that ends a document.
 END_ID = 1
 FAR = re.compile("[ɐ-\U0010ffff]")
+#: What a pattern ends with whose words are short forms ('s), runs of letters, single digits and runs of other signs.
+RUNS = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPACE, LETTER, DIGIT, SIGN = range(4)
+#: What a normalizer does that leaves lower-case words of signs below ``NEAR`` as they are.
+LOWERED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 
 
 # ---------------------------------------------------------------- ids
@@ -54,9 +59,10 @@ def id_kind(path: str, end_id: int = END_ID) -> np.dtype:
 class Encoder:
     """Ids of the ``tokenizers`` library, remembered for words.
 
-    Texts of letters whose classes are the same in every Unicode release are cut into words with the file's own
-    pattern, and only words not yet known go to the library, many in one text.  No token crosses a space, so
-    other texts are cut at spaces, and their pieces with other letters go to the library as they are.
+    Texts of letters whose classes are the same in every Unicode release are cut into words as the file's own
+    pattern does, many texts as one array; their distinct words are looked up, and only words not yet known go to
+    the library, many in one text.  No token crosses a space, so other texts are cut at spaces, and their pieces with
+    other letters go to the library as they are.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -73,7 +79,20 @@ class Encoder:
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
-        self.near = re.compile(near_pattern(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])).findall
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.near = re.compile(near_pattern(pattern)).findall
+        self.short = pattern.removesuffix(RUNS).split("|")[:-1]
+        self.runs = "|".join([*self.short, RUNS]) == pattern and all(re.fullmatch("'[a-z]+", x) for x in self.short)
+        self.classes = np.full(NEAR, SIGN, np.uint8)
+        for c, kind in ((SPACE, r"\s"), (LETTER, r"\p{L}"), (DIGIT, r"\p{N}")):
+            self.classes[[ord(x) for x in re.findall(f"[{near_pattern(kind)}]", "".join(map(chr, range(NEAR))))]] = c
+        self.plain = self.library
+        normal, cuts = (spec["normalizer"] or {}).get("normalizers"), spec["pre_tokenizer"]["pretokenizers"]
+        if self.runs and normal == LOWERED and [c["type"] for c in cuts] == ["Split", "ByteLevel"]:
+            # words are lower-case and cut already: a space between them is all that is left to find
+            split = {"type": "CharDelimiterSplit", "delimiter": " "}
+            self.plain = Tokenizer.from_str(json.dumps(spec | {
+                "normalizer": None, "pre_tokenizer": spec["pre_tokenizer"] | {"pretokenizers": [split, cuts[1]]}, "truncation": None, "padding": None}))
         self.words, self.pieces = Remembered(self._words), Remembered(self._pieces)
         self.end = np.array([end_id], self.kind).tobytes()
 
@@ -85,10 +104,11 @@ class Encoder:
         out = []
         for i in range(0, len(words), 1000):
             some = words[i:i + 1000]
-            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
-            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()
             if len(ends) == len(some):
-                out += [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip([0, *ends], ends)]
             else:
                 out += self._ids(some)
         return out
@@ -99,9 +119,63 @@ class Encoder:
         far = iter(self._ids([p for p, w in zip(pieces, split) if w is None]))
         return [next(far) if w is None else b"".join(map(known, w)) for w in split]
 
+    def cut(self, texts: list[str]) -> tuple[pa.Array, str, np.ndarray]:
+        """Words of lower-case texts without ``FAR`` signs, their encoding, and the number of words up to the end of each."""
+        if not self.runs:
+            words = [self.near(t) for t in texts]
+            return (pa.array([w.encode("utf-16-le") for some in words for w in some], pa.large_binary()), "utf-16-le",
+                    np.cumsum([len(w) for w in words], dtype=np.int64))
+        joined = " ".join(texts) + " " * max(map(len, self.short), default=1)
+        try:
+            encoding, signs = "latin-1", np.frombuffer(raw := joined.encode("latin-1"), np.uint8)
+            kinds = np.frombuffer(raw.translate(self.classes[:256].tobytes()), np.uint8)
+        except UnicodeEncodeError:
+            encoding, signs = "utf-16-le", np.frombuffer(joined.encode("utf-16-le"), "<u2")
+            kinds = self.classes[signs]
+        begins = np.ones(len(signs), bool)
+        np.not_equal(kinds[1:], kinds[:-1], out=begins[1:])
+        begins |= kinds == DIGIT
+        inside = kinds != SPACE
+        begins &= inside
+        # a short form's apostrophe begins a match, so no other sign stands before it
+        quotes = np.flatnonzero(signs == ord("'"))
+        quotes = quotes[begins[quotes]]
+        for form in self.short:
+            fits = np.ones(len(quotes), bool)
+            for k, c in enumerate(form):
+                fits &= signs[quotes + k] == ord(c)
+            at, quotes = quotes[fits], quotes[~fits]
+            begins[at + 1] = False
+            begins[at + len(form)] |= kinds[at + len(form)] == LETTER
+        packed = signs[inside]
+        offsets = np.append(np.flatnonzero(begins[inside]), len(packed)) * packed.itemsize
+        words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        return words, encoding, np.searchsorted(np.flatnonzero(begins), ends)
+
+    def _near(self, texts: list[str]) -> list[bytes]:
+        """Ids of lower-case texts without ``FAR`` signs."""
+        words, encoding, upto = self.cut(texts)
+        if not len(words):
+            return [b""] * len(texts)
+        coded = words.dictionary_encode()
+        _, offsets, letters = coded.dictionary.buffers()
+        letters = str(letters, encoding)
+        at = (np.frombuffer(offsets, np.int64)[:len(coded.dictionary) + 1] // len(" ".encode(encoding))).tolist()
+        known = self.words.results([letters[a:b] for a, b in zip(at, at[1:])])
+        flat, sizes = np.frombuffer(b"".join(known), self.kind), np.fromiter(map(len, known), np.int64, len(known)) // self.kind.itemsize
+        which = coded.indices.to_numpy()
+        many = sizes[which]
+        ends = np.cumsum(many)
+        places = np.repeat((np.cumsum(sizes) - sizes)[which] - ends + many, many)
+        places += np.arange(len(places))
+        ids = flat[places].tobytes()
+        cuts = (np.append(0, ends)[np.append(0, upto)] * self.kind.itemsize).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text as little-endian unsigned integers of ``kind``, the end id last."""
-        near: dict[int, list[str]] = {}
+        near: dict[int, str] = {}
         far: dict[int, list[str]] = {}
         whole = []
         for i, t in enumerate(texts):
@@ -110,12 +184,13 @@ class Encoder:
             elif t and FAR.search(low := t.lower()):
                 far[i] = t.replace("\n", " ").split(" ")
             elif t:
-                near[i] = self.near(low)
+                near[i] = low
         out = [b""] * len(texts)
-        for of, table in ((far, self.pieces), (near, self.words)):
-            known = table.table(set().union(*of.values())).__getitem__
-            for i, parts in of.items():
-                out[i] = b"".join(map(known, parts))
+        known = self.pieces.table(set().union(*far.values())).__getitem__
+        for i, parts in far.items():
+            out[i] = b"".join(map(known, parts))
+        for i, ids in zip(near, self._near(list(near.values()))):
+            out[i] = ids
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
         return [ids + self.end for ids in out]
@@ -221,7 +296,7 @@ def encode_blocks(blocks: list[np.ndarray], table: Table) -> list[tuple[bytes, b
     flat, lookup = numbers.reshape(-1), table.numbers()
     for o, i in zip(offset.tolist(), order.tolist()):
         flat[o * LANES:o * LANES + len(blocks[i])] = lookup[blocks[i]]
-    lane, bits = np.arange(LANES), np.uint64(table.bits)
+    lane, bits, total = np.arange(LANES), np.uint64(table.bits), np.uint64(1 << table.bits)
     limit = (LOW >> bits) << WORD
     state = np.full((len(blocks), LANES), LOW, np.uint64)
     most = int(rounds[0]) if len(rounds) else 0
@@ -230,15 +305,19 @@ def encode_blocks(blocks: list[np.ndarray], table: Table) -> list[tuple[bytes, b
     marks, words = [], []
     for t in range(most - 1, -1, -1):
         n = int(running[t])
-        active = (t * LANES + lane)[None, :] < sizes[:n, None]
+        active = None if (t + 1) * LANES <= sizes[n - 1] else (t * LANES + lane)[None, :] < sizes[:n, None]
         s, x = numbers[offset[:n] + t], state[:n]
         freq = table.freq[s]
-        over = (x >= limit * freq) & active
-        words.append((x[over] & np.uint64(0xFFFFFFFF)).astype("<u4"))
+        over = x >= limit * freq
+        if active is not None:
+            over &= active
         taken[t, :n] = over.sum(axis=1)
-        x = np.where(over, x >> WORD, x)
-        share = x // freq
-        state[:n] = np.where(active, (share << bits) + (x - share * freq) + table.start[s], x)
+        flat, at = x.reshape(-1), np.flatnonzero(over)
+        full = flat[at]
+        words.append(full.astype("<u4"))                                 # the low half
+        flat[at] = full >> WORD
+        more = x // freq * (total - freq) + table.start[s]               # share << bits | place in the symbol's slots
+        x += more if active is None else np.where(active, more, 0)
         if t % STEPS == 0:
             marks.append((t, state[:n].copy()))
     stream = np.concatenate([*words[::-1], np.zeros(0, "<u4")])
@@ -275,18 +354,23 @@ def decode_blocks(blocks: list[tuple[int, bytes, bytes]], table: Table) -> list[
     mask, lane = np.uint64((1 << table.bits) - 1), np.arange(LANES)
     for t in range(-(-int(size[0]) // LANES)):
         n = int(np.searchsorted(-size, -t * LANES, "left"))
-        active = (t * LANES + lane)[None, :] < size[:n, None]
+        active = None if (t + 1) * LANES <= size[n - 1] else (t * LANES + lane)[None, :] < size[:n, None]
         x = state[:n]
         slot = x & mask
         s = slots[slot.astype(np.int64)]
         found[:n, t] = s
         y = table.freq[s] * (x >> bits) + slot - table.start[s]
-        x = np.where(active, y, x)
-        low = (x < LOW) & active
-        rank = np.cumsum(low, axis=1)
-        word = stream[np.where(low, place[:n, None] + rank - 1, 0)].astype(np.uint64)
-        state[:n] = np.where(low, (x << WORD) | word, x)
-        place[:n] += rank[:, -1]
+        low = y < LOW
+        if active is not None:
+            y, low = np.where(active, y, x), low & active
+        # lanes that read a word, block by block: each block's words follow one another
+        read = low.sum(axis=1)
+        word = stream[np.repeat(place[:n] + read - np.cumsum(read), read) + np.arange(read.sum())]
+        flat = y.reshape(-1)
+        at = np.flatnonzero(low)
+        flat[at] = flat[at] << WORD | word
+        state[:n] = y
+        place[:n] += read
     flat, back = found.reshape(len(size), -1), np.empty(len(size), np.int64)
     back[order] = np.arange(len(size))
     out, at = [], 0

@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from candela.llm import rans
 from candela.llm.common import tokenizer_path
+from candela.llm.remember import Remembered
 from candela.sources.tables import read_table
 from tests.conftest import SF001
 from tests.llm.test_align import ODD
@@ -87,6 +88,41 @@ def test_every_sign_between_spaces_and_letters():
     assert [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in rans.Encoder(PATH)(texts)] == library(texts)
 
 
+def test_words_are_cut_many_texts_at_once():
+    rng = random.Random(7)
+    for signs in ([*"ab \n'1,<stmdrevl", "'s", "'ll", "''", "'re"], [*"aéßÿǅŁ \x85\xa0\x1c'1²½ª!", "'s", "'vé", "ŉ"]):
+        texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(25))).lower() for _ in range(300)] + ["", "'", "'s", "x'l"]
+        encode = rans.Encoder(PATH)
+        words, encoding, upto = encode.cut(texts)
+        cut = [encode.near(t) for t in texts]
+        assert [w.decode(encoding) for w in words.to_pylist()] == [w for some in cut for w in some]
+        assert upto.tolist() == np.cumsum([len(some) for some in cut]).tolist()
+        encode.near = None                                              # no text is cut on its own
+        assert [np.frombuffer(x, encode.kind).astype("<u4").tobytes() for x in encode(texts)] == library(texts)
+    assert rans.Encoder(PATH)([]) == [] and rans.Encoder(PATH)([None, "", " "]) == [np.array([1], "<u2").tobytes()] * 3
+
+
+@pytest.mark.parametrize("pattern", [
+    rans.RUNS, "'s|'nt|" + rans.RUNS, r"'s|[\p{L}]+|[\p{N}]+|[^\s\p{L}\p{N}]+", r"b[a]|" + rans.RUNS, r"b" + rans.RUNS])
+def test_files_with_another_pattern(tmp_path, pattern):
+    import json
+    spec = json.load(open(PATH, encoding="utf-8"))
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = pattern
+    path = str(tmp_path / "other.json")
+    json.dump(spec, open(path, "w", encoding="utf-8"))
+    texts = ["ban 's it's isn'nt 12 b3, ''s 'nté Éa", "x", "", "ba'snt!'s"]
+    encode, whole = rans.Encoder(path), Tokenizer.from_file(path)
+    assert [np.frombuffer(x, encode.kind).tolist() for x in encode(texts)] == [[*whole.encode(t).ids, 1] for t in texts]
+
+
+def test_remembered_results_in_order():
+    asked = []
+    known = Remembered(lambda pieces: asked.append(pieces) or [p.upper() for p in pieces], 2)
+    assert known.results(["b", "a"]) == ["B", "A"] and known.results(["c", "a"]) == ["C", "A"]
+    assert known.results(["d", "b", "e"]) == ["D", "B", "E"] and known.results([]) == []
+    assert asked[:3] == [["b", "a"], ["c"], ["d", "e"]]
+
+
 def expected(rows):
     """(doc_id, start, n_tokens, crc) of rows sorted by id, nulls first."""
     ids = sorted(zip([r[0] for r in rows], library([r[1] for r in rows])), key=lambda r: (r[0] is not None, r[0] or 0))
